@@ -189,10 +189,10 @@ SELECT w.db_id, w.phase, w.seq, w.object_type, w.ddl_operation, w.schema_name, w
 FROM worklist w LEFT JOIN (SELECT * FROM fx_runs QUALIFY row_number() OVER (PARTITION BY db_id, phase, seq ORDER BY recorded_at DESC) = 1) r USING (db_id, phase, seq)
 
 -- name: l01_pending
-SELECT * FROM o_recorded WHERE status = 'PENDING'
+SELECT * EXCLUDE (error_msg, executed_at) FROM o_recorded WHERE status = 'PENDING'
 
 -- name: l02_record_status
-SELECT * FROM o_recorded
+SELECT * REPLACE (strftime(executed_at, '%Y-%m-%d %H:%M:%S') AS executed_at) FROM o_recorded
 
 -- name: l03_publish_gate
 SELECT db_id, count(*) FILTER (status = 'ERROR') = 0 AS publish FROM o_recorded GROUP BY db_id

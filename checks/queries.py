@@ -348,12 +348,12 @@ def _recorded(e: Env) -> DataFrame:
 
 @query
 def l01_pending(e: Env) -> DataFrame:
-    return runlog.pending(_recorded(e))
+    return runlog.pending(_recorded(e)).drop("error_msg", "executed_at")
 
 
 @query
 def l02_record_status(e: Env) -> DataFrame:
-    return _recorded(e)
+    return _recorded(e).withColumn("executed_at", F.date_format("executed_at", "yyyy-MM-dd HH:mm:ss"))
 
 
 @query
