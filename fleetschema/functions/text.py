@@ -29,14 +29,15 @@ KEY_WORDS = (
 ).split()
 
 
-def quote_ident(name: Column) -> Column:
-    """A name as it has to be written in a statement."""
-    plain = name.rlike(r"^[a-z_][a-z0-9_]*\z") & ~name.isin(*KEY_WORDS)
-    quoted = F.concat(F.lit('"'), F.replace(name, F.lit('"'), F.lit('""')), F.lit('"'))
-    return F.when(plain, name).otherwise(quoted)
+def quote_ident(name: str) -> Column:
+    """The SQL expression ``name`` as it has to be written in a statement."""
+    # parsed as one text: a list of literals would cost one JVM call per key word
+    words = ", ".join(f"'{w}'" for w in KEY_WORDS)
+    plain = f"({name}) RLIKE r'^[a-z_][a-z0-9_]*\\z' AND ({name}) NOT IN ({words})"
+    return F.expr(f"""CASE WHEN {plain} THEN ({name}) ELSE concat('"', replace(({name}), '"', '""'), '"') END""")
 
 
-def qualified(schema: Column, name: Column) -> Column:
+def qualified(schema: str, name: str) -> Column:
     return F.concat(quote_ident(schema), F.lit("."), quote_ident(name))
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fleetschema.operators.diff import TABLE
 from fleetschema.staging import new_folder, stage
@@ -118,9 +119,10 @@ def _node_schema(nodes: DataFrame) -> str:
 def recreation_order(edges: DataFrame, nodes: DataFrame) -> DataFrame:
     """Level of every node by its longest path inside ``nodes``: (db_id, oid, level, in_cycle).
 
-    A round places the nodes that no unplaced node points to, and cuts their
-    edges. What is left when a round places nothing is a cycle or lies behind
-    one: it comes last, flagged.
+    Level 1 has no edge to it. A round marks the edges that leave the nodes placed
+    last; the nodes whose remaining edges are all marked are placed next. What is
+    left when a round marks nothing is a cycle or lies behind one: it comes last,
+    flagged. Each round writes the edges that were left, so the work shrinks.
     """
     spark = edges.sparkSession
     nodes = stage(nodes.select(NODE).distinct(), "nodes")
@@ -132,19 +134,36 @@ def recreation_order(edges: DataFrame, nodes: DataFrame) -> DataFrame:
         .join(nodes.withColumnRenamed("oid", "view_oid"), ["db_id", "view_oid"], "left_semi"),
         "edges",
     )
+    first = nodes.join(left.select("db_id", F.col("view_oid").alias("oid")).distinct(), NODE, "left_anti")
     folder = new_folder(spark, "order")
-    waiting, level = nodes, 0
-    placed_schema = _node_schema(nodes) + ", level int"
-    while not waiting.isEmpty():
-        blocked = left.select("db_id", F.col("view_oid").alias("oid")).distinct()
-        ready = stage(waiting.join(blocked, NODE, "left_anti"), "level", f"{folder}/level={level + 1}")
-        if ready.isEmpty():
-            break
+    ready, level = first, 1
+    while True:
         level += 1
-        waiting = stage(waiting.join(ready, NODE, "left_anti"), "waiting")
-        left = stage(left.join(ready.withColumnRenamed("oid", "ref_oid"), ["db_id", "ref_oid"], "left_anti"), "edges")
-    rest = waiting.select(*NODE, F.lit(level + 1).alias("level"), F.lit(True).alias("in_cycle"))
-    if level == 0:
-        return rest
-    placed = spark.read.schema(placed_schema).parquet(folder)
-    return placed.select(*NODE, "level", F.lit(False).alias("in_cycle")).unionByName(rest)
+        marks = ready.select("db_id", F.col("oid").alias("ref_oid"), F.lit(True).alias("mark"))
+        marked = stage(
+            left.join(marks, ["db_id", "ref_oid"], "left").select(
+                *left.columns, F.col("mark").isNotNull().alias("gone")
+            ),
+            "order",
+            f"{folder}/level={level}",
+        )
+        gone, stay = marked.agg(F.count_if("gone"), F.count_if(~F.col("gone"))).first()
+        if not gone or not stay:
+            break
+        ready, left = _freed(marked, "db_id"), marked.where("NOT gone").drop("gone")
+
+    rounds = spark.read.schema(T.StructType([*marked.schema.fields, T.StructField("level", T.IntegerType())])).parquet(folder)
+    placed = first.withColumn("level", F.lit(1)).unionByName(_freed(rounds, "db_id", "level"))
+    out = placed.select(*NODE, "level", F.lit(False).alias("in_cycle"))
+    if not stay:
+        return out
+    last = (placed.agg(F.max("level")).first()[0] or 0) + 1
+    rest = nodes.join(placed, NODE, "left_anti")
+    return out.unionByName(rest.select(*NODE, F.lit(last).alias("level"), F.lit(True).alias("in_cycle")))
+
+
+def _freed(marked: DataFrame, *by: str) -> DataFrame:
+    """The nodes of a round all of whose edges are marked."""
+    return (
+        marked.groupBy(*by, F.col("view_oid").alias("oid")).agg(F.bool_and("gone").alias("free")).where("free").drop("free")
+    )

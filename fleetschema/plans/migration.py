@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -10,9 +12,9 @@ from fleetschema.plans import worklist as w
 from fleetschema.staging import stage
 
 KINDS = ("tables", "columns", "constraints", "indexes", "sequences", "views")
-DIFFS = (
-    "new_tables", "columns_diff", "constraints_diff", "indexes_diff", "sequences_diff", "views_diff",
-    "dropped_tables", "dropped_columns", "dropped_constraints", "dropped_indexes",
+DIFFS = (  # the first two are part of others
+    "new_tables", "dropped_tables", "columns_diff", "constraints_diff", "indexes_diff", "sequences_diff", "views_diff",
+    "dropped_columns", "dropped_constraints", "dropped_indexes",
 )
 
 
@@ -55,11 +57,20 @@ def difference(s: dict[str, DataFrame], name: str, known: dict[str, DataFrame] |
     raise ValueError(f"no difference named {name!r}")
 
 
-def stage_differences(s: dict[str, DataFrame], names: tuple[str, ...] = DIFFS) -> dict[str, DataFrame]:
-    """The differences as written tables, since each feeds several rules; ``altered`` is added to them."""
+def stage_differences(s: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The differences as written tables, since each feeds several rules; ``altered`` is added to them.
+
+    Jobs that do not depend on each other are submitted together, so that the
+    last tasks of one leave no executor idle.
+    """
     known: dict[str, DataFrame] = {}
-    for name in sorted(names, key=lambda n: n not in ("new_tables", "dropped_tables")):
+
+    def write(name: str) -> None:
         known[name] = stage(difference(s, name, known), name)
+
+    with ThreadPoolExecutor(len(DIFFS)) as jobs:
+        list(jobs.map(write, DIFFS[:2]))
+        list(jobs.map(write, DIFFS[2:]))
     known["altered"] = stage(graph.altered_tables(known["columns_diff"], s["current_tables"]), "altered")
     return known
 

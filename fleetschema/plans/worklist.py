@@ -86,11 +86,11 @@ def _on_table(objects: DataFrame, tables: DataFrame) -> DataFrame:
 
 
 def _table() -> Column:
-    return qualified(F.col("schema_name"), F.col("table_name"))
+    return qualified("schema_name", "table_name")
 
 
 def _object() -> Column:
-    return qualified(F.col("schema_name"), F.col("name"))
+    return qualified("schema_name", "name")
 
 
 # ---- phase 1: drop dependent objects --------------------------------------
@@ -109,7 +109,7 @@ def plan_drop_views(affected_views: DataFrame) -> DataFrame:
 
 
 def _drop_constraints(df: DataFrame, rule: int, phase: int, temporary: bool, order: tuple[str, ...]) -> DataFrame:
-    ddl = text("ALTER TABLE ", _table(), " DROP CONSTRAINT IF EXISTS ", quote_ident(F.col("name")), ";")
+    ddl = text("ALTER TABLE ", _table(), " DROP CONSTRAINT IF EXISTS ", quote_ident("name"), ";")
     return _rows(
         df, rule, phase, "CONSTRAINT", "DROP", ddl, table_name="table_name", order=order, temporary=temporary
     )
@@ -181,7 +181,7 @@ def plan_drop_removed_indexes(dropped_indexes: DataFrame, current_tables: DataFr
 
 
 def plan_schemas(new_tables: DataFrame) -> DataFrame:
-    ddl = text("CREATE SCHEMA IF NOT EXISTS ", quote_ident(F.col("schema_name")), ";")
+    ddl = text("CREATE SCHEMA IF NOT EXISTS ", quote_ident("schema_name"), ";")
     schemas = new_tables.select("db_id", "schema_name").distinct()
     return _rows(schemas, 9, 2, "SCHEMA", "CREATE", ddl, object_name="schema_name", order=("schema_name",))
 
@@ -232,7 +232,7 @@ def _clauses_per_table(clauses: DataFrame, order: str) -> DataFrame:
 
 def plan_new_table_columns(target_columns: DataFrame, new_tables: DataFrame) -> DataFrame:
     fresh = new_tables.select("db_id", "schema_name", F.col("name").alias("table_name"))
-    clause = text("ADD COLUMN IF NOT EXISTS ", quote_ident(F.col("name")), " ", _column_text())
+    clause = text("ADD COLUMN IF NOT EXISTS ", quote_ident("name"), " ", _column_text())
     added = target_columns.join(fresh, COLUMN_TABLE, "left_semi").select(*COLUMN_TABLE, "name", clause.alias("clause"))
     ddl = text("ALTER TABLE ", _table(), " ", F.col("clauses"), ";")
     return _rows(
@@ -259,7 +259,7 @@ def plan_alter_aggregate(columns_diff: DataFrame, new_tables: DataFrame) -> Data
         .when(op == "DROP_NOT_NULL", F.lit("DROP NOT NULL"))
     )
     verb = F.when(op == "ADD_COLUMN", "ADD").otherwise("ALTER")
-    clause = text(verb, " COLUMN ", quote_ident(F.col("name")), " ", change)
+    clause = text(verb, " COLUMN ", quote_ident("name"), " ", change)
     batched = _existing(columns_diff.where(op.isin(*BATCHED)), new_tables).select(
         *COLUMN_TABLE, "name", "operation_type", clause.alias("clause")
     )
@@ -277,13 +277,13 @@ def _alter_rows(df: DataFrame, rule: int, ddl: Column, name: str | None) -> Data
 
 def plan_set_not_null(columns_diff: DataFrame, new_tables: DataFrame) -> DataFrame:
     changed = _existing(columns_diff.where("operation_type = 'SET_NOT_NULL'"), new_tables)
-    ddl = text("ALTER TABLE ", _table(), " ALTER COLUMN ", quote_ident(F.col("name")), " SET NOT NULL;")
+    ddl = text("ALTER TABLE ", _table(), " ALTER COLUMN ", quote_ident("name"), " SET NOT NULL;")
     return _alter_rows(changed, 15, ddl, "name")
 
 
 def plan_alter_type(columns_diff: DataFrame, new_tables: DataFrame) -> DataFrame:
     changed = _existing(columns_diff.where("operation_type = 'ALTER_TYPE'"), new_tables)
-    old, new = quote_ident(F.col("name")), quote_ident(F.concat(F.lit("new_"), "name"))
+    old, new = quote_ident("name"), quote_ident("concat('new_', name)")
     alter = text("ALTER TABLE ", _table())
     ddl = F.concat_ws(
         "\n",
@@ -301,7 +301,7 @@ def plan_drop_tables(dropped_tables: DataFrame) -> DataFrame:
 
 
 def _add_constraints(df: DataFrame, rule: int, phase: int) -> DataFrame:
-    ddl = text("ALTER TABLE ", _table(), " ADD CONSTRAINT ", quote_ident(F.col("name")), " ", F.col("expression"), ";")
+    ddl = text("ALTER TABLE ", _table(), " ADD CONSTRAINT ", quote_ident("name"), " ", F.col("expression"), ";")
     return _rows(df, rule, phase, "CONSTRAINT", "CREATE", ddl, table_name="table_name", order=_BY_TABLE)
 
 
