@@ -48,8 +48,9 @@ class Env:
         return self._staged[name]
 
     def fixture(self, name: str) -> DataFrame:
-        """A fixture view as a written table, as a catalog export would be."""
-        return self.staged(name, lambda: self.sql(f"SELECT * FROM {name}"))
+        """A fixture view as a written table of several files, as a catalog export would be."""
+        files = self.spark.sparkContext.defaultParallelism
+        return self.staged(name, lambda: self.sql(f"SELECT * FROM {name}").repartition(files))
 
     def _difference(self, name: str) -> DataFrame:
         if name == "altered":

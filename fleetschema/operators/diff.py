@@ -11,9 +11,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fleetschema.operators.rows import validate_unique
-from fleetschema.staging import stage
-
 TABLE = ["db_id", "schema_name", "name"]
 COLUMN_TABLE = ["db_id", "schema_name", "table_name"]
 COLUMN = [*COLUMN_TABLE, "name"]
@@ -66,31 +63,23 @@ def columns_diff(target_columns: DataFrame, current_columns: DataFrame, new_tabl
     nullability = F.col("nullable") != F.col("cur_nullable")
     redefaulted = F.coalesce("default_expr", F.lit("")) != F.coalesce("cur_default_expr", F.lit(""))
     default = F.col("default_expr")
-    operations = F.array_compact(
-        F.array(
-            F.when(~found, "ADD_COLUMN"),
-            F.when(found & retyped, "ALTER_TYPE"),
-            F.when(found & nullability & F.col("cur_nullable"), "SET_NOT_NULL"),
-            F.when(found & nullability & F.col("nullable"), "DROP_NOT_NULL"),
-            F.when(found & redefaulted & default.isNull(), "DROP_DEFAULT"),
-            F.when(found & redefaulted & default.isNotNull(), "SET_DEFAULT"),
-        )
+    operations = F.array(
+        F.when(~found, "ADD_COLUMN"),
+        F.when(found & retyped, "ALTER_TYPE"),
+        F.when(found & nullability & F.col("cur_nullable"), "SET_NOT_NULL"),
+        F.when(found & nullability & F.col("nullable"), "DROP_NOT_NULL"),
+        F.when(found & redefaulted & default.isNull(), "DROP_DEFAULT"),
+        F.when(found & redefaulted & default.isNotNull(), "SET_DEFAULT"),
     )
     flag = new_tables.select("db_id", "schema_name", F.col("name").alias("table_name")).distinct()
     return (
         target_columns.join(cur, COLUMN, "left")
-        .select(*COLUMN, "type", "nullable", "length", "default_expr", operations.alias("operations"))
-        .where(F.size("operations") > 0)
-        .join(flag.withColumn("in_new", F.lit(True)), COLUMN_TABLE, "left")
-        .select(
-            *COLUMN,
-            "type",
-            "nullable",
-            "length",
-            "default_expr",
-            F.explode("operations").alias("operation_type"),
-            F.coalesce("in_new", F.lit(False)).alias("new_table"),
-        )
+        # exploding the empty places too keeps the stage in generated code, which a filter on the array would leave
+        .select(*COLUMN, "type", "nullable", "length", "default_expr", F.explode(operations).alias("operation_type"))
+        .where("operation_type IS NOT NULL")
+        .join(flag.withColumn("new_table", F.lit(True)), COLUMN_TABLE, "left")
+        .withColumn("new_table", F.coalesce("new_table", F.lit(False)))
+        .select(*COLUMN, "type", "nullable", "length", "default_expr", "operation_type", "new_table")
     )
 
 
@@ -221,43 +210,43 @@ def row_diff(
     """Keyed compare of two tables: ADDED, REMOVED or CHANGED with the changed columns.
 
     Keys are meant to be unique on each side. Unless the caller knows that they
-    are (``unique_keys``), a key found twice on a side is kept out of the join,
-    where it would give all pairs, and is reported once as DUPLICATE_KEY.
+    are (``unique_keys``), rows are first combined per key, also before the
+    shuffle, so a key found very often is one row per task and gives no pairs; it
+    is reported once as DUPLICATE_KEY. Either way each side is shuffled once.
     ``null_equal=False`` compares as SQL does: NULL against a value is no change.
-    Rows with a NULL in the key match nothing, as in SQL.
+    A key with a NULL part matches nothing.
     """
     keys = list(keys)
     compare = list(compare or [c for c in target.columns if c in current.columns and c not in keys])
-    target, current = target.select(*keys, *compare), current.select(*keys, *compare)
-    repeated = None
-    if not unique_keys:
-        repeated = stage(
-            validate_unique(target, keys).unionByName(validate_unique(current, keys)).select(keys).distinct(),
-            "repeated-keys",
-        )
-        target, current = (side.join(repeated, keys, "left_anti") for side in (target, current))
-    t = target.select(*keys, *[F.col(c).alias(f"_t_{c}") for c in compare], F.lit(True).alias("_in_t"))
-    c = current.select(*keys, *[F.col(c).alias(f"_c_{c}") for c in compare], F.lit(True).alias("_in_c"))
+    no_columns = F.array().cast("array<string>")
+    t, c = (_one_per_key(side, keys, compare, p, unique_keys) for side, p in ((target, "_t"), (current, "_c")))
 
     def differs(column: str) -> Column:
-        a, b = F.col(f"_t_{column}"), F.col(f"_c_{column}")
+        a, b = F.col("_t")[column], F.col("_c")[column]
         return ~a.eqNullSafe(b) if null_equal else a != b
 
-    both = F.col("_in_t") & F.col("_in_c")
-    changed = F.array_compact(F.array(*[F.when(both & differs(col), F.lit(col)) for col in compare])) if compare else (
-        F.array().cast("array<string>")
+    in_t, in_c = F.col("_t_n").isNotNull(), F.col("_c_n").isNotNull()
+    op = (
+        F.when((F.col("_t_n") > 1) | (F.col("_c_n") > 1), "DUPLICATE_KEY")
+        .when(~in_c, "ADDED")
+        .when(~in_t, "REMOVED")
+        .otherwise("CHANGED")
     )
-    out = (
+    changed = F.array_compact(F.array(*[F.when(differs(col), F.lit(col)) for col in compare])) if compare else no_columns
+    return (
         t.join(c, keys, "full_outer")
-        .select(
-            *keys,
-            F.when(F.col("_in_c").isNull(), "ADDED").when(F.col("_in_t").isNull(), "REMOVED").otherwise("CHANGED").alias("op"),
-            F.coalesce(changed, F.array().cast("array<string>")).alias("changed_columns"),
-        )
+        .select(*keys, op.alias("op"), changed.alias("changed_columns"))
+        .withColumn("changed_columns", F.when(F.col("op") == "CHANGED", F.col("changed_columns")).otherwise(no_columns))
         .where((F.col("op") != "CHANGED") | (F.size("changed_columns") > 0))
     )
-    if repeated is None:
-        return out
-    return out.unionByName(
-        repeated.select(*keys, F.lit("DUPLICATE_KEY").alias("op"), F.array().cast("array<string>").alias("changed_columns"))
+
+
+def _one_per_key(side: DataFrame, keys: list[str], compare: list[str], prefix: str, unique: bool) -> DataFrame:
+    """Key, row count ``<prefix>_n`` and the compared columns as the struct ``prefix``."""
+    if unique:
+        return side.select(*keys, F.lit(1).cast("long").alias(f"{prefix}_n"), F.struct(*compare, F.lit(1)).alias(prefix))
+    return (
+        side.groupBy(keys)
+        .agg(F.count(F.lit(1)).alias(f"{prefix}_n"), *[F.first(c).alias(f"{prefix}_{i}") for i, c in enumerate(compare)])
+        .select(*keys, f"{prefix}_n", F.struct(*[F.col(f"{prefix}_{i}").alias(c) for i, c in enumerate(compare)], F.lit(1)).alias(prefix))
     )
