@@ -135,7 +135,14 @@ def phase_three(s: dict[str, DataFrame], d: dict[str, DataFrame], queue: DataFra
 
 
 def build_worklist(s: dict[str, DataFrame], d: dict[str, DataFrame] | None = None) -> DataFrame:
-    """The numbered worklist of every database. ``s`` are the snapshots of both sides, best read from tables."""
+    """The numbered worklist of every database. ``s`` are the snapshots of both sides, best read from tables.
+
+    Rule rows are written before they are numbered: sampling the range bounds
+    would otherwise run the rules a second time.
+    """
     d = d or stage_differences(s)
-    queue = stage(phase_one(s, d), "queue")
-    return w.number_worklist(w.union_rules(queue, phase_two(s, d), phase_three(s, d, queue)))
+    with ThreadPoolExecutor(2) as jobs:
+        second = jobs.submit(lambda: stage(phase_two(s, d), "phase-two"))
+        queue = stage(phase_one(s, d), "queue")
+        third = stage(phase_three(s, d, queue), "phase-three")
+        return w.number_worklist(w.union_rules(queue, second.result(), third))
