@@ -11,6 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fleetschema.functions.joins import unmatched
+
 TABLE = ["db_id", "schema_name", "name"]
 COLUMN_TABLE = ["db_id", "schema_name", "table_name"]
 COLUMN = [*COLUMN_TABLE, "name"]
@@ -138,11 +140,10 @@ def indexes_diff(
 
 
 def _dropped_by_name(current: DataFrame, target: DataFrame, dropped_tables: DataFrame, columns: list[str]) -> DataFrame:
-    # a name such as "pk" may occur on very many tables: the right side is made distinct first
-    named = ["db_id", "name"]
+    # a name such as "pk" may occur on very many tables of either side
     gone = dropped_tables.select("db_id", F.col("oid").alias("table_oid"))
     return (
-        current.join(target.select(named).distinct(), named, "left_anti")
+        unmatched(current, target, ["db_id", "name"])
         .join(gone, ["db_id", "table_oid"], "left_anti")
         .select("db_id", *columns)
     )

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from fleetschema.operators.diff import TABLE
 from fleetschema.staging import new_folder, stage
@@ -31,13 +30,15 @@ def altered_tables(columns_diff: DataFrame, current_tables: DataFrame) -> DataFr
 
 
 def _touched(altered: DataFrame, dropped_tables: DataFrame) -> DataFrame:
+    """No table is in both: an altered one has columns in the target."""
     columns = ["db_id", "oid", "schema_name", "name"]
-    return altered.select(columns).unionByName(dropped_tables.select(columns)).distinct()
+    return altered.select(columns).unionByName(dropped_tables.select(columns))
 
 
 def direct_dependents(depends: DataFrame, views: DataFrame, objects: DataFrame) -> DataFrame:
     """Views that read one of the objects (db_id, oid)."""
-    touched = objects.select("db_id", F.col("oid").alias("ref_oid")).distinct()
+    # not made distinct: a join right after a grouping cannot split an object that very many views read
+    touched = objects.select("db_id", F.col("oid").alias("ref_oid"))
     readers = (
         depends.where("view_oid <> ref_oid")
         .join(touched, ["db_id", "ref_oid"], "left_semi")
@@ -121,7 +122,7 @@ def recreation_order(edges: DataFrame, nodes: DataFrame) -> DataFrame:
 
     Level 1 has no edge to it. A round marks the edges that leave the nodes placed
     last; the nodes whose remaining edges are all marked are placed next. What is
-    left when a round marks nothing is a cycle or lies behind one: it comes last,
+    left when a round places nothing is a cycle or lies behind one: it comes last,
     flagged. Each round writes the edges that were left, so the work shrinks.
     """
     spark = edges.sparkSession
@@ -134,36 +135,25 @@ def recreation_order(edges: DataFrame, nodes: DataFrame) -> DataFrame:
         .join(nodes.withColumnRenamed("oid", "view_oid"), ["db_id", "view_oid"], "left_semi"),
         "edges",
     )
-    first = nodes.join(left.select("db_id", F.col("view_oid").alias("oid")).distinct(), NODE, "left_anti")
     folder = new_folder(spark, "order")
-    ready, level = first, 1
-    while True:
-        level += 1
+    blocked = left.select("db_id", F.col("view_oid").alias("oid")).distinct()
+    ready, level = stage(nodes.join(blocked, NODE, "left_anti"), "level", f"{folder}/level=1"), 1
+    while not ready.isEmpty():
         marks = ready.select("db_id", F.col("oid").alias("ref_oid"), F.lit(True).alias("mark"))
         marked = stage(
-            left.join(marks, ["db_id", "ref_oid"], "left").select(
-                *left.columns, F.col("mark").isNotNull().alias("gone")
-            ),
-            "order",
-            f"{folder}/level={level}",
+            left.select("db_id", "ref_oid", "view_oid")
+            .join(marks, ["db_id", "ref_oid"], "left")
+            .withColumn("gone", F.col("mark").isNotNull())
+            .drop("mark"),
+            "edges",
         )
-        gone, stay = marked.agg(F.count_if("gone"), F.count_if(~F.col("gone"))).first()
-        if not gone or not stay:
-            break
-        ready, left = _freed(marked, "db_id"), marked.where("NOT gone").drop("gone")
-
-    rounds = spark.read.schema(T.StructType([*marked.schema.fields, T.StructField("level", T.IntegerType())])).parquet(folder)
-    placed = first.withColumn("level", F.lit(1)).unionByName(_freed(rounds, "db_id", "level"))
-    out = placed.select(*NODE, "level", F.lit(False).alias("in_cycle"))
-    if not stay:
-        return out
-    last = (placed.agg(F.max("level")).first()[0] or 0) + 1
+        level += 1
+        freed = marked.groupBy("db_id", F.col("view_oid").alias("oid")).agg(F.bool_and("gone").alias("free"))
+        # written, since a join right after a grouping cannot split a node with very many edges
+        ready = stage(freed.where("free").select(NODE), "level", f"{folder}/level={level}")
+        left = marked.where("NOT gone")
+    placed = spark.read.schema(_node_schema(nodes) + ", level int").parquet(folder)
     rest = nodes.join(placed, NODE, "left_anti")
-    return out.unionByName(rest.select(*NODE, F.lit(last).alias("level"), F.lit(True).alias("in_cycle")))
-
-
-def _freed(marked: DataFrame, *by: str) -> DataFrame:
-    """The nodes of a round all of whose edges are marked."""
-    return (
-        marked.groupBy(*by, F.col("view_oid").alias("oid")).agg(F.bool_and("gone").alias("free")).where("free").drop("free")
+    return placed.select(*NODE, "level", F.lit(False).alias("in_cycle")).unionByName(
+        rest.select(*NODE, F.lit(level).alias("level"), F.lit(True).alias("in_cycle"))
     )

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from fleetschema.functions.joins import unmatched
 from fleetschema.functions.ordering import block_starts, sorted_blocks
 from fleetschema.functions.text import declared_chars, spark_type
 from fleetschema.staging import stage
@@ -135,25 +136,19 @@ def validate_unique(df: DataFrame, cols: Sequence[str], primary: bool = False) -
 def validate_foreign_key(
     child: DataFrame, parent: DataFrame, cols: Sequence[str], ref_cols: Sequence[str]
 ) -> DataFrame:
-    """Child rows whose key has no parent; a key with a NULL part passes.
-
-    The parent side is cut to its distinct keys. A key shared by very many child
-    rows is split by adaptive execution, which may split the left side of an anti
-    join; ``orphan_keys`` needs no such split.
-    """
-    cols = list(cols)
-    return child.dropna(subset=cols).join(_parent_keys(parent, cols, ref_cols), cols, "left_anti")
+    """Child rows whose key has no parent; a key with a NULL part passes."""
+    return unmatched(child.dropna(subset=list(cols)), _parent_keys(parent, cols, ref_cols), cols)
 
 
 def orphan_keys(child: DataFrame, parent: DataFrame, cols: Sequence[str], ref_cols: Sequence[str]) -> DataFrame:
     """Distinct child keys without a parent and their row count ``n``, counted before the shuffle."""
     cols = list(cols)
     keys = child.dropna(subset=cols).groupBy(cols).agg(F.count(F.lit(1)).alias("n"))
-    return keys.join(_parent_keys(parent, cols, ref_cols), cols, "left_anti")
+    return keys.join(_parent_keys(parent, cols, ref_cols).distinct(), cols, "left_anti")
 
 
-def _parent_keys(parent: DataFrame, cols: list[str], ref_cols: Sequence[str]) -> DataFrame:
-    return parent.select(*[F.col(r).alias(c) for c, r in zip(cols, ref_cols, strict=True)]).distinct()
+def _parent_keys(parent: DataFrame, cols: Sequence[str], ref_cols: Sequence[str]) -> DataFrame:
+    return parent.select(*[F.col(r).alias(c) for c, r in zip(cols, ref_cols, strict=True)])
 
 
 def validate_check(df: DataFrame, expression: str) -> DataFrame:

@@ -395,13 +395,13 @@ def plan_recreate_fks(
     named = [*COLUMN_TABLE, F.col("object_name").alias("name")]
     gone = queue.where("phase = 1 AND object_type = 'CONSTRAINT' AND ddl_operation = 'DROP'").select(named).distinct()
     back = recreated_pks.select(named).distinct()
+    # a table has one primary key, so this is one row per table
     state = (
         pks.join(gone.withColumn("is_gone", F.lit(True)), OWNER, "left")
         .join(back.withColumn("is_back", F.lit(True)), OWNER, "left")
-        .groupBy("db_id", "ref_table_oid")
-        .agg(F.bool_or("is_gone").alias("any_gone"), F.bool_or("is_back").alias("any_back"))
+        .select("db_id", "ref_table_oid", "is_gone", "is_back")
     )
-    ready = F.coalesce("any_back", F.lit(False)) | ~F.coalesce("any_gone", F.lit(False))
+    ready = F.coalesce("is_back", F.lit(False)) | ~F.coalesce("is_gone", F.lit(False))
     return _add_constraints(fks.join(state, ["db_id", "ref_table_oid"], "left").where(ready), 23, 3)
 
 
