@@ -79,6 +79,9 @@ class Env:
     def queue(self) -> DataFrame:
         return self.staged("queue", lambda: migration.phase_one(self.snapshots, self.diffs))
 
+    def order(self) -> DataFrame:
+        return migration.recreation(self.snapshots, self.diffs)
+
     def worklist(self) -> DataFrame:
         return self.staged("worklist", lambda: migration.build_worklist(self.snapshots, self.diffs))
 

@@ -282,8 +282,7 @@ def _rule_rows(e: Env, rule: int) -> DataFrame:
         case 23:
             return w.plan_recreate_fks(e.queue(), w.plan_recreate_pks(e.queue(), *recreated()), *recreated())
         case 24:
-            order = migration.recreation(s, e.queue())
-            return w.plan_recreate_views(order, s["current_views"], s["target_views"], d["views_diff"])
+            return w.plan_recreate_views(e.order(), s["current_views"], s["target_views"], d["views_diff"])
 
 
 def _rule_query(name: str, rule: int) -> None:

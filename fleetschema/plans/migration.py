@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from fleetschema.operators import diff, graph, snapshots
 from fleetschema.plans import worklist as w
@@ -18,6 +17,42 @@ DIFFS = (  # the first two are part of others
 )
 
 
+# Columns of the snapshots; `default`, `start`, `min` and `max` of a catalog have longer names here.
+SNAPSHOT_COLUMNS = {
+    "tables": "db_id int, oid long, schema_name string, name string, relkind string",
+    "columns": "db_id int, table_oid long, schema_name string, table_name string, name string, nullable boolean, "
+    "type string, length int, default_expr string",
+    "constraints": "db_id int, oid long, name string, type string, table_oid long, ref_table_oid long, "
+    "cols array<smallint>, ref_cols array<smallint>, expression string, on_delete string, on_update string",
+    "indexes": "db_id int, oid long, table_oid long, name string, expression string, backs_constraint string",
+    "sequences": "db_id int, oid long, schema_name string, name string, type string, start_value long, "
+    "min_value long, max_value long, increment long, cycles boolean",
+    "views": "db_id int, oid long, schema_name string, name string, expression string, is_materialized boolean",
+    "depends": "db_id int, ref_oid long, view_oid long",
+}
+
+
+def write_tables(tables: dict[str, DataFrame], path: str) -> None:
+    """Writes snapshots, differences or a worklist as ``path/name`` by db_id; an earlier run is replaced.
+
+    Rebalanced by db_id, so a large database is written by several tasks.
+    """
+    for name, df in tables.items():
+        df.hint("rebalance", "db_id").write.mode("overwrite").partitionBy("db_id").parquet(f"{path}/{name}")
+
+
+def read_snapshots(spark: SparkSession, path: str) -> dict[str, DataFrame]:
+    """The snapshots of both sides, as written by ``write_tables``."""
+    names = [f"{side}_{kind}" for side in ("target", "current") for kind in KINDS] + ["current_depends"]
+
+    def read(name: str) -> DataFrame:
+        columns = SNAPSHOT_COLUMNS[name.split("_", 1)[1]]
+        # db_id is a folder, so it is read as the last column
+        return spark.read.schema(columns).parquet(f"{path}/{name}").select([c.split()[0] for c in columns.split(", ")])
+
+    return {n: read(n) for n in names}
+
+
 def take_snapshots(raw: dict[str, DataFrame], side: str) -> dict[str, DataFrame]:
     """The six snapshots of one side, by names such as ``target_tables``; the current side also has its edges."""
     out = {f"{side}_{kind}": getattr(snapshots, f"snapshot_{kind}")(raw) for kind in KINDS}
@@ -75,15 +110,19 @@ def stage_differences(s: dict[str, DataFrame]) -> dict[str, DataFrame]:
     return known
 
 
+def affected(s: dict[str, DataFrame], d: dict[str, DataFrame]) -> DataFrame:
+    """Current views that have to be dropped."""
+    return graph.affected_views(
+        d["views_diff"], d["altered"], d["dropped_tables"], s["current_depends"], s["current_views"]
+    )
+
+
 def phase_one(s: dict[str, DataFrame], d: dict[str, DataFrame]) -> DataFrame:
     """The drops, each object queued once."""
     ct, cc, ci = s["current_tables"], s["current_constraints"], s["current_indexes"]
-    affected = graph.affected_views(
-        d["views_diff"], d["altered"], d["dropped_tables"], s["current_depends"], s["current_views"]
-    )
     return w.first_queued(
         w.union_rules(
-            w.plan_drop_views(affected),
+            w.plan_drop_views(affected(s, d)),
             w.plan_drop_removed_fks(d["dropped_constraints"], ct),
             w.plan_drop_fks_to_altered(cc, ct, d["altered"]),
             w.plan_drop_pks(cc, d["altered"]),
@@ -113,15 +152,13 @@ def phase_two(s: dict[str, DataFrame], d: dict[str, DataFrame]) -> DataFrame:
     )
 
 
-def recreation(s: dict[str, DataFrame], queue: DataFrame) -> DataFrame:
+def recreation(s: dict[str, DataFrame], d: dict[str, DataFrame]) -> DataFrame:
     """Order in which the dropped current views, and all that read them, come back."""
-    dropped = queue.where("rule = 1").select("db_id", "schema_name", F.col("object_name").alias("name"))
-    seeds = s["current_views"].select(*diff.TABLE, "oid").join(dropped, diff.TABLE, "left_semi")
-    closure = graph.dependency_closure(s["current_depends"], seeds)
+    closure = graph.dependency_closure(s["current_depends"], affected(s, d))
     return graph.recreation_order(s["current_depends"], closure)
 
 
-def phase_three(s: dict[str, DataFrame], d: dict[str, DataFrame], queue: DataFrame) -> DataFrame:
+def phase_three(s: dict[str, DataFrame], d: dict[str, DataFrame], queue: DataFrame, order: DataFrame) -> DataFrame:
     """Rebuilds what phase one dropped. ``queue`` is read many times: pass it staged."""
     cc, ct = s["current_constraints"], s["current_tables"]
     tc, tt = s["target_constraints"], s["target_tables"]
@@ -130,7 +167,7 @@ def phase_three(s: dict[str, DataFrame], d: dict[str, DataFrame], queue: DataFra
         w.plan_recreate_indexes(queue, s["current_indexes"], ct, s["target_indexes"], tt),
         pks,
         w.plan_recreate_fks(queue, pks, cc, ct, tc, tt),
-        w.plan_recreate_views(recreation(s, queue), s["current_views"], s["target_views"], d["views_diff"]),
+        w.plan_recreate_views(order, s["current_views"], s["target_views"], d["views_diff"]),
     )
 
 
@@ -142,7 +179,8 @@ def build_worklist(s: dict[str, DataFrame], d: dict[str, DataFrame] | None = Non
     """
     d = d or stage_differences(s)
     with ThreadPoolExecutor(2) as jobs:
+        order = jobs.submit(lambda: recreation(s, d))
         second = jobs.submit(lambda: stage(phase_two(s, d), "phase-two"))
         queue = stage(phase_one(s, d), "queue")
-        third = stage(phase_three(s, d, queue), "phase-three")
+        third = stage(phase_three(s, d, queue, order.result()), "phase-three")
         return w.number_worklist(w.union_rules(queue, second.result(), third))

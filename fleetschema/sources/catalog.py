@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,13 +53,17 @@ def write_catalog(raw: dict[str, DataFrame], path: str, side: str) -> None:
     """Adds relations to an export in the layout that ``read_catalog`` reads.
 
     Rebalanced by db_id: a large database is split over several tasks, a small
-    one ends in one file.
+    one ends in one file. The relations do not depend on each other, so their
+    jobs are submitted together.
     """
     _check(side)
-    for relation, df in raw.items():
-        shaped(df, relation).hint("rebalance", "db_id").write.mode("append").partitionBy("db_id").parquet(
-            f"{path}/{side}/{relation}"
-        )
+
+    def write(relation: str) -> None:
+        rows = shaped(raw[relation], relation).hint("rebalance", "db_id")
+        rows.write.mode("append").partitionBy("db_id").parquet(f"{path}/{side}/{relation}")
+
+    with ThreadPoolExecutor(4) as jobs:
+        list(jobs.map(write, raw))
 
 
 def read_database(

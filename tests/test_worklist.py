@@ -79,14 +79,10 @@ def test_snapshot_integrity(e):
         assert rows.validate_check(constraints, "type IN ('p', 'f', 'u', 'c', 'x')").isEmpty()
 
 
-TABLES = "db_id int, oid long, schema_name string, name string, relkind string"
-COLUMNS = "db_id int, table_oid long, schema_name string, table_name string, name string, nullable boolean, type string, length int, default_expr string"
 CONSTRAINTS = "db_id int, oid long, name string, type string, table_oid long, ref_table_oid long, expression string"
-INDEXES = "db_id int, oid long, table_oid long, name string, expression string, backs_constraint string"
-SEQUENCES = "db_id int, oid long, schema_name string, name string, type string, start_value long, min_value long, max_value long, increment long, cycles boolean"
-VIEWS = "db_id int, oid long, schema_name string, name string, expression string, is_materialized boolean"
-DEPENDS = "db_id int, ref_oid long, view_oid long"
-SHAPES = {"tables": TABLES, "columns": COLUMNS, "constraints": CONSTRAINTS, "indexes": INDEXES, "sequences": SEQUENCES, "views": VIEWS}
+# key columns and actions of constraints are carried only
+SHAPES = {**migration.SNAPSHOT_COLUMNS, "constraints": CONSTRAINTS}
+DEPENDS = SHAPES.pop("depends")
 
 
 def snapshots(spark, depends=(), **given):
@@ -102,6 +98,26 @@ def ddl_of(worklist):
     return [(r["phase"], r["seq"], r["ddl"]) for r in worklist.orderBy("db_id", "phase", "seq").collect()]
 
 
+def test_tables_are_replaced_and_read_back(spark, tmp_path):
+    one = {"target_tables": [(1, 1, "s", "t", "r"), (2, 2, "s", "u", "m")]}
+    for _ in range(2):
+        given = snapshots(spark, [(1, 1, 2)], **one)
+        for side in ("target", "current"):
+            for column in ("cols", "ref_cols", "on_delete", "on_update"):
+                given[f"{side}_constraints"] = given[f"{side}_constraints"].withColumn(column, F.lit(None).cast("string"))
+        migration.write_tables(given, str(tmp_path))
+    back = migration.read_snapshots(spark, str(tmp_path))
+    assert len(back) == 13
+    assert sorted(tuple(r) for r in back["target_tables"].collect()) == one["target_tables"]
+
+
+def test_rows_present_are_skipped(spark, tmp_path):
+    path = str(tmp_path / "phases")
+    for _ in range(2):
+        runlog.append_missing(runlog.phases(spark), path, ["phase"])
+    assert sorted(r["phase"] for r in spark.read.parquet(path).collect()) == [1, 2, 3]
+
+
 def test_nothing_to_do(spark):
     assert migration.build_worklist(snapshots(spark)).isEmpty()
     same = [(1, 1, "s", "t", "r")]
