@@ -120,9 +120,9 @@ def affected(s: dict[str, DataFrame], d: dict[str, DataFrame]) -> DataFrame:
 def phase_one(s: dict[str, DataFrame], d: dict[str, DataFrame]) -> DataFrame:
     """The drops, each object queued once."""
     ct, cc, ci = s["current_tables"], s["current_constraints"], s["current_indexes"]
-    return w.first_queued(
-        w.union_rules(
-            w.plan_drop_views(affected(s, d)),
+    return w.union_rules(
+        w.plan_drop_views(affected(s, d)),
+        w.queue_drops(
             w.plan_drop_removed_fks(d["dropped_constraints"], ct),
             w.plan_drop_fks_to_altered(cc, ct, d["altered"]),
             w.plan_drop_pks(cc, d["altered"]),
@@ -130,7 +130,7 @@ def phase_one(s: dict[str, DataFrame], d: dict[str, DataFrame]) -> DataFrame:
             w.plan_drop_backed_removed(cc, ci, ct, s["target_indexes"], s["target_tables"]),
             w.plan_drop_indexes(ci, d["altered"], d["new_tables"]),
             w.plan_drop_removed_indexes(d["dropped_indexes"], ct),
-        )
+        ),
     )
 
 

@@ -1,17 +1,18 @@
 """The ordered worklist: one row per change, numbered per database and phase.
 
-Each ``plan_*`` function is one rule and returns rows of the shape ``RULE_ROW``.
-``number_worklist`` puts rules together, lets a dropped object be queued once, and
-numbers the rows. ``ord_*`` columns hold the order inside a rule.
+Each ``plan_*`` function is one rule and returns rows of the shape ``RULE_ROW``; the
+drop rules 2 to 8 return names, which ``queue_drops`` turns into rows, one per
+object. ``number_worklist`` numbers the rows of all rules. ``ord_*`` columns hold
+the order inside a rule.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from fleetschema.functions.ordering import numbered
 from fleetschema.functions.text import qualified, quote_ident, render_type, text, type_text
@@ -41,25 +42,25 @@ def _no_text() -> Column:
 
 def _rows(
     df: DataFrame,
-    rule: int,
+    rule: int | Column,
     phase: int,
     object_type: str | Column,
     operation: str,
     ddl: Column,
     *,
-    object_name: str | Column | None = "name",
+    object_name: str | None = "name",
     table_name: str | None = None,
-    order: tuple[str, ...] = (),
+    order: Sequence[str | Column] = (),
     level: Column | None = None,
     oid: Column | None = None,
-    temporary: bool = False,
+    temporary: bool | Column = False,
 ) -> DataFrame:
     def column(value, missing=None):
         if value is None:
             return _no_text() if missing is None else missing
         return F.col(value) if isinstance(value, str) else value
 
-    keys = [F.col(c) for c in order] + [_no_text()] * (3 - len(order))
+    keys = [column(c) for c in order] + [_no_text()] * (3 - len(order))
     kind = F.lit(object_type) if isinstance(object_type, str) else object_type
     return df.select(
         F.lit(rule).alias("rule"),
@@ -108,20 +109,26 @@ def plan_drop_views(affected_views: DataFrame) -> DataFrame:
     )
 
 
-def _drop_constraints(df: DataFrame, rule: int, phase: int, temporary: bool, order: tuple[str, ...]) -> DataFrame:
-    ddl = text("ALTER TABLE ", _table(), " DROP CONSTRAINT IF EXISTS ", quote_ident("name"), ";")
-    return _rows(
-        df, rule, phase, "CONSTRAINT", "DROP", ddl, table_name="table_name", order=order, temporary=temporary
-    )
-
-
 _BY_NAME = ("name", "schema_name", "table_name")
 _BY_TABLE = ("schema_name", "table_name", "name")
+DROPPED = ["db_id", "object_type", "schema_name", "table_name", "object_name"]
+
+
+def _candidates(df: DataFrame, rule: int, object_type: str) -> DataFrame:
+    """Objects that a drop rule asks for, as names only; ``queue_drops`` makes rows of them."""
+    table = F.col("table_name") if object_type == "CONSTRAINT" else _no_text()
+    return df.select(
+        "db_id",
+        F.lit(object_type).alias("object_type"),
+        "schema_name",
+        table.alias("table_name"),
+        F.col("name").alias("object_name"),
+        F.lit(rule).alias("rule"),
+    )
 
 
 def plan_drop_removed_fks(dropped_constraints: DataFrame, current_tables: DataFrame) -> DataFrame:
-    gone = _on_table(dropped_constraints.where("type = 'f'"), current_tables)
-    return _drop_constraints(gone, 2, 1, False, _BY_NAME)
+    return _candidates(_on_table(dropped_constraints.where("type = 'f'"), current_tables), 2, "CONSTRAINT")
 
 
 def plan_drop_fks_to_altered(
@@ -129,11 +136,11 @@ def plan_drop_fks_to_altered(
 ) -> DataFrame:
     referenced = altered.select("db_id", F.col("oid").alias("ref_table_oid"))
     fks = current_constraints.where("type = 'f'").join(referenced, ["db_id", "ref_table_oid"], "left_semi")
-    return _drop_constraints(_on_table(fks, current_tables), 3, 1, True, _BY_NAME)
+    return _candidates(_on_table(fks, current_tables), 3, "CONSTRAINT")
 
 
 def plan_drop_pks(current_constraints: DataFrame, altered: DataFrame) -> DataFrame:
-    return _drop_constraints(_on_table(current_constraints.where("type = 'p'"), altered), 4, 1, True, _BY_NAME)
+    return _candidates(_on_table(current_constraints.where("type = 'p'"), altered), 4, "CONSTRAINT")
 
 
 def _index_backed(current_constraints: DataFrame, current_indexes: DataFrame) -> DataFrame:
@@ -145,8 +152,7 @@ def _index_backed(current_constraints: DataFrame, current_indexes: DataFrame) ->
 
 
 def plan_drop_backed(current_constraints: DataFrame, current_indexes: DataFrame, altered: DataFrame) -> DataFrame:
-    backed = _on_table(_index_backed(current_constraints, current_indexes), altered)
-    return _drop_constraints(backed.select(OWNER).distinct(), 5, 1, True, _BY_TABLE)
+    return _candidates(_on_table(_index_backed(current_constraints, current_indexes), altered), 5, "CONSTRAINT")
 
 
 def plan_drop_backed_removed(
@@ -158,23 +164,38 @@ def plan_drop_backed_removed(
 ) -> DataFrame:
     backed = _on_table(_index_backed(current_constraints, current_indexes), current_tables)
     kept = _on_table(target_indexes, target_tables).select(*COLUMN_TABLE, F.col("name").alias("index_name"))
-    gone = backed.join(kept, [*COLUMN_TABLE, "index_name"], "left_anti")
-    return _drop_constraints(gone.select(OWNER).distinct(), 6, 1, True, _BY_TABLE)
-
-
-def _drop_indexes(df: DataFrame, rule: int, temporary: bool) -> DataFrame:
-    ddl = text("DROP INDEX IF EXISTS ", _object(), ";")
-    return _rows(df, rule, 1, "INDEX", "DROP", ddl, order=_BY_NAME, temporary=temporary)
+    return _candidates(backed.join(kept, [*COLUMN_TABLE, "index_name"], "left_anti"), 6, "CONSTRAINT")
 
 
 def plan_drop_indexes(current_indexes: DataFrame, altered: DataFrame, new_tables: DataFrame) -> DataFrame:
     free = _on_table(current_indexes.where("backs_constraint IS NULL"), altered)
     fresh = new_tables.select("db_id", "schema_name", F.col("name").alias("table_name"))
-    return _drop_indexes(free.join(fresh, COLUMN_TABLE, "left_anti"), 7, True)
+    return _candidates(free.join(fresh, COLUMN_TABLE, "left_anti"), 7, "INDEX")
 
 
 def plan_drop_removed_indexes(dropped_indexes: DataFrame, current_tables: DataFrame) -> DataFrame:
-    return _drop_indexes(_on_table(dropped_indexes, current_tables), 8, False)
+    return _candidates(_on_table(dropped_indexes, current_tables), 8, "INDEX")
+
+
+def queue_drops(*candidates: DataFrame) -> DataFrame:
+    """Rows for the drop rules 2 to 8; an object that several rules ask for is queued by the first.
+
+    Names are grouped before any text is made, with a partial minimum before the shuffle.
+    """
+    queued = union_rules(*candidates).groupBy(DROPPED).agg(F.min("rule").alias("rule")).withColumnRenamed("object_name", "name")
+    is_index = F.col("object_type") == "INDEX"
+    ddl = F.when(is_index, text("DROP INDEX IF EXISTS ", _object(), ";")).otherwise(_drop_constraint_text())
+    # rules 5 and 6 go by table, the others by name
+    by_table = F.col("rule").isin(5, 6)
+    keys = [F.when(by_table, F.col(t)).otherwise(F.col(n)) for t, n in zip(_BY_TABLE, _BY_NAME, strict=True)]
+    return _rows(
+        queued, F.col("rule"), 1, F.col("object_type"), "DROP", ddl,
+        table_name="table_name", order=keys, temporary=~F.col("rule").isin(2, 8),
+    )
+
+
+def _drop_constraint_text() -> Column:
+    return text("ALTER TABLE ", _table(), " DROP CONSTRAINT IF EXISTS ", quote_ident("name"), ";")
 
 
 # ---- phase 2: structural changes ------------------------------------------
@@ -315,7 +336,9 @@ def plan_add_uniques(constraints_diff: DataFrame, target_tables: DataFrame) -> D
 
 def plan_drop_checks_uniques(dropped_constraints: DataFrame, current_tables: DataFrame) -> DataFrame:
     gone = _on_table(dropped_constraints.where("type IN ('c', 'u')"), current_tables)
-    return _drop_constraints(gone, 20, 2, False, _BY_TABLE)
+    return _rows(
+        gone, 20, 2, "CONSTRAINT", "DROP", _drop_constraint_text(), table_name="table_name", order=_BY_TABLE
+    )
 
 
 # ---- phase 3: rebuild dependent objects -----------------------------------
@@ -433,17 +456,6 @@ _IN_CYCLE = 2**31 - 1
 # ---- numbering and strategy -----------------------------------------------
 
 
-def first_queued(rules: DataFrame) -> DataFrame:
-    """Keeps an object that several phase-1 rules drop where it is queued first.
-
-    A key has at most one row per drop rule.
-    """
-    drops = F.col("rule").between(2, 8)
-    same = Window.partitionBy("db_id", "object_type", "schema_name", "table_name", "object_name").orderBy("rule")
-    kept = rules.where(drops).withColumn("_n", F.row_number().over(same)).where("_n = 1").drop("_n")
-    return rules.where(~drops).unionByName(kept)
-
-
 def union_rules(*rules: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, rules)
 
