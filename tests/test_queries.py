@@ -4,9 +4,10 @@ import pytest
 
 import __spark_entry__ as entry
 from checks.compare import compare
+from checks.queries import QUERIES, oracle_sql
 from tests.conftest import SF
 
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+SQL = oracle_sql()
 
 # rows at sf0.001
 EXPECTED = {
@@ -44,6 +45,10 @@ def test_flags(e):
     assert (indexes.where("is_new").count(), indexes.where("is_changed").count()) == (461, 179)
 
 
+def test_entry_has_every_query():
+    assert QUERIES.items() <= entry.queries().items() and SQL.items() <= entry.oracle_sql().items()
+
+
 def test_entry(spark):
     out = entry.entry(spark)
     assert out.columns == ["db_id", "operation_type", "n"]
