@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: words of the mixing and SimHash contracts: whatever stands between spaces, tabs and line ends
 SPACED_WORD = r"[^\x20\x09-\x0D]+"
@@ -37,3 +39,20 @@ def row_hash(df: DataFrame) -> Column:
     """64 bits of all columns; NULL and the empty string differ."""
     marks = [F.col(quoted(c)).isNull() for c in df.columns]
     return F.xxhash64(*[F.col(quoted(c)) for c in df.columns], *marks)
+
+
+def extended(df: DataFrame, *fields: T.StructField) -> T.StructType:
+    """A new schema: the fields of ``df`` and further ones."""
+    return T.StructType([*df.schema.fields, *fields])
+
+
+def map_batches(df: DataFrame, schema: T.StructType, arrays_of: Callable[[pa.RecordBatch], list[pa.Array]]) -> DataFrame:
+    """``df`` in Arrow batches through ``arrays_of``; columns go by place, so any names will do."""
+    plain = T.StructType([T.StructField(f"c{k}", f.dataType) for k, f in enumerate(schema.fields)])
+    names = plain.names
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays(arrays_of(batch), names)
+
+    return df.toDF(*[f"c{k}" for k in range(len(df.columns))]).mapInArrow(run, plain).toDF(*schema.names)

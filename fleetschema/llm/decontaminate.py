@@ -10,14 +10,13 @@ are compared word by word. The search reads each document once and skips up to
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fleetschema.llm.common import free, quoted
+from fleetschema.llm.common import col, extended, free, map_batches
 from fleetschema.staging import stage
 
 #: test strings that one broadcast holds at most (some 100 bytes each); more are searched block by block
@@ -111,18 +110,17 @@ def test_strings(benchmark: DataFrame, item: str, text: str, window: int) -> Dat
     named; texts that share an item id count as one item.
     """
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids, runs = [], []
-            for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                w = words_of(t)
-                for s in range(max(1, len(w) - window + 1)) if w else ():
-                    ids.append(i)
-                    runs.append(b" ".join(w[s : s + window]))
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(runs, pa.binary())], ["item", "string"])
-
-    runs = benchmark.select(F.col(quoted(item)).cast("long").alias("item"), F.col(quoted(text)).alias("text"))
-    runs = runs.mapInArrow(cut, "item long, string binary")
+    def cut(batch: pa.RecordBatch) -> list[pa.Array]:
+        ids, runs = [], []
+        for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            w = words_of(t)
+            for s in range(max(1, len(w) - window + 1)) if w else ():
+                ids.append(i)
+                runs.append(b" ".join(w[s : s + window]))
+        return [pa.array(ids, pa.int64()), pa.array(runs, pa.binary())]
+
+    runs = benchmark.select(col(item).cast("long").alias("item"), col(text).alias("text"))
+    runs = map_batches(runs, T.StructType.fromDDL("item long, string binary"), cut)
     return runs.groupBy("string").agg(F.sort_array(F.collect_set("item")).alias("items"))
 
 
@@ -176,9 +174,9 @@ def find_hits(
         part = strings.where(F.pmod(F.xxhash64("string"), F.lit(blocks)) == k) if blocks > 1 else strings
         held = [(bytes(r["string"]), list(r["items"])) for r in part.collect()]  # about max_strings rows at most
         shared = _Shared(spark.sparkContext.broadcast(held), uuid.uuid4().hex)
-        schema = T.StructType([*df.schema.fields, T.StructField(name, HITS)])
+        later = k > 0
 
-        def scan(batches: Iterator[pa.RecordBatch], shared=shared, later=k > 0) -> Iterator[pa.RecordBatch]:
+        def scan(batch: pa.RecordBatch, shared=shared, later=later) -> list[pa.Array]:
             search = _search_of(shared)
             kind = pa.struct(
                 [
@@ -187,21 +185,19 @@ def find_hits(
                     ("items", pa.list_(pa.int64())),
                 ]
             )
-            for batch in batches:
-                texts, old = batch.column(at), batch.column(batch.num_columns - 1) if later else None
-                hits = []
-                for i in range(batch.num_rows):  # one text at a time: some are very long
-                    w = words_of(texts[i].as_py())
-                    spans, ids = search(w)
-                    if later:
-                        was = old[i].as_py()
-                        spans = merged([*spans, *((s["start"], s["stop"]) for s in was["spans"])])
-                        ids = ids | set(was["items"])
-                    hits.append({"n_words": len(w), "spans": [{"start": a, "stop": b} for a, b in spans], "items": sorted(ids)})
-                columns = batch.columns[:-1] if later else batch.columns
-                yield pa.RecordBatch.from_arrays([*columns, pa.array(hits, kind)], names=[f.name for f in schema.fields])
-
-        out = out.mapInArrow(scan, schema)
+            texts, old = batch.column(at), batch.column(batch.num_columns - 1) if later else None
+            hits = []
+            for i in range(batch.num_rows):  # one text at a time: some are very long
+                w = words_of(texts[i].as_py())
+                spans, ids = search(w)
+                if later:
+                    was = old[i].as_py()
+                    spans = merged([*spans, *((s["start"], s["stop"]) for s in was["spans"])])
+                    ids = ids | set(was["items"])
+                hits.append({"n_words": len(w), "spans": [{"start": a, "stop": b} for a, b in spans], "items": sorted(ids)})
+            return [*(batch.columns[:-1] if later else batch.columns), pa.array(hits, kind)]
+
+        out = map_batches(out, extended(df, T.StructField(name, HITS)), scan)
     return out
 
 

@@ -18,8 +18,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from fleetschema.llm.common import col
+from fleetschema.llm.common import col, extended, map_batches
 from fleetschema.llm.components import connected_components
 from fleetschema.staging import stage
 
@@ -54,21 +55,19 @@ def _roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 def _bucketed(vectors: DataFrame, tables: int, bits: int, seed: int) -> DataFrame:
     """(id, copies, v) to a row for each table: ..., sigs, t, bucket."""
 
-    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            lists = batch.column(2)
-            lengths = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
-            flat, starts = lists.flatten().to_numpy(zero_copy_only=False), np.concatenate([[0], np.cumsum(lengths)])
-            marks: list[bytes] = [b""] * len(lengths)
-            for d in np.unique(lengths):
-                rows = np.flatnonzero(lengths == d)
-                x = flat[starts[rows][:, None] + np.arange(d)].astype(np.float64)
-                for i, s in zip(rows, signatures(x, tables, bits, seed)):
-                    marks[i] = s.tobytes()
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(marks, pa.binary())], ["id", "copies", "v", "sigs"])
-
-    schema = vectors.schema.add("sigs", "binary")
-    signed = vectors.mapInArrow(sign, schema)
+    def sign(batch: pa.RecordBatch) -> list[pa.Array]:
+        lists = batch.column(2)
+        lengths = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
+        flat, starts = lists.flatten().to_numpy(zero_copy_only=False), np.concatenate([[0], np.cumsum(lengths)])
+        marks: list[bytes] = [b""] * len(lengths)
+        for d in np.unique(lengths):
+            rows = np.flatnonzero(lengths == d)
+            x = flat[starts[rows][:, None] + np.arange(d)].astype(np.float64)
+            for i, s in zip(rows, signatures(x, tables, bits, seed)):
+                marks[i] = s.tobytes()
+        return [*batch.columns, pa.array(marks, pa.binary())]
+
+    signed = map_batches(vectors, extended(vectors, T.StructField("sigs", T.BinaryType())), sign)
     return stage(signed, "signed-vectors")
 
 

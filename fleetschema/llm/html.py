@@ -11,13 +11,13 @@ from __future__ import annotations
 
 import html
 import re
-from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from fleetschema.llm.common import col, free
+from fleetschema.llm.common import col, extended, free, map_batches
 from fleetschema.staging import stage
 
 # Fixed values of HTML: elements without content, and elements whose start or end parts blocks of text.
@@ -275,23 +275,18 @@ def host_of(url: Column) -> Column:
 def host_paths(pages: DataFrame, url: str, page: str) -> DataFrame:
     """(host, path): the path with most votes of each host; of equal ones the first by name."""
 
-    def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            hosts, paths, scores = [], [], []
-            for k in range(batch.num_rows):
-                host = batch.column(0)[k].as_py()
-                for path, score in votes(batch.column(1)[k].as_py()):
-                    hosts.append(host)
-                    paths.append(path)
-                    scores.append(round(score * 1000))  # whole numbers add up the same in any order
-            kinds = (pa.string(), pa.string(), pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(v, t) for v, t in zip((hosts, paths, scores), kinds)], ["host", "path", "score"]
-            )
-
-    cast = pages.select(host_of(col(url)).alias("host"), col(page).alias("page")).mapInArrow(
-        vote, "host string, path string, score long"
-    )
+    def vote(batch: pa.RecordBatch) -> list[pa.Array]:
+        hosts, paths, scores = [], [], []
+        for k in range(batch.num_rows):
+            host = batch.column(0)[k].as_py()
+            for path, score in votes(batch.column(1)[k].as_py()):
+                hosts.append(host)
+                paths.append(path)
+                scores.append(round(score * 1000))  # whole numbers add up the same in any order
+        return [pa.array(hosts, pa.string()), pa.array(paths, pa.string()), pa.array(scores, pa.int64())]
+
+    read = pages.select(host_of(col(url)).alias("host"), col(page).alias("page"))
+    cast = map_batches(read, T.StructType.fromDDL("host string, path string, score long"), vote)
     sums = cast.groupBy("host", "path").agg(F.sum("score").alias("score"))
     best = sums.groupBy("host").agg(F.min_by("path", F.struct((-F.col("score")).alias("s"), "path")).alias("path"))
     return stage(best, "host-paths")
@@ -309,12 +304,10 @@ def extract_main_text(df: DataFrame, url: str = "url", page: str = "html", name:
     joined = df.withColumn("__of", host_of(col(url))).join(paths, F.col("__of") == F.col("__host"), "left")
     joined = joined.select(*map(col, df.columns), "__path")
     at = df.columns.index(page)
-    schema = df.schema.add(name, "string")
 
-    def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            pages, chosen = batch.column(at), batch.column(batch.num_columns - 1)
-            texts = [main_text(pages[k].as_py(), chosen[k].as_py()) for k in range(batch.num_rows)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(texts, pa.string())], names=schema.names)
+    def extract(batch: pa.RecordBatch) -> list[pa.Array]:
+        pages, chosen = batch.column(at), batch.column(batch.num_columns - 1)
+        texts = [main_text(pages[k].as_py(), chosen[k].as_py()) for k in range(batch.num_rows)]
+        return [*batch.columns[:-1], pa.array(texts, pa.string())]
 
-    return joined.mapInArrow(extract, schema)
+    return map_batches(joined, extended(df, T.StructField(name, T.StringType())), extract)

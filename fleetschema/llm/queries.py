@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetschema.llm import decontaminate, mixing
+from fleetschema.llm import decontaminate, embeddings, html, mixing, sharding, simhash
 from fleetschema.llm.common import table
 from fleetschema.llm.sql import ORACLES
 
@@ -30,12 +30,50 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicate_vectors(table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+
+
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = html.extract_main_text(table(spark, sf_dir, "pages", "page_id", "url", "html"))
+    return pages.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
+def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang", "source", "n_chars")
+    dealt = sharding.shard_documents(docs, shards=8)
+    return dealt.select(
+        "doc_id",
+        sharding.text_size(F.col("text")).alias("size"),
+        sharding.text_crc(F.col("text")).alias("text_crc32"),
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    marked = simhash.near_duplicate_groups(table(spark, sf_dir, "documents", "doc_id", "text"))
+    return marked.select("doc_id", simhash.hex_print("fingerprint").alias("fingerprint"), "component_id")
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix_sources(table(spark, sf_dir, "documents", "doc_id", "text", "source"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op3_decontamination, op10_mixing)}
+QUERIES: dict[str, Query] = {
+    f.__name__: f
+    for f in (
+        op3_decontamination,
+        op4_embedding_near_dedup,
+        op5_html_extraction,
+        op6_sharding,
+        op9_simhash_near_dedup,
+        op10_mixing,
+    )
+}
 
 
 def oracle_sql() -> dict[str, str]:

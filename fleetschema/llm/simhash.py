@@ -14,7 +14,6 @@ component. A pair that is found by several variants is emitted by the first.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from itertools import accumulate
 
 import numpy as np
@@ -22,8 +21,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from fleetschema.llm.common import col, free, row_hash
+from fleetschema.llm.common import col, extended, free, map_batches, row_hash
 from fleetschema.llm.components import connected_components
 from fleetschema.staging import stage
 
@@ -62,15 +62,13 @@ def with_fingerprints(df: DataFrame, text: str, name: str, shingle: int = 4) ->
     """``df`` without its text column but with the fingerprint, a signed long."""
     others = [c for c in df.columns if c != text]
 
-    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = batch.column(batch.num_columns - 1)
-            marks = pa.array([fingerprint(texts[i].as_py(), shingle) for i in range(batch.num_rows)], pa.int64())
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], marks], names=[*others, name])
+    def mark(batch: pa.RecordBatch) -> list[pa.Array]:
+        texts = batch.column(batch.num_columns - 1)
+        marks = [fingerprint(texts[i].as_py(), shingle) for i in range(batch.num_rows)]
+        return [*batch.columns[:-1], pa.array(marks, pa.int64())]
 
-    rest = df.select(*map(col, others))
-    schema = rest.schema.add(name, "long")
-    return df.select(*map(col, others), col(text)).mapInArrow(mark, schema)
+    schema = extended(df.select(*map(col, others)), T.StructField(name, T.LongType()))
+    return map_batches(df.select(*map(col, others), col(text)), schema, mark)
 
 
 def segments(distance: int) -> list[tuple[int, int]]:
