@@ -7,13 +7,25 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetschema.llm import decontaminate, embeddings, html, mixing, sharding, simhash
+from fleetschema.llm import decontaminate, embeddings, html, mixing, quality, sharding, simhash
 from fleetschema.llm.common import table
 from fleetschema.llm.sql import ORACLES
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    labels = table(spark, sf_dir, "labels", "doc_id", "quality")
+    model = quality.fit(docs, labels.where(quality.learnable("doc_id")))
+    return quality.score_quality(docs, model).select(
+        "doc_id",
+        (~quality.learnable("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= quality.KEEP).cast("int").alias("predicted"),
+    )
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.find_hits(
         table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "benchmark", "item_id", "text")
@@ -66,6 +78,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
+        op1_quality_classifier,
         op3_decontamination,
         op4_embedding_near_dedup,
         op5_html_extraction,
