@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetschema.llm import decontaminate, embeddings, html, mixing, quality, sharding, simhash
+from fleetschema.llm import decontaminate, embeddings, html, linedup, mixing, quality, sharding, simhash, substring
 from fleetschema.llm.common import table
 from fleetschema.llm.sql import ORACLES
 
@@ -26,6 +26,15 @@ def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _with_counts(substring.dedup_substrings(table(spark, sf_dir, "documents", "doc_id", "text")))
+
+
+def _with_counts(cut: DataFrame) -> DataFrame:
+    lines = F.aggregate("removed", F.lit(0), lambda n, s: n + s["lines"])
+    return cut.select("doc_id", "text", "removed", lines.cast("long").alias("n_removed"))
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.find_hits(
         table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "benchmark", "item_id", "text")
@@ -65,6 +74,10 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _with_counts(linedup.dedup_lines(table(spark, sf_dir, "documents", "doc_id", "text")))
+
+
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     marked = simhash.near_duplicate_groups(table(spark, sf_dir, "documents", "doc_id", "text"))
     return marked.select("doc_id", simhash.hex_print("fingerprint").alias("fingerprint"), "component_id")
@@ -79,10 +92,12 @@ QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_quality_classifier,
+        op2_substring_dedup,
         op3_decontamination,
         op4_embedding_near_dedup,
         op5_html_extraction,
         op6_sharding,
+        op7_line_dedup,
         op9_simhash_near_dedup,
         op10_mixing,
     )
