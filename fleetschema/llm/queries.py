@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetschema.llm import decontaminate, embeddings, html, linedup, mixing, quality, sharding, simhash, substring
+from fleetschema.llm import decontaminate, embeddings, html, linedup, mixing, pii, quality, sharding, simhash, substring
 from fleetschema.llm.common import table
 from fleetschema.llm.sql import ORACLES
 
@@ -78,6 +78,11 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _with_counts(linedup.dedup_lines(table(spark, sf_dir, "documents", "doc_id", "text")))
 
 
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    changed = pii.pseudonymise(table(spark, sf_dir, "documents", "doc_id", "text"))
+    return changed.select("doc_id", "text", "replaced", F.size("replaced").cast("long").alias("n_replaced"))
+
+
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     marked = simhash.near_duplicate_groups(table(spark, sf_dir, "documents", "doc_id", "text"))
     return marked.select("doc_id", simhash.hex_print("fingerprint").alias("fingerprint"), "component_id")
@@ -98,6 +103,7 @@ QUERIES: dict[str, Query] = {
         op5_html_extraction,
         op6_sharding,
         op7_line_dedup,
+        op8_pii,
         op9_simhash_near_dedup,
         op10_mixing,
     )
