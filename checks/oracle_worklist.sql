@@ -180,8 +180,8 @@ FROM o_columns_diff WHERE NOT new_table GROUP BY db_id, schema_name, table_name
 
 -- name: fx_runs
 SELECT db_id, phase, seq, CASE WHEN seq % 50 = 0 AND db_id % 3 = 0 THEN 'ERROR' ELSE 'DONE' END AS status, CASE WHEN seq % 50 = 0 AND db_id % 3 = 0 THEN 'failed at ' || CAST(seq AS STRING) END AS error_msg, CAST('2024-01-01 00:00:00' AS TIMESTAMP) AS recorded_at
-FROM worklist WHERE seq % 7 <> 0
-UNION ALL SELECT db_id, phase, seq, 'DONE', NULL, CAST('2024-01-02 00:00:00' AS TIMESTAMP) FROM worklist WHERE seq % 100 = 0 AND seq % 7 <> 0
+FROM worklist WHERE seq % 7 <> 0 OR db_id % 4 = 1
+UNION ALL SELECT db_id, phase, seq, 'DONE', NULL, CAST('2024-01-02 00:00:00' AS TIMESTAMP) FROM worklist WHERE seq % 100 = 0 AND (seq % 7 <> 0 OR db_id % 4 = 1)
 
 -- name: o_recorded
 SELECT w.db_id, w.phase, w.seq, w.object_type, w.ddl_operation, w.schema_name, w.table_name, w.object_name, w.ddl, w.is_temporary_drop,
@@ -195,7 +195,7 @@ SELECT * EXCLUDE (error_msg, executed_at) FROM o_recorded WHERE status = 'PENDIN
 SELECT * REPLACE (strftime(executed_at, '%Y-%m-%d %H:%M:%S') AS executed_at) FROM o_recorded
 
 -- name: l03_publish_gate
-SELECT db_id, count(*) FILTER (status = 'ERROR') = 0 AS publish FROM o_recorded GROUP BY db_id
+SELECT db_id, count(*) FILTER (status IS DISTINCT FROM 'DONE') = 0 AS publish FROM o_recorded GROUP BY db_id
 
 -- name: l04_run_report
 SELECT phase, object_type, ddl_operation, status, count(*) AS n FROM o_recorded GROUP BY ALL
@@ -203,11 +203,36 @@ SELECT phase, object_type, ddl_operation, status, count(*) AS n FROM o_recorded
 -- name: l04_run_errors
 SELECT db_id, phase, seq, object_type, ddl_operation, schema_name, table_name, object_name, error_msg FROM o_recorded WHERE status = 'ERROR'
 
+-- name: o_wanted
+SELECT d.db_id, CASE WHEN d.is_new THEN 'NEW ' ELSE 'CHANGED ' END || k AS kind, t.schema_name, t.name AS table_name, d.name
+FROM (SELECT 'CONSTRAINT' AS k, db_id, table_oid, name, is_new, is_changed FROM o_constraints_diff
+  UNION ALL SELECT 'INDEX', db_id, table_oid, name, is_new, is_changed FROM o_indexes_diff) d
+JOIN target_tables t ON t.db_id = d.db_id AND t.oid = d.table_oid WHERE d.is_new OR d.is_changed
+UNION ALL SELECT o.db_id, 'NEW ' || k, t.schema_name, t.name, o.name
+FROM (SELECT 'CONSTRAINT' AS k, db_id, table_oid, name FROM target_constraints UNION ALL SELECT 'INDEX', db_id, table_oid, name FROM target_indexes) o
+JOIN target_tables t ON t.db_id = o.db_id AND t.oid = o.table_oid JOIN o_new_tables n ON n.db_id = t.db_id AND n.schema_name = t.schema_name AND n.name = t.name
+
 -- name: l04_unplanned_differences
-SELECT d.db_id, CASE WHEN d.is_new THEN 'NEW CONSTRAINT' ELSE 'CHANGED CONSTRAINT' END AS kind, t.schema_name, t.table_name, d.name
-FROM o_constraints_diff d JOIN o_tgt_con t ON t.oid = d.oid
-WHERE (d.is_new OR d.is_changed) AND (d.db_id, t.schema_name, t.table_name, d.name) NOT IN (SELECT (db_id, schema_name, table_name, object_name) FROM worklist WHERE ddl_operation = 'CREATE' AND object_type = 'CONSTRAINT')
-UNION ALL SELECT d.db_id, CASE WHEN d.is_new THEN 'NEW INDEX' ELSE 'CHANGED INDEX' END, t.schema_name, t.table_name, d.name
-FROM o_indexes_diff d JOIN o_tgt_idx t ON t.oid = d.oid
-WHERE (d.is_new OR d.is_changed) AND (d.db_id, t.schema_name, d.name) NOT IN (SELECT (db_id, schema_name, object_name) FROM worklist WHERE ddl_operation = 'CREATE' AND object_type = 'INDEX')
+SELECT * FROM o_wanted w WHERE kind LIKE '%CONSTRAINT' AND NOT EXISTS (FROM worklist p WHERE p.ddl_operation = 'CREATE' AND p.object_type = 'CONSTRAINT'
+  AND p.db_id = w.db_id AND p.schema_name = w.schema_name AND p.table_name = w.table_name AND p.object_name = w.name)
+UNION ALL SELECT * FROM o_wanted w WHERE kind LIKE '%INDEX' AND NOT EXISTS (FROM worklist p WHERE p.ddl_operation = 'CREATE' AND p.object_type = 'INDEX'
+  AND p.db_id = w.db_id AND p.schema_name = w.schema_name AND p.object_name = w.name)
+UNION ALL SELECT db_id, CASE WHEN is_new THEN 'NEW SEQUENCE' ELSE 'CHANGED SEQUENCE' END, schema_name, NULL, name FROM o_sequences_diff
+WHERE (db_id, schema_name, name) NOT IN (SELECT (db_id, schema_name, object_name) FROM worklist WHERE object_type = 'SEQUENCE')
+UNION ALL SELECT db_id, CASE WHEN is_new THEN 'NEW VIEW' ELSE 'CHANGED VIEW' END, schema_name, NULL, name FROM o_views_diff
+WHERE (db_id, schema_name, name) NOT IN (SELECT (db_id, schema_name, object_name) FROM worklist WHERE object_type LIKE '%VIEW' AND ddl_operation = 'CREATE')
+UNION ALL SELECT db_id, 'NEW TABLE', schema_name, NULL, name FROM o_new_tables
+WHERE (db_id, schema_name, name) NOT IN (SELECT (db_id, schema_name, object_name) FROM worklist WHERE object_type = 'TABLE' AND ddl_operation = 'CREATE')
+UNION ALL SELECT db_id, operation_type, schema_name, table_name, name FROM o_columns_diff
+WHERE (db_id, schema_name, table_name) NOT IN (SELECT (db_id, schema_name, table_name) FROM worklist WHERE object_type = 'COLUMN')
+UNION ALL SELECT db_id, CASE relkind WHEN 'm' THEN 'DROPPED MATERIALIZED VIEW' ELSE 'DROPPED TABLE' END, schema_name, NULL, name FROM o_dropped_tables
+WHERE (db_id, schema_name, name) NOT IN (SELECT (db_id, schema_name, object_name) FROM worklist WHERE object_type IN ('TABLE', 'MATERIALIZED VIEW') AND ddl_operation = 'DROP')
 UNION ALL SELECT db_id, 'DROPPED COLUMN', schema_name, table_name, name FROM o_dropped_columns
+UNION ALL SELECT c.db_id, 'DROPPED CONSTRAINT', t.schema_name, t.name, c.name FROM o_dropped_constraints c JOIN current_tables t ON t.db_id = c.db_id AND t.oid = c.table_oid
+WHERE (c.db_id, t.schema_name, t.name, c.name) NOT IN (SELECT (db_id, schema_name, table_name, object_name) FROM worklist WHERE object_type = 'CONSTRAINT' AND ddl_operation = 'DROP')
+UNION ALL SELECT c.db_id, 'DROPPED INDEX', t.schema_name, t.name, c.name FROM o_dropped_indexes c JOIN current_tables t ON t.db_id = c.db_id AND t.oid = c.table_oid
+WHERE (c.db_id, t.schema_name, c.name) NOT IN (SELECT (db_id, schema_name, object_name) FROM worklist WHERE object_type = 'INDEX' AND ddl_operation = 'DROP')
+UNION ALL SELECT db_id, 'DROPPED SEQUENCE', schema_name, NULL, name FROM current_sequences
+WHERE (db_id, schema_name, name) NOT IN (SELECT (db_id, schema_name, name) FROM target_sequences)
+UNION ALL SELECT db_id, 'TENANT VIEW', schema_name, NULL, object_name FROM worklist WHERE object_type LIKE '%VIEW' AND ddl_operation = 'DROP'
+AND (db_id, schema_name, object_name) NOT IN (SELECT (db_id, schema_name, object_name) FROM worklist WHERE object_type LIKE '%VIEW' AND ddl_operation = 'CREATE')

@@ -243,8 +243,11 @@ def test_gate_and_publish(spark, small_run, tmp_path):
     worklist, outcomes = small_run
     out = runlog.record_status(worklist, outcomes)
     gate = runlog.publish_gate(out, dry_run=False)
-    assert {r["db_id"]: r["publish"] for r in gate.collect()} == {1: True, 2: False, 3: True}
+    # 2 has an error, 3 has never run
+    assert {r["db_id"]: r["publish"] for r in gate.collect()} == {1: True, 2: False, 3: False}
+    unknown = out.withColumn("status", F.when(F.col("db_id") > 1, F.col("status")))
+    assert runlog.publish_gate(unknown, dry_run=False).where("publish").isEmpty()
     assert runlog.publish_gate(out).where("publish").isEmpty()
     data = spark.createDataFrame([(d, i) for d in (1, 2, 3, 4) for i in range(5)], "db_id int, x int")
     runlog.publish(data, gate, str(tmp_path / "out"))
-    assert sorted(r["db_id"] for r in spark.read.parquet(str(tmp_path / "out")).collect()) == [1] * 5 + [3] * 5
+    assert sorted(r["db_id"] for r in spark.read.parquet(str(tmp_path / "out")).collect()) == [1] * 5
