@@ -8,11 +8,14 @@ SELECT event_id, event_type, user_id, CASE WHEN event_id % 13 = 0 THEN 'x' || ev
 SELECT event_id, event_type, user_id, TRY_CAST(code AS INT) AS code FROM o_event_codes
 
 -- name: r02_rewrite_failures
-SELECT event_type, count(*) FILTER (code IS NOT NULL AND TRY_CAST(code AS INT) IS NULL) AS n FROM o_event_codes GROUP BY event_type
+SELECT event_type, count(*) FILTER (code IS NOT NULL AND TRY_CAST(code AS INT) IS NULL) AS n, CAST(0 AS BIGINT) AS n_truncated FROM o_event_codes GROUP BY event_type
 
 -- name: r02_rewrite_char
 SELECT c_custkey, substr(c_name, 1, 10) AS c_name FROM customer
 
+-- name: r02_rewrite_char_failures
+SELECT c_mktsegment, CAST(0 AS BIGINT) AS n, count(*) FILTER (length(c_name) > 10) AS n_truncated FROM customer GROUP BY c_mktsegment
+
 -- name: r03_validate_not_null
 SELECT l_returnflag, count(*) AS n_rows, count(*) FILTER (l_linenumber = 7) AS null_line, count(*) FILTER (l_suppkey % 10 = 3) AS null_supp FROM lineitem GROUP BY l_returnflag
 
@@ -42,6 +45,7 @@ SELECT event_id, substr(event_type, 1, 4) AS event_type, TRY_CAST(code AS INT) A
 -- name: r08_conform_violations
 SELECT * FROM (SELECT 'code' AS column_name, 'NOT_CASTABLE' AS violation, count(*) FILTER (code IS NOT NULL AND TRY_CAST(code AS INT) IS NULL) AS n FROM o_event_codes
   UNION ALL SELECT 'code', 'IS_NULL', count(*) FILTER (TRY_CAST(code AS INT) IS NULL) FROM o_event_codes
+  UNION ALL SELECT 'event_type', 'TRUNCATED', count(*) FILTER (length(event_type) > 4) FROM o_event_codes
   UNION ALL SELECT 'shard', 'IS_NULL', count(*) FROM o_event_codes) x WHERE n > 0
 
 -- name: r09_assign_sequence
@@ -50,7 +54,18 @@ SELECT event_id, CAST(100 + ((row_number() OVER (ORDER BY event_id) - 1) % 500)
 -- name: r09_assign_sequence_plain
 SELECT o_orderkey, CAST(1000 - 3 * (row_number() OVER (ORDER BY o_orderdate, o_orderkey) - 1) AS BIGINT) AS id FROM orders
 
--- name: r10_rebuild_views
+-- name: o_rebuilt
 SELECT c.c_custkey, c.c_mktsegment, sum(q.qty) AS qty, CAST(count(*) AS BIGINT) AS orders
 FROM customer c JOIN orders o ON o.o_custkey = c.c_custkey JOIN (SELECT l_orderkey, sum(l_quantity) AS qty FROM lineitem GROUP BY l_orderkey) q ON q.l_orderkey = o.o_orderkey
 GROUP BY c.c_custkey, c.c_mktsegment
+
+-- name: r10_rebuild_views
+SELECT 'app.totals' AS view_name, c_custkey AS key, qty FROM o_rebuilt
+UNION ALL SELECT 'app.v_order_qty', l_orderkey, sum(l_quantity) FROM lineitem GROUP BY l_orderkey
+UNION ALL SELECT 'audit.totals', c_custkey, CAST(orders AS DOUBLE) FROM o_rebuilt
+
+-- name: r10_rebuild_status
+SELECT 0 AS db_id, * FROM (VALUES ('app', 'v_order_qty', 1, 'REBUILT', true), ('app', 'v_order_customer', 2, 'REBUILT', false), ('app', 'totals', 3, 'REBUILT', true),
+  ('audit', 'v_order_customer', 3, 'REBUILT', false), ('audit', 'totals', 4, 'REBUILT', true), ('app', 'loop_a', 5, 'IN_CYCLE', false), ('app', 'loop_b', 5, 'IN_CYCLE', false),
+  ('app', 'behind', 5, 'IN_CYCLE', false)) v(schema_name, name, level, status, written)
+UNION ALL SELECT 1, 'app', 'totals', 1, 'REBUILT', true

@@ -415,6 +415,12 @@ def r02_rewrite_char(e: Env) -> DataFrame:
     return rows.rewrite_column_type(names, "c_name", "varchar", 14)[0]
 
 
+@query
+def r02_rewrite_char_failures(e: Env) -> DataFrame:
+    names = e.table("customer").select("c_mktsegment", "c_name")
+    return rows.rewrite_column_type(names, "c_name", "varchar", 14, by=["c_mktsegment"])[1]
+
+
 @query
 def r03_validate_not_null(e: Env) -> DataFrame:
     lines = e.table("lineitem").select(
@@ -491,7 +497,7 @@ def _conformed(e: Env) -> tuple[DataFrame, DataFrame]:
     )
     none = e.spark.createDataFrame([], "db_id int, schema_name string, name string")
     changes = diff.columns_diff(target, current, none)
-    return rows.conform_table(_event_codes(e).drop("user_id"), changes, *name)
+    return rows.conform_table(_event_codes(e).drop("user_id"), changes, *name, on_error="null")
 
 
 @query
@@ -519,24 +525,47 @@ def r09_assign_sequence_plain(e: Env) -> DataFrame:
     ).select("o_orderkey", "id")
 
 
-@query
-def r10_rebuild_views(e: Env) -> DataFrame:
-    """Three views on each other over lineitem, orders and customer, rebuilt in the order of their edges."""
-    for t in ("lineitem", "orders", "customer"):
-        e.table(t).createOrReplaceTempView(t)
+def _rebuilt(e: Env) -> tuple[str, DataFrame]:
+    """Views on each other in two schemas that share names, some in a cycle, and a second database."""
+    view = "db_id int, oid long, schema_name string, name string, expression string, is_materialized boolean"
+    customers = "SELECT c.c_custkey, c.c_mktsegment, sum(v.qty) AS qty, count(*) AS orders FROM customer c JOIN v_order_customer v ON v.o_custkey = c.c_custkey GROUP BY c.c_custkey, c.c_mktsegment"
     views = e.spark.createDataFrame(
         [
-            (0, 1, "app", "v_customer", "SELECT c.c_custkey, c.c_mktsegment, sum(v.qty) AS qty, count(*) AS orders FROM customer c JOIN v_order_customer v ON v.o_custkey = c.c_custkey GROUP BY c.c_custkey, c.c_mktsegment", True),
-            (0, 2, "app", "v_order_customer", "SELECT o.o_orderkey, o.o_custkey, q.qty FROM orders o JOIN v_order_qty q ON q.l_orderkey = o.o_orderkey", False),
-            (0, 3, "app", "v_order_qty", "SELECT l_orderkey, sum(l_quantity) AS qty FROM lineitem GROUP BY l_orderkey", True),
+            (0, 1, "app", "totals", customers, True),
+            (0, 2, "app", "v_order_customer", "SELECT o.o_orderkey, o.o_custkey, q.qty FROM orders o JOIN app.v_order_qty q ON q.l_orderkey = o.o_orderkey", False),
+            (0, 3, "app", "v_order_qty", "SELECT l_orderkey, sum(l_quantity) AS qty, 'app.totals' AS note FROM lineitem GROUP BY l_orderkey", True),
+            (0, 4, "audit", "v_order_customer", "SELECT o_custkey, 1.0D AS qty FROM app.v_order_customer", False),
+            (0, 5, "audit", "totals", "SELECT t.c_custkey, sum(v.qty) AS qty FROM app.totals t JOIN v_order_customer v ON v.o_custkey = t.c_custkey GROUP BY t.c_custkey", True),
+            (0, 6, "app", "loop_a", "SELECT * FROM app.loop_b", False),
+            (0, 7, "app", "loop_b", "SELECT * FROM app.loop_a", False),
+            (0, 8, "app", "behind", "SELECT * FROM app.loop_a", True),
+            (1, 1, "app", "totals", "SELECT count(*) AS n FROM orders", True),
         ],
-        "db_id int, oid long, schema_name string, name string, expression string, is_materialized boolean",
+        view,
     )
-    edges = e.spark.createDataFrame([(0, 3, 2), (0, 2, 1)], "db_id int, ref_oid long, view_oid long")
+    reads = [(3, 2), (2, 1), (2, 4), (1, 5), (4, 5), (6, 7), (7, 6), (6, 8)]
+    edges = e.spark.createDataFrame([(0, *r) for r in reads], "db_id int, ref_oid long, view_oid long")
     order = graph.recreation_order(edges, views)
     out = new_folder(e.spark, "rebuilt")
-    rows.rebuild_views(e.spark, order, views, 0, out)
-    return e.spark.read.parquet(f"{out}/app/v_customer")
+    mine = {t: e.table(t) for t in ("lineitem", "orders", "customer")}
+    return out, rows.rebuild_views(e.spark, order, views, out, {0: mine, 1: {"orders": e.table("orders")}})
+
+
+@query
+def r10_rebuild_views(e: Env) -> DataFrame:
+    out, _ = _rebuilt(e)
+    read = lambda name, key: e.spark.read.parquet(f"{out}/0/{name.replace('.', '/')}").select(
+        F.lit(name).alias("view_name"), F.col(key).alias("key"), "qty"
+    )
+    return read("app.totals", "c_custkey").unionByName(read("app.v_order_qty", "l_orderkey")).unionByName(
+        read("audit.totals", "c_custkey")
+    )
+
+
+@query
+def r10_rebuild_status(e: Env) -> DataFrame:
+    _, status = _rebuilt(e)
+    return status.withColumn("written", F.col("path").isNotNull()).drop("path")
 
 
 def oracle_sql() -> dict[str, str]:

@@ -215,9 +215,12 @@ def row_diff(
     shuffle, so a key found very often is one row per task and gives no pairs; it
     is reported once as DUPLICATE_KEY. Either way each side is shuffled once.
     ``null_equal=False`` compares as SQL does: NULL against a value is no change.
-    A key with a NULL part matches nothing.
+    A key with a NULL part matches nothing. Columns that only one side has cannot
+    be compared: they are an error unless ``compare`` says what to compare.
     """
     keys = list(keys)
+    if compare is None and (one_sided := sorted(set(target.columns) ^ set(current.columns))):
+        raise ValueError(f"columns of one side only: {', '.join(one_sided)}; name the columns to compare")
     compare = list(compare or [c for c in target.columns if c in current.columns and c not in keys])
     no_columns = F.array().cast("array<string>")
     t, c = (_one_per_key(side, keys, compare, p, unique_keys) for side, p in ((target, "_t"), (current, "_c")))

@@ -2,17 +2,29 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import re
+from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
+from itertools import groupby
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from fleetschema.functions.joins import unmatched
 from fleetschema.functions.ordering import block_starts, sorted_blocks
 from fleetschema.functions.text import declared_chars, spark_type
 from fleetschema.staging import stage
 
+
+def named(column: str) -> Column:
+    """The column of exactly this name; a dot in it is no field access.
+
+    Names that differ in case only need ``spark.sql.caseSensitive``, as everywhere in Spark.
+    """
+    return F.col("`" + column.replace("`", "``") + "`")
+
+
 # ---- columns --------------------------------------------------------------
 
 
@@ -27,6 +39,12 @@ def _cut(value: Column, type_: str, length: int | None) -> Column:
     return value if n is None else F.substring(value, 1, n)
 
 
+def _truncated(col: str, type_: str, length: int | None) -> Column:
+    """Whether the declared length cuts the value."""
+    n = declared_chars(type_, length)
+    return F.lit(False) if n is None else F.coalesce(F.char_length(named(col).cast("string")) > n, F.lit(False))
+
+
 def add_columns(df: DataFrame, columns: Sequence[dict]) -> DataFrame:
     """Adds missing columns; existing rows get the default, else NULL.
 
@@ -39,29 +57,39 @@ def _converted(col: str, type_: str, length: int | None, on_error: str) -> Colum
     if on_error not in ("fail", "null"):
         raise ValueError("on_error is 'fail' or 'null'")
     target = spark_type(type_, length)
-    value = F.col(col).cast(target) if on_error == "fail" else F.col(col).try_cast(target)
+    value = named(col).cast(target) if on_error == "fail" else named(col).try_cast(target)
     return _cut(value, type_, length)
 
 
 def _not_castable(col: str, type_: str, length: int | None) -> Column:
-    return F.col(col).isNotNull() & F.col(col).try_cast(spark_type(type_, length)).isNull()
+    return named(col).isNotNull() & named(col).try_cast(spark_type(type_, length)).isNull()
 
 
 def rewrite_column_type(
     df: DataFrame, col: str, type_: str, length: int | None = None, on_error: str = "fail", by: Sequence[str] = ()
 ) -> tuple[DataFrame, DataFrame]:
-    """The frame with ``col`` converted in place, and the count of values that do not convert (per ``by``)."""
-    failures = df.groupBy(*by).agg(F.count_if(_not_castable(col, type_, length)).alias("n"))
+    """The frame with ``col`` converted in place, and what that loses (per ``by``).
+
+    The second frame counts the values that do not convert (``n``) and those that
+    the declared length shortens (``n_truncated``), as an explicit cast does.
+    """
+    failures = df.groupBy(*map(named, by)).agg(
+        F.count_if(_not_castable(col, type_, length)).alias("n"),
+        F.count_if(_truncated(col, type_, length)).alias("n_truncated"),
+    )
     return df.withColumn(col, _converted(col, type_, length, on_error)), failures
 
 
 def conform_table(
-    df: DataFrame, columns_diff: DataFrame, db_id: int, schema: str, table: str, on_error: str = "null"
+    df: DataFrame, columns_diff: DataFrame, db_id: int, schema: str, table: str, on_error: str = "fail"
 ) -> tuple[DataFrame, DataFrame]:
     """Applies all column differences of one table to its rows in one projection.
 
     Returns the conformed frame and the violations (column_name, violation, n):
-    values that do not convert, and NULLs in columns that become NOT NULL.
+    values that do not convert, values that a declared length shortens, and NULLs
+    in columns that become NOT NULL. A value that does not convert is an error
+    when the frame is computed; only ``on_error="null"`` makes it NULL, and then the
+    violations have to be read before the frame is used.
     Defaults and relaxed nullability change no row. The collected difference
     holds at most 1,600 columns, PostgreSQL's limit for a table.
     """
@@ -78,20 +106,25 @@ def conform_table(
         | {r["name"] for r in [*added, *retyped.values()] if not r["nullable"]}
     )
     projection = [
-        _converted(c, retyped[c]["type"], retyped[c]["length"], on_error).alias(c) if c in retyped else F.col(c)
+        _converted(c, retyped[c]["type"], retyped[c]["length"], on_error).alias(c) if c in retyped else named(c)
         for c in df.columns
     ] + [default_value(r["default_expr"], r["type"], r["length"]).alias(r["name"]) for r in added]
     conformed = df.select(*projection)
 
     flags = {(c, "NOT_CASTABLE"): _not_castable(c, r["type"], r["length"]) for c, r in retyped.items()}
+    flags |= {
+        (c, "TRUNCATED"): _truncated(c, r["type"], r["length"])
+        for c, r in retyped.items()
+        if declared_chars(r["type"], r["length"]) is not None
+    }
     new = {r["name"]: r for r in added}
     for c in required:
         if c in new:
             value = default_value(new[c]["default_expr"], new[c]["type"], new[c]["length"])
         elif c in retyped:
-            value = F.col(c).try_cast(spark_type(retyped[c]["type"], retyped[c]["length"]))
+            value = named(c).try_cast(spark_type(retyped[c]["type"], retyped[c]["length"]))
         else:
-            value = F.col(c)
+            value = named(c)
         flags[(c, "IS_NULL")] = value.isNull()
     return conformed, _flag_counts(df, flags)
 
@@ -113,8 +146,8 @@ def _flag_counts(df: DataFrame, flags: dict[tuple[str, str], Column]) -> DataFra
 
 def validate_not_null(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """Row count and NULL count of every column, in one pass."""
-    return df.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("n_rows"), *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in cols]
+    return df.groupBy(*map(named, by)).agg(
+        F.count(F.lit(1)).alias("n_rows"), *[F.count_if(named(c).isNull()).alias(f"null_{c}") for c in cols]
     )
 
 
@@ -124,31 +157,38 @@ def validate_unique(df: DataFrame, cols: Sequence[str], primary: bool = False) -
     A key with a NULL part is no duplicate; a primary key does not allow it at all.
     Counts are combined before the shuffle, so a frequent key costs one row per task.
     """
-    cols = list(cols)
-    if not primary:
-        return df.dropna(subset=cols).groupBy(cols).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    has_null = F.lit(False)
-    for c in cols:
-        has_null = has_null | F.col(c).isNull()
-    return df.groupBy(cols).agg(F.count(F.lit(1)).alias("n")).where((F.col("n") > 1) | has_null)
+    keys = [named(c) for c in cols]
+    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    has_null = reduce(Column.__or__, [k.isNull() for k in keys])
+    return counted.where((F.col("n") > 1) | has_null if primary else (F.col("n") > 1) & ~has_null)
 
 
 def validate_foreign_key(
     child: DataFrame, parent: DataFrame, cols: Sequence[str], ref_cols: Sequence[str]
 ) -> DataFrame:
-    """Child rows whose key has no parent; a key with a NULL part passes."""
-    return unmatched(child.dropna(subset=list(cols)), _parent_keys(parent, cols, ref_cols), cols)
+    """Child rows whose key has no parent; a key with a NULL part passes.
+
+    The child is read and shuffled once; a key that very many child rows share is
+    split by adaptive execution, since a referenced key is unique.
+    """
+    complete = reduce(Column.__and__, [named(c).isNotNull() for c in cols])
+    keys = _parent_keys(parent, ref_cols)
+    return child.where(complete).join(keys, _matches(cols), "left_anti")
 
 
 def orphan_keys(child: DataFrame, parent: DataFrame, cols: Sequence[str], ref_cols: Sequence[str]) -> DataFrame:
     """Distinct child keys without a parent and their row count ``n``, counted before the shuffle."""
-    cols = list(cols)
-    keys = child.dropna(subset=cols).groupBy(cols).agg(F.count(F.lit(1)).alias("n"))
-    return keys.join(_parent_keys(parent, cols, ref_cols).distinct(), cols, "left_anti")
+    complete = reduce(Column.__and__, [named(c).isNotNull() for c in cols])
+    keys = child.where(complete).groupBy(*map(named, cols)).agg(F.count(F.lit(1)).alias("n"))
+    return keys.join(_parent_keys(parent, ref_cols), _matches(cols), "left_anti")
 
 
-def _parent_keys(parent: DataFrame, cols: Sequence[str], ref_cols: Sequence[str]) -> DataFrame:
-    return parent.select(*[F.col(r).alias(c) for c, r in zip(cols, ref_cols, strict=True)])
+def _parent_keys(parent: DataFrame, ref_cols: Sequence[str]) -> DataFrame:
+    return parent.select(*[named(r).alias(f"_ref_{k}") for k, r in enumerate(ref_cols)])
+
+
+def _matches(cols: Sequence[str]) -> Column:
+    return reduce(Column.__and__, [named(c) == F.col(f"_ref_{k}") for k, c in enumerate(cols)])
 
 
 def validate_check(df: DataFrame, expression: str) -> DataFrame:
@@ -167,9 +207,10 @@ def validate_exclusion(
     per block, since only the first key of a block can go on from an earlier one.
     A NULL start or end is an open bound; rows with a NULL key pass.
     """
-    keys = list(keys)
+    keys, row = list(keys), [*keys, start, *tiebreak]
     order = [F.col(start).asc_nulls_first(), *[F.col(c).asc() for c in tiebreak]]
-    placed = sorted_blocks(df.dropna(subset=keys), order, keys)
+    # only what the comparison needs is sorted and written; the rows are fetched in the end
+    placed = sorted_blocks(df.select(*dict.fromkeys([*row, end])).dropna(subset=keys), order, keys)
 
     before = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     block_end = placed.groupBy(*keys, "_block").agg(
@@ -190,12 +231,10 @@ def validate_exclusion(
         | (earlier > F.col(start))
         | (F.col(start).isNull() & (~begins | F.col("_carried_open").isNotNull()))
     )
-    return (
-        placed.join(F.broadcast(carried), [*keys, "_block"], "left")  # at most one row per block
-        .withColumn("_overlaps", overlaps)
-        .where("_overlaps")
-        .select(*df.columns)
-    )
+    found = placed.join(carried, [*keys, "_block"], "left").withColumn("_overlaps", overlaps).where("_overlaps")
+    found = stage(found.select(*[F.col(c).alias(f"_row_{k}") for k, c in enumerate(row)]), "overlapping")
+    same = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"_row_{k}")) for k, c in enumerate(row)])
+    return df.join(found, same, "left_semi")
 
 
 # ---- sequence numbers and views -------------------------------------------
@@ -243,33 +282,85 @@ def assign_sequence(
     if cycle:
         again = F.lit(restart) + F.pmod(n - F.lit(first_lap), F.lit(lap)) * F.lit(increment)
         value = F.when(n < F.lit(first_lap), value).otherwise(again)
-    # one row per block
-    return placed.join(F.broadcast(starts), "_block").select(*df.columns, value.cast("long").alias(name))
-
+    return placed.join(starts, "_block").select(*df.columns, value.cast("long").alias(name))
 
-def rebuild_views(spark: SparkSession, order: DataFrame, target_views: DataFrame, db_id: int, out_path: str) -> DataFrame:
-    """Recomputes the views of one database, base views first, and writes the materialized ones.
 
-    ``order`` comes from ``recreation_order`` over the oids of ``target_views``.
-    View text is Spark SQL. Every view becomes a temporary view of its name, so
-    later ones can read it. Returns (schema_name, name, level, path), path NULL
-    for plain views. The driver submits one query per view; the rows stay on the
-    executors.
+def rebuild_views(
+    spark: SparkSession,
+    order: DataFrame,
+    target_views: DataFrame,
+    out_path: str,
+    tables: Mapping[int, Mapping[str, DataFrame]],
+    jobs: int = 8,
+) -> DataFrame:
+    """Recomputes the views of some databases, base views first, and writes the materialized ones.
+
+    ``order`` comes from ``recreation_order`` over the oids of ``target_views``;
+    ``tables`` has for each database the tables that its views may read, by
+    ``schema.name`` or bare name. View text is Spark SQL; it names views and tables
+    as ``schema.name``, or bare after FROM and JOIN, where the view's own schema
+    comes first. Views of one level do not read each other and are submitted
+    together, those of all databases at once. Nothing stays in the session.
+
+    Returns (db_id, schema_name, name, level, status, path) for every view of the
+    order: REBUILT, or IN_CYCLE for those in or behind a cycle, which are not
+    built. ``path`` is that of a materialized view, ``out_path/db_id/schema/name``.
+    The driver holds the views' definitions; their rows stay on the executors.
     """
-    todo = (
-        order.where((F.col("db_id") == db_id) & ~F.col("in_cycle"))
-        .join(target_views, ["db_id", "oid"])
-        .select("level", "oid", "schema_name", "name", "expression", "is_materialized")
-        .orderBy("level", "oid")
-    )
+    wanted = order.where(F.col("db_id").isin(*tables)).join(target_views, ["db_id", "oid"])
+    wanted = wanted.select("db_id", "level", "oid", "schema_name", "name", "expression", "is_materialized", "in_cycle")
+    todo = sorted(wanted.collect(), key=lambda v: (v["level"], v["db_id"], v["oid"]))
+    known: dict[int, dict[str, DataFrame]] = {db: dict(of) for db, of in tables.items()}
+
+    def build(view: Row) -> tuple[DataFrame, str | None]:
+        frames: dict[str, DataFrame] = {}
+        rows = spark.sql(_with_frames(view["expression"], view["schema_name"], known[view["db_id"]], frames), **frames)
+        if not view["is_materialized"]:
+            return rows, None
+        path = f"{out_path}/{view['db_id']}/{view['schema_name']}/{view['name']}"
+        rows.write.mode("overwrite").parquet(path)
+        return spark.read.schema(rows.schema).parquet(path), path
+
     done = []
-    for view in todo.toLocalIterator():
-        rows = spark.sql(view["expression"])
-        path = None
-        if view["is_materialized"]:
-            path = f"{out_path}/{view['schema_name']}/{view['name']}"
-            rows.write.mode("overwrite").parquet(path)
-            rows = spark.read.schema(rows.schema).parquet(path)
-        rows.createOrReplaceTempView(view["name"])
-        done.append((view["schema_name"], view["name"], view["level"], path))
-    return spark.createDataFrame(done, "schema_name string, name string, level int, path string")
+    with ThreadPoolExecutor(jobs) as pool:
+        for level, group in groupby(todo, key=lambda v: v["level"]):
+            views = [v for v in group if not v["in_cycle"]]
+            for view, (rows, path) in zip(views, list(pool.map(build, views)), strict=True):
+                known[view["db_id"]][f"{view['schema_name']}.{view['name']}"] = rows
+                done.append((view["db_id"], view["schema_name"], view["name"], level, "REBUILT", path))
+    done += [(v["db_id"], v["schema_name"], v["name"], v["level"], "IN_CYCLE", None) for v in todo if v["in_cycle"]]
+    return spark.createDataFrame(done, "db_id int, schema_name string, name string, level int, status string, path string")
+
+
+# What may follow a table's name where it has no alias.
+_AFTER_TABLE = frozenset(
+    "on using where group having order limit window union intersect except join inner left right full cross natural "
+    "semi anti lateral pivot unpivot tablesample offset sort distribute cluster".split()
+)
+
+
+def _with_frames(text: str, schema: str, known: Mapping[str, DataFrame], frames: dict[str, DataFrame]) -> str:
+    """``text`` with a placeholder for every known view or table that it names; ``frames`` gets what they stand for.
+
+    Only names after FROM and JOIN, and qualified ones after a comma, are looked at; strings are left alone.
+    """
+    full = "|".join(rf"{re.escape(a)}\s*\.\s*{re.escape(b)}" for a, _, b in (k.partition(".") for k in known) if b)
+    bare = "|".join(sorted({re.escape(k.rpartition(".")[2]) for k in known}, key=len, reverse=True))
+    end = r"(?![\w`\"]|\s*[.(])"
+    read = [rf"(?:\b(?:FROM|JOIN)[\s(]+|,\s*)(?P<full>{full}){end}"] if full else [r"(?P<full>(?!))"]
+    read += [rf"\b(?:FROM|JOIN)[\s(]+(?P<bare>{bare}){end}"] if bare else [r"(?P<bare>(?!))"]
+
+    def placed(m: re.Match) -> str:
+        found = m["full"] or m["bare"]
+        if found is None:
+            return m[0].replace("{", "{{").replace("}", "}}")
+        own = f"{schema}.{found}"
+        key = re.sub(r"\s", "", found) if m["full"] else own if own in known else found
+        if key not in known:
+            return m[0]
+        frames[slot := f"frame{len(frames)}"] = known[key]
+        following = re.match(r"\s+(?:AS\s+)?(\w+)", text[m.end() :], re.IGNORECASE)
+        aliased = following and following[1].lower() not in _AFTER_TABLE
+        return f"{m[0][: -len(found)]}{{{slot}}}" + ("" if aliased else f" AS `{key.rpartition('.')[2]}`")
+
+    return re.sub("|".join([r"'(?:[^']|'')*'", r"[{}]", *read]), placed, text, flags=re.IGNORECASE)

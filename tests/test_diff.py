@@ -125,3 +125,10 @@ def test_constraint_is_matched_by_table_and_name(spark):
     assert out == {1: (False, False), 2: (True, False)}
     # dropped constraints go by bare name
     assert diff.dropped_constraints(cc, tc, ct.limit(0)).isEmpty()
+
+
+def test_columns_of_one_side_are_an_error(spark):
+    a, b = spark.createDataFrame([(1, 2)], "k int, a int"), spark.createDataFrame([(1, 3)], "k int, b int")
+    with pytest.raises(ValueError, match="a, b"):
+        row_diff(a, b, ["k"])
+    assert row_diff(a, b, ["k"], compare=[]).isEmpty()

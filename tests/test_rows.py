@@ -111,11 +111,11 @@ def test_rewrite_modes(spark):
     out, failures = rows.rewrite_column_type(df, "v", "int4", on_error="null")
     assert out.schema["v"].dataType == T.IntegerType()
     assert [tuple(r) for r in out.orderBy("id").collect()] == [(1, 5), (2, None), (3, None)]
-    assert failures.first()["n"] == 1
+    assert tuple(failures.first()) == (1, 0)
     with pytest.raises(NumberFormatException):
         rows.rewrite_column_type(df, "v", "int4")[0].collect()
-    cut = rows.rewrite_column_type(spark.createDataFrame([("abcdef",)], "v string"), "v", "varchar", 7)[0]
-    assert cut.first()["v"] == "abc"
+    cut, lost = rows.rewrite_column_type(spark.createDataFrame([("abcdef",), ("abc",), (None,)], "v string"), "v", "varchar", 7)
+    assert [r["v"] for r in cut.collect()] == ["abc", "abc", None] and tuple(lost.first()) == (0, 1)
 
 
 def test_type_names():
@@ -148,10 +148,43 @@ def test_conform(spark):
         ],
         DIFF,
     )
-    out, violations = rows.conform_table(df, changes, 1, "s", "t")
+    with pytest.raises(NumberFormatException):  # losing a value has to be asked for
+        rows.conform_table(df, changes, 1, "s", "t")[0].collect()
+    out, violations = rows.conform_table(df, changes, 1, "s", "t", on_error="null")
     assert [tuple(r) for r in out.orderBy("id").collect()] == [(1, 7, "a", 42, None), (2, None, None, 42, None)]
     assert sorted(tuple(r) for r in violations.collect()) == [
         ("v", "IS_NULL", 1), ("v", "NOT_CASTABLE", 1), ("w", "IS_NULL", 1), ("y", "IS_NULL", 2)
     ]
     same, none = rows.conform_table(df, changes, 3, "s", "t")
     assert same.columns == df.columns and none.isEmpty()
+
+
+def test_names_with_a_dot(spark):
+    df = spark.createDataFrame([(1, "5", None), (1, "long text", 2)], "`a.b` int, `c.d` string, `e``f` int")
+    change = lambda name, type_, length, op: (1, "s", "t", name, type_, False, length, None, op)
+    changes = spark.createDataFrame([change("c.d", "varchar", 8, "ALTER_TYPE"), change("e`f", "int4", -1, "SET_NOT_NULL")], DIFF)
+    out, violations = rows.conform_table(df, changes, 1, "s", "t")
+    assert [r["c.d"] for r in out.collect()] == ["5", "long"]
+    assert sorted(map(tuple, violations.collect())) == [("c.d", "TRUNCATED", 1), ("e`f", "IS_NULL", 1)]
+    assert [r["n"] for r in rows.validate_unique(df, ["a.b"]).collect()] == [2]
+    assert tuple(rows.validate_not_null(df, ["a.b", "e`f"]).first()) == (2, 0, 1)
+    parent = spark.createDataFrame([(2,)], "`x.y` int")
+    assert rows.validate_foreign_key(df, parent, ["a.b"], ["x.y"]).count() == 2
+    assert rows.orphan_keys(df, parent, ["e`f"], ["x.y"]).isEmpty()
+
+
+def test_rebuilt_views_leave_nothing_behind(spark, tmp_path):
+    spark.createDataFrame([(7,)], "x int").createOrReplaceTempView("v")
+    before = {t.name for t in spark.catalog.listTables()}
+    views = spark.createDataFrame(
+        [(1, 1, "a", "v", "SELECT 1 AS x", False), (1, 2, "b", "v", "SELECT 2 AS x", False),
+         (1, 3, "a", "w", "SELECT v.x, p.x AS y, 'a.v {x}' AS t FROM v JOIN b . v p ON true", True),
+         (1, 4, "b", "w", "SELECT x FROM v", True)],
+        "db_id int, oid long, schema_name string, name string, expression string, is_materialized boolean",
+    )
+    order = views.selectExpr("db_id", "oid", "CASE WHEN name = 'v' THEN 1 ELSE 2 END AS level", "false AS in_cycle")
+    rows.rebuild_views(spark, order, views, str(tmp_path), {1: {}})
+    assert tuple(spark.read.parquet(f"{tmp_path}/1/a/w").first()) == (1, 2, "a.v {x}")
+    assert spark.read.parquet(f"{tmp_path}/1/b/w").first()["x"] == 2
+    assert {t.name for t in spark.catalog.listTables()} == before and spark.table("v").first()["x"] == 7
+    spark.catalog.dropTempView("v")
