@@ -4,8 +4,8 @@ Terms are byte trigrams, once of character classes and once of lower-case letter
 (hashed), and how often a word follows itself. The term vectors of a bounded
 sample of labelled texts give the latent space by a singular value
 decomposition; the sample's latent vectors are broadcast, every document is
-compared with all of them in blocks, and the labels of the nearest vote with
-their cosine as weight.
+compared with all of them in blocks, and the labels of the nearest vote, weighted
+by similarity.
 """
 
 from __future__ import annotations
@@ -26,6 +26,8 @@ from fleetschema.staging import stage
 SAMPLE = 2048
 DIMENSIONS = 32
 NEIGHBOURS = 15
+#: a neighbour's weight is its cosine to this power, so that a rare kind of text is not outvoted by remote ones
+SHARPNESS = 4
 KEEP = 0.3
 
 _CLASSES, _LETTERS = 11, 512
@@ -88,7 +90,7 @@ class Model:
             terms = np.stack([term_vector(texts[i]) for i in rows])
             cosines = _unit((terms - self.mean) @ self.basis) @ self.vectors.T
             near = np.argpartition(-cosines, k - 1, axis=1)[:, :k]
-            weights = np.take_along_axis(cosines, near, axis=1).clip(0).astype(np.float64)
+            weights = np.take_along_axis(cosines, near, axis=1).clip(0).astype(np.float64) ** SHARPNESS
             total = weights.sum(axis=1)
             voted = (weights * self.labels[near]).sum(axis=1) / np.where(total > 0, total, 1)
             out[rows] = np.where(total > 0, voted, self.prior).clip(0, 1)
