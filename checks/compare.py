@@ -15,10 +15,11 @@ sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
 from checks.env import TABLES  # noqa: E402
 from checks.queries import QUERIES, oracle_sql  # noqa: E402
+from checks.session import prepared  # noqa: E402
 
 
 def local_spark(cpus: str = "8", partitions: int = 8) -> SparkSession:
-    return (
+    return prepared(
         SparkSession.builder.master(f"local[{cpus}]")
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.driver.memory", "12g")

@@ -146,7 +146,7 @@ SELECT db_id, table_oid * 100 + CAST(substr(name,2) AS INT) AS oid, table_oid AS
   WHERE default_expr IS NOT NULL
 
 -- name: raw_{x}_constraint
-SELECT c.db_id, c.oid, c.name AS conname, c.type AS contype, 2000 + CAST(substr(t.schema_name,2,1) AS INT) AS connamespace, c.table_oid AS conrelid, COALESCE(c.ref_table_oid, 0) AS confrelid, CASE WHEN c.type IN ('p','u') THEN c.oid + 300000000 ELSE 0 END AS conindid, CASE WHEN c.type = 'f' THEN 'a' ELSE ' ' END AS confdeltype
+SELECT c.db_id, c.oid, c.name AS conname, c.type AS contype, 2000 + CAST(substr(t.schema_name,2,1) AS INT) AS connamespace, c.table_oid AS conrelid, COALESCE(c.ref_table_oid, 0) AS confrelid, CASE WHEN c.type IN ('p','u') THEN c.oid + 300000000 ELSE 0 END AS conindid, CASE WHEN c.type = 'f' THEN 'a' ELSE ' ' END AS confdeltype, CASE WHEN c.type <> 'f' THEN ' ' WHEN c.oid % 3 = 0 THEN 'c' ELSE 'a' END AS confupdtype, split(CASE WHEN c.type = 'u' THEN '2' WHEN c.type = 'c' AND c.oid % 2 = 0 THEN '1,3' ELSE '1' END, ',') AS conkey, CASE WHEN c.type = 'f' THEN split('1', ',') END AS confkey
   FROM {x}_constraints c JOIN {x}_tables t ON t.db_id = c.db_id AND t.oid = c.table_oid
 
 -- name: raw_{x}_index

@@ -33,6 +33,24 @@ def _both_sides(e: Env, snapshot: Callable[[dict[str, DataFrame]], DataFrame]) -
 # ---- sources and snapshots ------------------------------------------------
 
 
+# a number and a text of each relation, by which its rows are compared
+_CONTENTS = {
+    "namespace": ("oid", "nspname"),
+    "class": ("oid", "relname"),
+    "attribute": ("attrelid + attnum", "attname"),
+    "type": ("oid", "typname"),
+    "attrdef": ("oid", "''"),
+    "constraint": ("oid", "conname"),
+    "index": ("indexrelid", "''"),
+    "sequence": ("seqrelid + seqmax", "''"),
+    "depend": ("objid + refobjid", "deptype"),
+    "rewrite": ("oid + ev_class", "''"),
+    "proc": ("oid", "proname"),
+    "trigger": ("oid", "tgname"),
+    "definitions": ("object_oid", "definition"),
+}
+
+
 @query
 def s01_read_catalog(e: Env) -> DataFrame:
     path = new_folder(e.spark, "export")
@@ -42,15 +60,20 @@ def s01_read_catalog(e: Env) -> DataFrame:
         for relation, df in read_catalog(e.spark, path, side).items():
             if side == "target" and relation in ("depend", "rewrite"):
                 continue  # only the current side has them
-            n = df.groupBy("db_id").agg(F.count(F.lit(1)).alias("n"))
-            n = n.select(F.lit(side).alias("side"), F.lit(relation).alias("relation"), "db_id", "n")
+            number, text = _CONTENTS[relation]
+            n = df.groupBy("db_id").agg(
+                F.count(F.lit(1)).alias("n"),
+                F.sum(F.expr(number)).cast("long").alias("numbers"),
+                F.sum(F.length(F.expr(text))).alias("characters"),
+            )
+            n = n.select(F.lit(side).alias("side"), F.lit(relation).alias("relation"), "db_id", "n", "numbers", "characters")
             out = n if out is None else out.unionByName(n)
     return out
 
 
 @query
 def s02_object_definitions(e: Env) -> DataFrame:
-    return snapshots.object_definitions(e.raw("current"))
+    return _both_sides(e, snapshots.object_definitions)
 
 
 @query
@@ -65,8 +88,8 @@ def s04_snapshot_columns(e: Env) -> DataFrame:
 
 @query
 def s05_snapshot_constraints(e: Env) -> DataFrame:
-    # the fixture has no key columns and no update action
-    return _both_sides(e, snapshots.snapshot_constraints).drop("cols", "ref_cols", "on_update")
+    found = _both_sides(e, snapshots.snapshot_constraints)
+    return found.withColumns({c: F.concat_ws(",", F.col(c).cast("array<string>")) for c in ("cols", "ref_cols")})
 
 
 @query

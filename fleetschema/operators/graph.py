@@ -92,25 +92,23 @@ def dependency_closure(edges: DataFrame, seeds: DataFrame, max_depth: int | None
     """Everything reached from the seeds, with the shallowest depth; seeds have depth 1.
 
     Breadth first: a node is kept when first met, which gives the shallowest
-    depth and ends on cycles. Every level is written to the shared folder.
+    depth and ends on cycles. Every level is written to the shared folder. Edges to
+    the nodes met last are dropped, so no later level reads them or what was met before.
     """
     spark = edges.sparkSession
-    edges = stage(edges.select("db_id", "ref_oid", "view_oid").distinct(), "edges")
     folder = new_folder(spark, "closure")
     frontier = stage(seeds.select(NODE).distinct(), "level", f"{folder}/depth=1")
-    reached = spark.read.schema(_node_schema(seeds) + ", depth int").parquet(folder)
+    left = edges.select("db_id", "ref_oid", "view_oid").distinct()
     depth = 1
     while not frontier.isEmpty() and (max_depth is None or depth < max_depth):
         depth += 1
-        following = (
-            edges.join(frontier.withColumnRenamed("oid", "ref_oid"), ["db_id", "ref_oid"])
-            .select("db_id", F.col("view_oid").alias("oid"))
-            .distinct()
-            .join(reached.select(NODE), NODE, "left_anti")
+        met = frontier.withColumnRenamed("oid", "view_oid")
+        left = stage(left.join(met, ["db_id", "view_oid"], "left_anti"), "edges")
+        following = left.join(frontier.withColumnRenamed("oid", "ref_oid"), ["db_id", "ref_oid"]).select(
+            "db_id", F.col("view_oid").alias("oid")
         )
-        frontier = stage(following, "level", f"{folder}/depth={depth}")
-        reached = spark.read.schema(reached.schema).parquet(folder)
-    return reached
+        frontier = stage(following.distinct(), "level", f"{folder}/depth={depth}")
+    return spark.read.schema(_node_schema(seeds) + ", depth int").parquet(folder)
 
 
 def _node_schema(nodes: DataFrame) -> str:

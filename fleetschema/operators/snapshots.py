@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 # Schemas that never take part, the same list for both sides.
 IGNORED_SCHEMAS = ("pg_toast", "pg_catalog", "information_schema", "_migrations")
-SALTS = 32
 
 
 def _schemas(raw: dict[str, DataFrame], key: str) -> DataFrame:
@@ -46,6 +45,12 @@ def snapshot_tables(raw: dict[str, DataFrame]) -> DataFrame:
 
 
 def snapshot_columns(raw: dict[str, DataFrame]) -> DataFrame:
+    """Columns with their number in the table, to which key numbers of constraints refer.
+
+    A table has at most 1,600 columns, so its defaults fit into one map; the
+    attributes, the large side, are then shuffled by table once. The type's name
+    is added last, from the small side.
+    """
     tables = _classes(raw, "r").select(
         "db_id", F.col("oid").alias("table_oid"), "schema_name", F.col("name").alias("table_name")
     )
@@ -61,15 +66,18 @@ def snapshot_columns(raw: dict[str, DataFrame]) -> DataFrame:
     defaults = (
         raw["attrdef"]
         .select("db_id", "oid", F.col("adrelid").alias("table_oid"), F.col("adnum").alias("attnum"))
-        .join(_texts(raw, "column_default"), ["db_id", "oid"], "left")
-        .select("db_id", "table_oid", "attnum", F.col("expression").alias("default_expr"))
+        .join(_texts(raw, "column_default"), ["db_id", "oid"])
+        .groupBy("db_id", "table_oid")
+        .agg(F.map_from_entries(F.collect_list(F.struct("attnum", "expression"))).alias("defaults"))
     )
     return (
-        attributes.join(_types(raw, "atttypid"), ["db_id", "atttypid"])
-        .join(tables, ["db_id", "table_oid"])
-        .join(defaults, ["db_id", "table_oid", "attnum"], "left")
-        .select("table_oid", "db_id", "schema_name", "table_name", "name", "nullable", "type", "length", "default_expr")
-    )
+        attributes.join(tables.join(defaults, ["db_id", "table_oid"], "left"), ["db_id", "table_oid"])
+        .join(_types(raw, "atttypid"), ["db_id", "atttypid"])
+        .select(
+            "table_oid", "db_id", "schema_name", "table_name", "name", "nullable", "type", "length",
+            F.try_element_at("defaults", F.col("attnum")).alias("default_expr"), "attnum",
+        )
+    )
 
 
 def snapshot_constraints(raw: dict[str, DataFrame]) -> DataFrame:
@@ -210,8 +218,10 @@ def fan_out_model(model: DataFrame, databases: DataFrame, model_key: str = "mode
 
     Each database names the model it follows, so this is an equi join. All of
     them may name the same one: databases are dealt over salts and the model,
-    the small side, is repeated once per salt.
+    the small side, is repeated once per salt. There are as many salts as shuffle
+    partitions.
     """
-    followers = databases.select("db_id", model_key).distinct().withColumn("_salt", F.pmod(F.hash("db_id"), F.lit(SALTS)))
-    copies = model.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salts = int(databases.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    followers = databases.select("db_id", model_key).distinct().withColumn("_salt", F.pmod(F.hash("db_id"), F.lit(salts)))
+    copies = model.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return followers.join(copies.drop("db_id") if "db_id" in model.columns else copies, [model_key, "_salt"]).drop("_salt")

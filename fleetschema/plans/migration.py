@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
 from fleetschema.operators import diff, graph, snapshots
 from fleetschema.plans import worklist as w
+from fleetschema.sources.catalog import BUCKET, bucketed, of_databases
 from fleetschema.staging import stage
 
 KINDS = ("tables", "columns", "constraints", "indexes", "sequences", "views")
@@ -17,11 +19,11 @@ DIFFS = (  # the first two are part of others
 )
 
 
-# Columns of the snapshots; `default`, `start`, `min` and `max` of a catalog have longer names here.
+# Columns of the snapshots; `default`, `start`, `min` and `max` of a catalog have longer names here.
 SNAPSHOT_COLUMNS = {
     "tables": "db_id int, oid long, schema_name string, name string, relkind string",
     "columns": "db_id int, table_oid long, schema_name string, table_name string, name string, nullable boolean, "
-    "type string, length int, default_expr string",
+    "type string, length int, default_expr string, attnum int",
     "constraints": "db_id int, oid long, name string, type string, table_oid long, ref_table_oid long, "
     "cols array<smallint>, ref_cols array<smallint>, expression string, on_delete string, on_update string",
     "indexes": "db_id int, oid long, table_oid long, name string, expression string, backs_constraint string",
@@ -33,22 +35,19 @@ SNAPSHOT_COLUMNS = {
 
 
 def write_tables(tables: dict[str, DataFrame], path: str) -> None:
-    """Writes snapshots, differences or a worklist as ``path/name`` by db_id; an earlier run is replaced.
-
-    Rebalanced by db_id, so a large database is written by several tasks.
-    """
+    """Writes snapshots, differences or a worklist as ``path/name`` in folders of several databases; an earlier run is replaced."""
     for name, df in tables.items():
-        df.hint("rebalance", "db_id").write.mode("overwrite").partitionBy("db_id").parquet(f"{path}/{name}")
+        bucketed(df).write.mode("overwrite").partitionBy(BUCKET).parquet(f"{path}/{name}")
 
 
-def read_snapshots(spark: SparkSession, path: str) -> dict[str, DataFrame]:
-    """The snapshots of both sides, as written by ``write_tables``."""
+def read_snapshots(spark: SparkSession, path: str, databases: Iterable[int] | None = None) -> dict[str, DataFrame]:
+    """The snapshots of both sides, as written by ``write_tables``; of some databases, or of all."""
     names = [f"{side}_{kind}" for side in ("target", "current") for kind in KINDS] + ["current_depends"]
+    databases = None if databases is None else list(databases)
 
     def read(name: str) -> DataFrame:
         columns = SNAPSHOT_COLUMNS[name.split("_", 1)[1]]
-        # db_id is a folder, so it is read as the last column
-        return spark.read.schema(columns).parquet(f"{path}/{name}").select([c.split()[0] for c in columns.split(", ")])
+        return of_databases(spark.read.schema(f"{columns}, {BUCKET} int").parquet(f"{path}/{name}"), databases)
 
     return {n: read(n) for n in names}
 

@@ -262,7 +262,7 @@ def plan_new_table_columns(target_columns: DataFrame, new_tables: DataFrame) ->
     )
 
 
-# Operations batched into one statement per table.
+# Operations batched into one statement per table.
 BATCHED = ("ADD_COLUMN", "SET_DEFAULT", "DROP_DEFAULT", "DROP_NOT_NULL")
 
 

@@ -1,12 +1,16 @@
-"""Catalog exports of the fleet: one parquet table per catalog relation and side, partitioned by ``db_id``."""
+"""Catalog exports of the fleet: one parquet table per catalog relation and side, in folders of several databases."""
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fleetschema.staging import stage
+
 SIDES = ("target", "current")
 
 # The catalog relations and the columns of each that are read.
@@ -38,34 +42,79 @@ def shaped(df: DataFrame, relation: str) -> DataFrame:
     )
 
 
-def read_catalog(spark: SparkSession, path: str, side: str) -> dict[str, DataFrame]:
-    """The relations of one side, read from ``path/side/relation``."""
+#: partitions of a written table; a fleet of any width is so many folders
+BUCKETS = 64
+BUCKET = "db_bucket"
+
+
+def bucketed(df: DataFrame) -> DataFrame:
+    """With the folder each database goes to. Rebalanced by it: a large database is written by several tasks."""
+    return df.withColumn(BUCKET, F.pmod("db_id", F.lit(BUCKETS))).hint("rebalance", BUCKET)
+
+
+def of_databases(df: DataFrame, databases: Iterable[int] | None) -> DataFrame:
+    """The rows of some databases, from their folders only; of all with None."""
+    if databases is not None:
+        ids = sorted(set(databases))
+        df = df.where(F.col(BUCKET).isin({i % BUCKETS for i in ids}) & F.col("db_id").isin(ids))
+    return df.drop(BUCKET)
+
+
+def read_catalog(
+    spark: SparkSession, path: str, side: str, databases: Iterable[int] | None = None
+) -> dict[str, DataFrame]:
+    """The relations of one side, read from ``path/side/relation``; of some databases, or of all."""
     _check(side)
+    databases = None if databases is None else list(databases)
     return {
-        r: spark.read.schema(f"{columns}, db_id int").parquet(f"{path}/{side}/{r}").select(
-            "db_id", *[f.strip().split(" ")[0] for f in columns.split(",")]
-        )
+        r: of_databases(
+            spark.read.schema(f"{columns}, db_id int, {BUCKET} int").parquet(f"{path}/{side}/{r}"), databases
+        ).select("db_id", *[f.strip().split(" ")[0] for f in columns.split(",")])
         for r, columns in RELATIONS.items()
     }
 
 
 def write_catalog(raw: dict[str, DataFrame], path: str, side: str) -> None:
-    """Adds relations to an export in the layout that ``read_catalog`` reads.
+    """Puts relations into an export in the layout that ``read_catalog`` reads.
 
-    Rebalanced by db_id: a large database is split over several tasks, a small
-    one ends in one file. The relations do not depend on each other, so their
-    jobs are submitted together.
+    What the export has of the databases in ``raw`` is replaced, in all relations
+    given; other databases stay. Only the folders that these databases are in are
+    written anew: first the new files, then the old ones are deleted, so a run that
+    breaks off loses nothing and has to be repeated. One writer at a time for an
+    export. The relations do not depend on each other, so their jobs are submitted together.
     """
     _check(side)
+    shapes = {r: shaped(df, r) for r, df in raw.items()}
+    ids = reduce(DataFrame.unionByName, [df.select("db_id") for df in shapes.values()]).distinct()
+    ids = stage(ids, "exported-databases")
+    spark = ids.sparkSession
+    buckets = [r[0] for r in ids.select(F.pmod("db_id", F.lit(BUCKETS))).distinct().collect()]  # at most BUCKETS
 
     def write(relation: str) -> None:
-        rows = shaped(raw[relation], relation).hint("rebalance", "db_id")
-        rows.write.mode("append").partitionBy("db_id").parquet(f"{path}/{side}/{relation}")
+        place, rows, replaced = f"{path}/{side}/{relation}", shapes[relation], []
+        if folders := [f for b in buckets if exists(spark, f := f"{place}/{BUCKET}={b}")]:
+            read = spark.read.schema(f"{RELATIONS[relation]}, db_id int, {BUCKET} int").option("basePath", place)
+            old = read.parquet(*folders)
+            replaced = old.inputFiles()
+            rows = rows.unionByName(old.drop(BUCKET).join(ids, "db_id", "left_anti"))
+        bucketed(rows).write.mode("append").partitionBy(BUCKET).parquet(place)
+        delete(spark, replaced)
 
     with ThreadPoolExecutor(4) as jobs:
         list(jobs.map(write, raw))
 
 
+def exists(spark: SparkSession, folder: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
+def delete(spark: SparkSession, files: list[str]) -> None:
+    for file in files:  # named as URIs
+        place = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(file))
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, False)
+
+
 def read_database(
     spark: SparkSession, db_id: int, url: str, relations: dict[str, str], options: dict[str, str] | None = None
 ) -> dict[str, DataFrame]:

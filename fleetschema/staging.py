@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,18 +10,15 @@ _RUN_FOLDERS: dict[str, str] = {}
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir`` (or an earlier ``setCheckpointDir``).
+    """The folder named by ``spark.checkpoint.dir`` (or an earlier ``setCheckpointDir``), which all executors share.
 
-    Only a local session without either gets a folder of its own, since a
-    machine-local folder is not visible to the executors of a cluster.
+    There is no default, in local sessions neither: a folder that only one
+    machine sees loses the tables of the others.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if root:
-        return root
-    if not spark.sparkContext.master.startswith("local"):
+    if not root:
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="fleetschema-"))
-    return spark.sparkContext.getCheckpointDir()
+    return root
 
 
 def run_folder(spark: SparkSession) -> str:

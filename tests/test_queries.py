@@ -46,7 +46,7 @@ def test_flags(e):
 
 
 def test_entry_has_every_query():
-    assert QUERIES.items() <= entry.queries().items() and SQL.items() <= entry.oracle_sql().items()
+    assert QUERIES.keys() <= entry.queries().keys() and SQL.items() <= entry.oracle_sql().items()
 
 
 def test_entry(spark):
