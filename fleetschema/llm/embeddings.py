@@ -10,6 +10,7 @@ counts and the tree that holds its links together, never all pairs.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -80,9 +81,10 @@ def _exploded(signed: DataFrame, tables: int) -> DataFrame:
 def link_blocks(signed: DataFrame, tables: int, threshold: float, chunk: int) -> DataFrame:
     """(kind, a, b): links per vector in each block (b is how many) and the links that hold the block together."""
     placed = _exploded(signed.select("id", "sigs", "v"), tables)
-    sizes = placed.groupBy("bucket").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
-    cuts = sizes.select("bucket", F.ceil(F.col("rows") / chunk).cast("int").alias("chunks"))
-    full = _exploded(signed, tables).join(stage(cuts, "buckets"), "bucket")
+    sizes = placed.groupBy("bucket").agg(F.count(F.lit(1)).alias("rows"))
+    cuts = sizes.where(F.col("rows") > chunk).select("bucket", F.ceil(F.col("rows") / chunk).cast("int").alias("chunks"))
+    # only the large buckets are in this table, so that the join seldom needs a shuffle
+    full = _exploded(signed, tables).join(stage(cuts, "large-buckets"), "bucket", "left").fillna(1, "chunks")
     mine = F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int")
     full = full.withColumn("c", mine).withColumn("o", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
     full = full.select(
@@ -145,22 +147,34 @@ def link_blocks(signed: DataFrame, tables: int, threshold: float, chunk: int) ->
     return full.mapInArrow(compare, "kind string, a long, b long")
 
 
+def plan_tables(n: int, threshold: float, recall: float, bucket: int) -> tuple[int, int]:
+    """(tables, bits) for ``n`` vectors.
+
+    So many bits that a bucket holds about ``bucket`` vectors that have nothing in
+    common, and so many tables that two vectors at the threshold meet in one of them
+    with a chance of ``recall``.
+    """
+    bits = max(8, math.ceil(math.log2(max(1, n) / bucket)))
+    together = (1 - math.acos(threshold) / math.pi) ** bits
+    return math.ceil(math.log(1 - recall) / math.log(1 - together)), bits
+
+
 def near_duplicate_vectors(
     df: DataFrame,
     key: str = "vec_id",
     vector: str = "embedding",
     threshold: float = 0.9,
-    tables: int = 24,
-    bits: int = 12,
+    recall: float = 0.985,
+    bucket: int = 256,
     seed: int = 4,
     chunk: int = 2048,
 ) -> DataFrame:
     """(key, n_links, component_id, kept) for every row.
 
     Two vectors of equal length link when their cosine, in double precision, is at
-    least ``threshold`` and they share a bucket in one of ``tables`` tables of
-    ``bits`` hyperplanes; at cosine 0.9 that is a chance of 98 %, at 0.95 over
-    99.9 %. ``n_links`` counts other rows, equal vectors included. Vectors that are NULL, empty, zero or
+    least ``threshold`` and they share a bucket in one of the tables, which pairs at
+    the threshold do with a chance of ``recall`` at any size of the input, closer
+    ones with a greater one (see ``plan_tables``). ``n_links`` counts other rows, equal vectors included. Vectors that are NULL, empty, zero or
     hold NULL, NaN or infinite parts link with nothing and are their own
     component. Rows with a NULL key link with nothing. A key that is repeated
     counts as so many vectors. An empty table gives no rows.
@@ -175,6 +189,7 @@ def near_duplicate_vectors(
     # a key that stands for several vectors would join them: the vector itself tells them apart
     distinct = distinct.withColumn("own", F.monotonically_increasing_id())
     distinct = stage(distinct, "distinct-vectors")
+    tables, bits = plan_tables(distinct.count(), threshold, recall, bucket)
     signed = _bucketed(distinct.select(F.col("own").alias("id"), "copies", "v"), tables, bits, seed)
     blocks = stage(link_blocks(signed, tables, threshold, chunk), "vector-links")
     counts = blocks.where("kind = 'count'").groupBy("a").agg(F.sum("b").alias("links"))
