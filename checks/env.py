@@ -15,7 +15,7 @@ from fleetschema.sources.catalog import shaped
 from fleetschema.staging import stage
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
-SNAPSHOTS = [f"{side}_{kind}" for side in ("target", "current") for kind in migration.KINDS] + ["current_depends"]
+SNAPSHOTS = [f"{side}_{kind}" for side in ("target", "current") for kind in (*migration.KINDS, "depends")]
 _ENVS: dict[tuple[str, str], "Env"] = {}
 
 
@@ -63,24 +63,19 @@ class Env:
         """The raw catalog relations of one side."""
         out = {
             r: self.fixture(f"raw_{side}_{r}")
-            for r in "namespace class attribute attrdef constraint index sequence proc trigger".split()
+            for r in "namespace class attribute attrdef constraint index sequence proc trigger depend rewrite".split()
         }
         out["definitions"] = self.fixture(f"raw_{side}_texts")
         # built-in types: the same rows in every database
         followers = out["namespace"].select("db_id", F.lit(0).alias("model_id"))
         out["type"] = fan_out_model(self.fixture("raw_type").withColumn("model_id", F.lit(0)), followers)
-        if side == "current":
-            out["depend"], out["rewrite"] = self.fixture("raw_current_depend"), self.fixture("raw_current_rewrite")
-        else:
-            empty = self.fixture("raw_current_depend").limit(0)
-            out["depend"], out["rewrite"] = empty, self.fixture("raw_current_rewrite").limit(0)
         return {r: shaped(df, r) for r, df in out.items()}
 
     def queue(self) -> DataFrame:
         return self.staged("queue", lambda: migration.phase_one(self.snapshots, self.diffs))
 
     def order(self) -> DataFrame:
-        return migration.recreation(self.snapshots, self.diffs)
+        return migration.creation(self.snapshots, self.diffs)
 
     def worklist(self) -> DataFrame:
         return self.staged("worklist", lambda: migration.build_worklist(self.snapshots, self.diffs))

@@ -101,6 +101,14 @@ SELECT t.db_id, t.oid AS ref_oid, v.oid AS view_oid
   FROM fx_views x JOIN current_views c ON c.oid = 1300000000 + x.ck JOIN current_views p ON p.oid = c.oid + 20
   WHERE x.loc = 0 AND x.db_id = 3
 
+-- name: target_depends
+SELECT c.db_id, p.oid AS ref_oid, c.oid AS view_oid
+  FROM fx_views x JOIN target_views c ON c.oid = 1400000000 + x.ck JOIN target_views p ON p.oid = 1400000000 + CAST(FLOOR(x.loc / 2.0) AS BIGINT) * 20 + x.db_id
+  WHERE x.loc > 0
+  UNION ALL SELECT t.db_id, t.oid, v.oid
+  FROM fx_tables f JOIN target_tables t ON t.oid = 200000000 + f.ok JOIN target_views v ON v.oid = 1400000000 + f.ck
+  WHERE f.ok % 4 = 0
+
 -- name: raw_{x}_namespace
 SELECT d.db_id, n.oid, n.nspname
   FROM (SELECT DISTINCT db_id
@@ -184,16 +192,16 @@ SELECT db_id, object_type, object_oid, definition
   UNION ALL SELECT db_id, 'trigger', oid, 'CREATE TRIGGER ' || tgname
   FROM raw_{x}_trigger
 
--- name: raw_current_rewrite
+-- name: raw_{x}_rewrite
 SELECT DISTINCT db_id, view_oid + 500000000 AS oid, view_oid AS ev_class
-  FROM current_depends
+  FROM {x}_depends
 
--- name: raw_current_depend
+-- name: raw_{x}_depend
 SELECT db_id, view_oid + 500000000 AS objid, ref_oid AS refobjid, 'n' AS deptype
-  FROM current_depends
+  FROM {x}_depends
   UNION ALL SELECT db_id, oid, ev_class, 'i'
-  FROM raw_current_rewrite
+  FROM raw_{x}_rewrite
   UNION ALL SELECT db_id, oid, ev_class, 'n'
-  FROM raw_current_rewrite
+  FROM raw_{x}_rewrite
   WHERE ev_class % 3 = 0
 

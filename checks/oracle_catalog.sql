@@ -22,6 +22,8 @@ SELECT side, relation, db_id, count(*) AS n, CAST(sum(number) AS BIGINT) AS numb
   UNION ALL SELECT 'target', 'trigger', db_id, CAST(oid AS BIGINT) AS number, tgname AS text FROM raw_target_trigger
   UNION ALL SELECT 'current', 'definitions', db_id, CAST(object_oid AS BIGINT) AS number, definition AS text FROM raw_current_texts
   UNION ALL SELECT 'target', 'definitions', db_id, CAST(object_oid AS BIGINT) AS number, definition AS text FROM raw_target_texts
+  UNION ALL SELECT 'target', 'depend', db_id, CAST(objid + refobjid AS BIGINT) AS number, deptype AS text FROM raw_target_depend
+  UNION ALL SELECT 'target', 'rewrite', db_id, CAST(oid + ev_class AS BIGINT) AS number, '' AS text FROM raw_target_rewrite
   UNION ALL SELECT 'current', 'depend', db_id, CAST(objid + refobjid AS BIGINT) AS number, deptype AS text FROM raw_current_depend
   UNION ALL SELECT 'current', 'rewrite', db_id, CAST(oid + ev_class AS BIGINT) AS number, '' AS text FROM raw_current_rewrite) x
 GROUP BY side, relation, db_id

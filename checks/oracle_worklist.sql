@@ -130,8 +130,18 @@ JOIN o_queue q ON q.db_id = t.db_id AND q.schema_name = t.schema_name AND q.obje
 SELECT db_id, oid FROM o_affected
 UNION SELECT b.db_id, e.view_oid FROM o_back b JOIN o_edges e ON e.db_id = b.db_id AND e.ref_oid = b.oid
 
+-- name: o_views_back
+SELECT b.db_id, b.oid AS old_oid, t.oid FROM o_back b JOIN current_views c ON c.db_id = b.db_id AND c.oid = b.oid
+JOIN target_views t ON t.db_id = c.db_id AND t.schema_name = c.schema_name AND t.name = c.name
+
+-- name: o_created
+SELECT db_id, oid FROM o_views_back UNION SELECT db_id, oid FROM o_views_diff WHERE is_new
+
 -- name: o_back_edges
-SELECT e.* FROM o_edges e JOIN o_back a ON a.oid = e.ref_oid AND a.db_id = e.db_id JOIN o_back b ON b.oid = e.view_oid AND b.db_id = e.db_id
+SELECT DISTINCT e.db_id, e.ref_oid, e.view_oid FROM (SELECT db_id, ref_oid, view_oid FROM target_depends
+  UNION ALL SELECT e.db_id, r.oid, v.oid FROM o_edges e JOIN o_views_back r ON r.db_id = e.db_id AND r.old_oid = e.ref_oid
+    JOIN o_views_back v ON v.db_id = e.db_id AND v.old_oid = e.view_oid WHERE (v.db_id, v.oid) NOT IN (SELECT (db_id, oid) FROM o_views_diff)) e
+JOIN o_created a ON a.oid = e.ref_oid AND a.db_id = e.db_id JOIN o_created b ON b.oid = e.view_oid AND b.db_id = e.db_id WHERE e.ref_oid <> e.view_oid
 
 -- name: o_back_reach
 SELECT db_id, ref_oid AS a, view_oid AS b FROM o_back_edges
@@ -141,7 +151,7 @@ UNION SELECT r.db_id, r.a, e.view_oid FROM o_back_reach r JOIN o_back_edges e ON
 SELECT DISTINCT r.db_id, r.b AS oid FROM o_back_reach r JOIN o_back_reach s ON s.db_id = r.db_id AND s.a = r.a AND s.b = r.a
 
 -- name: o_back_longest
-SELECT v.db_id, v.oid, 1 AS level FROM o_back v WHERE NOT EXISTS (FROM o_back_edges e WHERE e.db_id = v.db_id AND e.view_oid = v.oid)
+SELECT v.db_id, v.oid, 1 AS level FROM o_created v WHERE NOT EXISTS (FROM o_back_edges e WHERE e.db_id = v.db_id AND e.view_oid = v.oid)
 UNION SELECT l.db_id, e.view_oid, l.level + 1 FROM o_back_longest l JOIN o_back_edges e ON e.db_id = l.db_id AND e.ref_oid = l.oid
 WHERE (e.db_id, e.view_oid) NOT IN (SELECT (db_id, oid) FROM o_back_cyclic)
 
@@ -153,10 +163,8 @@ UNION ALL SELECT db_id, oid, 2147483647 FROM o_back_cyclic
 SELECT 24 AS rule, t.db_id, 3 AS phase, CASE WHEN t.is_materialized THEN 'MATERIALIZED VIEW' ELSE 'VIEW' END AS object_type, 'CREATE' AS ddl_operation, t.schema_name,
   CAST(NULL AS VARCHAR) AS table_name, t.name AS object_name,
   'CREATE ' || CASE WHEN t.is_materialized THEN 'MATERIALIZED VIEW ' ELSE 'OR REPLACE VIEW ' END || t.schema_name || '.' || t.name || ' AS ' || t.expression || ';' AS ddl,
-  FALSE AS is_temporary_drop, 'PENDING' AS status, ifnull(o.level, 1073741824) AS ord_level, CAST(NULL AS VARCHAR) AS ord_1, CAST(NULL AS VARCHAR) AS ord_2, CAST(NULL AS VARCHAR) AS ord_3, t.oid AS ord_oid
-FROM target_views t LEFT JOIN current_views c ON c.db_id = t.db_id AND c.schema_name = t.schema_name AND c.name = t.name
-LEFT JOIN o_back_order o ON o.db_id = c.db_id AND o.oid = c.oid
-WHERE c.oid IS NULL OR o.oid IS NOT NULL
+  FALSE AS is_temporary_drop, 'PENDING' AS status, o.level AS ord_level, CAST(NULL AS VARCHAR) AS ord_1, CAST(NULL AS VARCHAR) AS ord_2, CAST(NULL AS VARCHAR) AS ord_3, t.oid AS ord_oid
+FROM target_views t JOIN o_back_order o ON o.db_id = t.db_id AND o.oid = t.oid
 
 -- name: o_rules
 SELECT * FROM o_queue UNION ALL SELECT * FROM o_w09 UNION ALL SELECT * FROM o_w13 UNION ALL SELECT * FROM o_w02 WHERE rule = 20

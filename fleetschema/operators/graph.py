@@ -155,3 +155,33 @@ def recreation_order(edges: DataFrame, nodes: DataFrame) -> DataFrame:
     return placed.select(*NODE, "level", F.lit(False).alias("in_cycle")).unionByName(
         rest.select(*NODE, F.lit(level).alias("level"), F.lit(True).alias("in_cycle"))
     )
+
+
+def creation_order(
+    current_views: DataFrame,
+    target_views: DataFrame,
+    views_diff: DataFrame,
+    dropped: DataFrame,
+    current_depends: DataFrame,
+    target_depends: DataFrame,
+) -> DataFrame:
+    """Order in which views of the target are created: (db_id, oid, level, in_cycle), oids of the target.
+
+    These are the target's versions of the ``dropped`` current views (db_id, oid),
+    and its new views. What a view reads is said by the target's dependencies, and
+    by the current ones of views whose text stays the same.
+    """
+    old = current_views.select(*TABLE, F.col("oid").alias("old_oid")).join(
+        dropped.select("db_id", F.col("oid").alias("old_oid")), ["db_id", "old_oid"], "left_semi"
+    )
+    back = stage(target_views.select(*TABLE, "oid").join(old, TABLE).select("db_id", "old_oid", "oid"), "views-back")
+    fresh = target_views.join(views_diff.where("is_new").select(TABLE), TABLE, "left_semi").select(NODE)
+    same = back.join(views_diff.select(NODE), NODE, "left_anti")
+    kept = (
+        current_depends.select("db_id", "ref_oid", "view_oid")
+        .join(same.select("db_id", F.col("old_oid").alias("view_oid"), F.col("oid").alias("reader")), ["db_id", "view_oid"])
+        .join(back.select("db_id", F.col("old_oid").alias("ref_oid"), F.col("oid").alias("read")), ["db_id", "ref_oid"])
+        .select("db_id", F.col("read").alias("ref_oid"), F.col("reader").alias("view_oid"))
+    )
+    edges = target_depends.select("db_id", "ref_oid", "view_oid").unionByName(kept)
+    return recreation_order(edges, back.select(NODE).unionByName(fresh))

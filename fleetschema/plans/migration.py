@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections import ChainMap
+from collections.abc import Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from fleetschema.operators import diff, graph, snapshots
 from fleetschema.plans import worklist as w
@@ -42,7 +44,7 @@ def write_tables(tables: dict[str, DataFrame], path: str) -> None:
 
 def read_snapshots(spark: SparkSession, path: str, databases: Iterable[int] | None = None) -> dict[str, DataFrame]:
     """The snapshots of both sides, as written by ``write_tables``; of some databases, or of all."""
-    names = [f"{side}_{kind}" for side in ("target", "current") for kind in KINDS] + ["current_depends"]
+    names = [f"{side}_{kind}" for side in ("target", "current") for kind in (*KINDS, "depends")]
     databases = None if databases is None else list(databases)
 
     def read(name: str) -> DataFrame:
@@ -53,11 +55,9 @@ def read_snapshots(spark: SparkSession, path: str, databases: Iterable[int] | No
 
 
 def take_snapshots(raw: dict[str, DataFrame], side: str) -> dict[str, DataFrame]:
-    """The six snapshots of one side, by names such as ``target_tables``; the current side also has its edges."""
+    """The six snapshots of one side and its dependency edges, by names such as ``target_tables``."""
     out = {f"{side}_{kind}": getattr(snapshots, f"snapshot_{kind}")(raw) for kind in KINDS}
-    if side == "current":
-        out["current_depends"] = graph.dependency_edges(raw["depend"], raw["rewrite"])
-    return out
+    return out | {f"{side}_depends": graph.dependency_edges(raw["depend"], raw["rewrite"])}
 
 
 def difference(s: dict[str, DataFrame], name: str, known: dict[str, DataFrame] | None = None) -> DataFrame:
@@ -116,11 +116,26 @@ def affected(s: dict[str, DataFrame], d: dict[str, DataFrame]) -> DataFrame:
     )
 
 
-def phase_one(s: dict[str, DataFrame], d: dict[str, DataFrame]) -> DataFrame:
-    """The drops, each object queued once."""
+def with_owners(
+    s: Mapping[str, DataFrame], d: Mapping[str, DataFrame]
+) -> tuple[Mapping[str, DataFrame], Mapping[str, DataFrame]]:
+    """The same with constraints and indexes that have the schema and name of their table, each joined and written once."""
+    sides = {"constraints_diff": "target", "dropped_constraints": "current", "dropped_indexes": "current"}
+    objects = {f"{side}_{kind}": side for side in ("current", "target") for kind in ("constraints", "indexes")} | sides
+
+    def write(name: str) -> tuple[str, DataFrame]:
+        return name, stage(w.on_table((d if name in sides else s)[name], s[f"{objects[name]}_tables"]), f"owned-{name}")
+
+    with ThreadPoolExecutor(len(objects)) as jobs:
+        owned = dict(jobs.map(write, objects))
+    return ChainMap({n: f for n, f in owned.items() if n not in sides}, s), ChainMap({n: owned[n] for n in sides}, d)
+
+
+def phase_one(s: dict[str, DataFrame], d: dict[str, DataFrame], hit: DataFrame | None = None) -> DataFrame:
+    """The drops, each object queued once. ``hit`` are the ``affected`` views, if they are written already."""
     ct, cc, ci = s["current_tables"], s["current_constraints"], s["current_indexes"]
     return w.union_rules(
-        w.plan_drop_views(affected(s, d)),
+        w.plan_drop_views(affected(s, d) if hit is None else hit),
         w.queue_drops(
             w.plan_drop_removed_fks(d["dropped_constraints"], ct),
             w.plan_drop_fks_to_altered(cc, ct, d["altered"]),
@@ -151,35 +166,45 @@ def phase_two(s: dict[str, DataFrame], d: dict[str, DataFrame]) -> DataFrame:
     )
 
 
-def recreation(s: dict[str, DataFrame], d: dict[str, DataFrame]) -> DataFrame:
-    """Order in which the dropped current views, and all that read them, come back."""
-    closure = graph.dependency_closure(s["current_depends"], affected(s, d))
-    return graph.recreation_order(s["current_depends"], closure)
+def creation(s: dict[str, DataFrame], d: dict[str, DataFrame], hit: DataFrame | None = None) -> DataFrame:
+    """Order in which the target's versions of dropped views, of all that read them, and its new views come."""
+    dropped = graph.dependency_closure(s["current_depends"], affected(s, d) if hit is None else hit)
+    return graph.creation_order(
+        s["current_views"], s["target_views"], d["views_diff"], dropped, s["current_depends"], s["target_depends"]
+    )
 
 
 def phase_three(s: dict[str, DataFrame], d: dict[str, DataFrame], queue: DataFrame, order: DataFrame) -> DataFrame:
     """Rebuilds what phase one dropped. ``queue`` is read many times: pass it staged."""
     cc, ct = s["current_constraints"], s["current_tables"]
     tc, tt = s["target_constraints"], s["target_tables"]
-    pks = w.plan_recreate_pks(queue, cc, ct, tc, tt)
+    pks = stage(w.plan_recreate_pks(queue, cc, ct, tc, tt), "recreated-keys")  # rows of their own, and read by the next rule
     return w.union_rules(
         w.plan_recreate_indexes(queue, s["current_indexes"], ct, s["target_indexes"], tt),
         pks,
         w.plan_recreate_fks(queue, pks, cc, ct, tc, tt),
-        w.plan_recreate_views(order, s["current_views"], s["target_views"], d["views_diff"]),
+        w.plan_recreate_views(order, s["target_views"]),
     )
 
 
 def build_worklist(s: dict[str, DataFrame], d: dict[str, DataFrame] | None = None) -> DataFrame:
     """The numbered worklist of every database. ``s`` are the snapshots of both sides, best read from tables.
 
-    Rule rows are written before they are numbered: sampling the range bounds
-    would otherwise run the rules a second time.
+    What several rules read is written once: the differences, the owners of
+    constraints and indexes, the affected views. Rule rows are written with a row
+    number of their phase before they are put in order.
     """
     d = d or stage_differences(s)
+
+    def rows(phase: DataFrame, name: str) -> DataFrame:
+        return stage(phase.withColumn("_row", F.monotonically_increasing_id()), name)
+
     with ThreadPoolExecutor(2) as jobs:
-        order = jobs.submit(lambda: recreation(s, d))
-        second = jobs.submit(lambda: stage(phase_two(s, d), "phase-two"))
-        queue = stage(phase_one(s, d), "queue")
-        third = stage(phase_three(s, d, queue, order.result()), "phase-three")
+        owners = jobs.submit(lambda: with_owners(s, d))
+        hit = stage(affected(s, d), "affected")
+        order = jobs.submit(lambda: creation(s, d, hit))
+        own, diffs = owners.result()
+        second = jobs.submit(lambda: rows(phase_two(own, diffs), "phase-two"))
+        queue = rows(phase_one(own, diffs, hit), "queue")
+        third = rows(phase_three(own, diffs, queue, order.result()), "phase-three")
         return w.number_worklist(w.union_rules(queue, second.result(), third))

@@ -80,10 +80,16 @@ def _rows(
     )
 
 
-def _on_table(objects: DataFrame, tables: DataFrame) -> DataFrame:
-    """Constraints or indexes with the schema and name of their table."""
+def on_table(objects: DataFrame, tables: DataFrame, some: bool = False) -> DataFrame:
+    """Constraints or indexes with the schema and name of their table.
+
+    Objects that have both already are not joined again, except with ``some`` of
+    the tables, which picks those on them.
+    """
     named = tables.select("db_id", F.col("oid").alias("table_oid"), "schema_name", F.col("name").alias("table_name"))
-    return objects.join(named, ["db_id", "table_oid"])
+    if "table_name" not in objects.columns:
+        return objects.join(named, ["db_id", "table_oid"])
+    return objects.join(named.select("db_id", "table_oid"), ["db_id", "table_oid"], "left_semi") if some else objects
 
 
 def _table() -> Column:
@@ -128,7 +134,7 @@ def _candidates(df: DataFrame, rule: int, object_type: str) -> DataFrame:
 
 
 def plan_drop_removed_fks(dropped_constraints: DataFrame, current_tables: DataFrame) -> DataFrame:
-    return _candidates(_on_table(dropped_constraints.where("type = 'f'"), current_tables), 2, "CONSTRAINT")
+    return _candidates(on_table(dropped_constraints.where("type = 'f'"), current_tables), 2, "CONSTRAINT")
 
 
 def plan_drop_fks_to_altered(
@@ -136,11 +142,11 @@ def plan_drop_fks_to_altered(
 ) -> DataFrame:
     referenced = altered.select("db_id", F.col("oid").alias("ref_table_oid"))
     fks = current_constraints.where("type = 'f'").join(referenced, ["db_id", "ref_table_oid"], "left_semi")
-    return _candidates(_on_table(fks, current_tables), 3, "CONSTRAINT")
+    return _candidates(on_table(fks, current_tables), 3, "CONSTRAINT")
 
 
 def plan_drop_pks(current_constraints: DataFrame, altered: DataFrame) -> DataFrame:
-    return _candidates(_on_table(current_constraints.where("type = 'p'"), altered), 4, "CONSTRAINT")
+    return _candidates(on_table(current_constraints.where("type = 'p'"), altered, some=True), 4, "CONSTRAINT")
 
 
 def _index_backed(current_constraints: DataFrame, current_indexes: DataFrame) -> DataFrame:
@@ -148,11 +154,12 @@ def _index_backed(current_constraints: DataFrame, current_indexes: DataFrame) ->
     backing = current_indexes.where("backs_constraint IS NOT NULL").select(
         "db_id", "table_oid", F.col("backs_constraint").alias("name"), F.col("name").alias("index_name")
     )
-    return current_constraints.select("db_id", "table_oid", "name").join(backing, ["db_id", "table_oid", "name"])
+    owner = [c for c in ("schema_name", "table_name") if c in current_constraints.columns]
+    return current_constraints.select("db_id", "table_oid", "name", *owner).join(backing, ["db_id", "table_oid", "name"])
 
 
 def plan_drop_backed(current_constraints: DataFrame, current_indexes: DataFrame, altered: DataFrame) -> DataFrame:
-    return _candidates(_on_table(_index_backed(current_constraints, current_indexes), altered), 5, "CONSTRAINT")
+    return _candidates(on_table(_index_backed(current_constraints, current_indexes), altered, some=True), 5, "CONSTRAINT")
 
 
 def plan_drop_backed_removed(
@@ -162,19 +169,19 @@ def plan_drop_backed_removed(
     target_indexes: DataFrame,
     target_tables: DataFrame,
 ) -> DataFrame:
-    backed = _on_table(_index_backed(current_constraints, current_indexes), current_tables)
-    kept = _on_table(target_indexes, target_tables).select(*COLUMN_TABLE, F.col("name").alias("index_name"))
+    backed = on_table(_index_backed(current_constraints, current_indexes), current_tables)
+    kept = on_table(target_indexes, target_tables).select(*COLUMN_TABLE, F.col("name").alias("index_name"))
     return _candidates(backed.join(kept, [*COLUMN_TABLE, "index_name"], "left_anti"), 6, "CONSTRAINT")
 
 
 def plan_drop_indexes(current_indexes: DataFrame, altered: DataFrame, new_tables: DataFrame) -> DataFrame:
-    free = _on_table(current_indexes.where("backs_constraint IS NULL"), altered)
+    free = on_table(current_indexes.where("backs_constraint IS NULL"), altered, some=True)
     fresh = new_tables.select("db_id", "schema_name", F.col("name").alias("table_name"))
     return _candidates(free.join(fresh, COLUMN_TABLE, "left_anti"), 7, "INDEX")
 
 
 def plan_drop_removed_indexes(dropped_indexes: DataFrame, current_tables: DataFrame) -> DataFrame:
-    return _candidates(_on_table(dropped_indexes, current_tables), 8, "INDEX")
+    return _candidates(on_table(dropped_indexes, current_tables), 8, "INDEX")
 
 
 def queue_drops(*candidates: DataFrame) -> DataFrame:
@@ -327,15 +334,15 @@ def _add_constraints(df: DataFrame, rule: int, phase: int) -> DataFrame:
 
 
 def plan_add_checks(constraints_diff: DataFrame, target_tables: DataFrame) -> DataFrame:
-    return _add_constraints(_on_table(constraints_diff.where("type = 'c' AND is_new"), target_tables), 18, 2)
+    return _add_constraints(on_table(constraints_diff.where("type = 'c' AND is_new"), target_tables), 18, 2)
 
 
 def plan_add_uniques(constraints_diff: DataFrame, target_tables: DataFrame) -> DataFrame:
-    return _add_constraints(_on_table(constraints_diff.where("type = 'u' AND is_new"), target_tables), 19, 2)
+    return _add_constraints(on_table(constraints_diff.where("type = 'u' AND is_new"), target_tables), 19, 2)
 
 
 def plan_drop_checks_uniques(dropped_constraints: DataFrame, current_tables: DataFrame) -> DataFrame:
-    gone = _on_table(dropped_constraints.where("type IN ('c', 'u')"), current_tables)
+    gone = on_table(dropped_constraints.where("type IN ('c', 'u')"), current_tables)
     return _rows(
         gone, 20, 2, "CONSTRAINT", "DROP", _drop_constraint_text(), table_name="table_name", order=_BY_TABLE
     )
@@ -361,8 +368,8 @@ def plan_recreate_indexes(
     target_tables: DataFrame,
 ) -> DataFrame:
     queued = _dropped_for_now(queue, "INDEX").select(*TABLE[:2], F.col("object_name").alias("name"))
-    known = _on_table(current_indexes, current_tables).select(OWNER).join(queued, TABLE, "left_semi")
-    back = _on_table(target_indexes, target_tables).join(known, OWNER, "left_semi")
+    known = on_table(current_indexes, current_tables).select(OWNER).join(queued, TABLE, "left_semi")
+    back = on_table(target_indexes, target_tables).join(known, OWNER, "left_semi")
     ddl = text(F.col("expression"), ";")
     return _rows(
         back.dropDuplicates(TABLE), 21, 3, "INDEX", "CREATE", ddl, order=("schema_name", "name")
@@ -379,11 +386,11 @@ def _dropped_constraint_targets(
 ) -> DataFrame:
     queued = _dropped_for_now(queue, "CONSTRAINT").select(*COLUMN_TABLE, F.col("object_name").alias("name"))
     known = (
-        _on_table(current_constraints.where(F.col("type").isin(*types)), current_tables)
+        on_table(current_constraints.where(F.col("type").isin(*types)), current_tables)
         .select(OWNER)
         .join(queued, OWNER, "left_semi")
     )
-    return _on_table(target_constraints, target_tables).join(known, OWNER, "left_semi").dropDuplicates(OWNER)
+    return on_table(target_constraints, target_tables).join(known, OWNER, "left_semi").dropDuplicates(OWNER)
 
 
 def plan_recreate_pks(
@@ -412,7 +419,7 @@ def plan_recreate_fks(
     fks = _dropped_constraint_targets(
         queue, ("f",), current_constraints, current_tables, target_constraints, target_tables
     )
-    pks = _on_table(target_constraints.where("type = 'p'"), target_tables).select(
+    pks = on_table(target_constraints.where("type = 'p'"), target_tables).select(
         *OWNER, F.col("table_oid").alias("ref_table_oid")
     )
     named = [*COLUMN_TABLE, F.col("object_name").alias("name")]
@@ -428,28 +435,18 @@ def plan_recreate_fks(
     return _add_constraints(fks.join(state, ["db_id", "ref_table_oid"], "left").where(ready), 23, 3)
 
 
-def plan_recreate_views(
-    order: DataFrame, current_views: DataFrame, target_views: DataFrame, views_diff: DataFrame
-) -> DataFrame:
-    """Views of the target that were dropped, base views first, then new views, then views in a cycle.
+def plan_recreate_views(order: DataFrame, target_views: DataFrame) -> DataFrame:
+    """Views of the target that were dropped and new views, base views first, views in a cycle last.
 
-    ``order`` is the ``recreation_order`` of the dropped current views and all that read them.
+    ``order`` is the ``creation_order`` of these views.
     """
-    named = current_views.select(*TABLE, "oid").join(order, ["db_id", "oid"]).select(
-        *TABLE, F.when(F.col("in_cycle"), _IN_CYCLE).otherwise(F.col("level")).alias("level")
-    )
-    back = target_views.join(named, TABLE)
-    fresh = target_views.join(views_diff.where("is_new").select(TABLE), TABLE, "left_semi").withColumn(
-        "level", F.lit(_NEW_VIEW)
-    )
+    level = F.when(F.col("in_cycle"), _IN_CYCLE).otherwise(F.col("level"))
+    back = target_views.join(order.select("db_id", "oid", level.alias("level")), ["db_id", "oid"])
     kind = F.when(F.col("is_materialized"), "MATERIALIZED VIEW").otherwise("OR REPLACE VIEW")
     ddl = text("CREATE ", kind, " ", _object(), " AS ", F.col("expression"), ";")
-    return _rows(
-        back.unionByName(fresh), 24, 3, _view_kind(), "CREATE", ddl, level=F.col("level"), oid=F.col("oid")
-    )
+    return _rows(back, 24, 3, _view_kind(), "CREATE", ddl, level=F.col("level"), oid=F.col("oid"))
 
 
-_NEW_VIEW = 2**30  # behind every level
 _IN_CYCLE = 2**31 - 1
 
 
@@ -461,10 +458,17 @@ def union_rules(*rules: DataFrame) -> DataFrame:
 
 
 def number_worklist(rules: DataFrame) -> DataFrame:
-    """Numbers rule rows 1, 2, ... per (db_id, phase): by rule, then in the order of the rule."""
+    """Numbers rule rows 1, 2, ... per (db_id, phase): by rule, then in the order of the rule.
+
+    Rows with a ``_row``, unique in their phase, are sorted without their text, which is joined afterwards.
+    """
     rank = F.when(F.col("rule").between(14, 16), 14).otherwise(F.col("rule"))
     order = [rank.asc(), *[F.col(c).asc_nulls_last() for c in ORDER]]
-    return numbered(rules, order, ["db_id", "phase"]).select(WORKLIST)
+    if "_row" not in rules.columns:
+        return numbered(rules, order, ["db_id", "phase"]).select(WORKLIST)
+    keys = rules.select("db_id", "phase", "_row", "rule", *ORDER)
+    places = numbered(keys, order, ["db_id", "phase"]).select("phase", "_row", "seq")
+    return rules.join(places, ["phase", "_row"]).select(WORKLIST)
 
 
 def classify_strategy(columns_diff: DataFrame) -> DataFrame:

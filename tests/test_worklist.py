@@ -85,13 +85,14 @@ SHAPES = {**migration.SNAPSHOT_COLUMNS, "constraints": CONSTRAINTS}
 DEPENDS = SHAPES.pop("depends")
 
 
-def snapshots(spark, depends=(), **given):
+def snapshots(spark, depends=(), target_depends=(), **given):
     out = {
         f"{side}_{kind}": spark.createDataFrame(list(given.get(f"{side}_{kind}", ())), shape)
         for side in ("target", "current")
         for kind, shape in SHAPES.items()
     }
-    return {**out, "current_depends": spark.createDataFrame(list(depends), DEPENDS)}
+    edges = {"current_depends": depends, "target_depends": target_depends}
+    return {**out, **{n: spark.createDataFrame(list(rows), DEPENDS) for n, rows in edges.items()}}
 
 
 def ddl_of(worklist):
@@ -107,7 +108,7 @@ def test_tables_are_replaced_and_read_back(spark, tmp_path):
                 given[f"{side}_constraints"] = given[f"{side}_constraints"].withColumn(column, F.lit(None).cast("string"))
         migration.write_tables(given, str(tmp_path))
     back = migration.read_snapshots(spark, str(tmp_path))
-    assert len(back) == 13
+    assert len(back) == 14
     assert sorted(tuple(r) for r in back["target_tables"].collect()) == one["target_tables"]
 
 
@@ -127,7 +128,7 @@ def test_nothing_to_do(spark):
 def test_one_table_with_everything(spark):
     """A type change on a table with a primary key, a unique key, an index, a foreign key to it and two views."""
     def column(name, type_="int4", length=-1, nullable=True, default=None):
-        return (1, 0, "s", "Big Table", name, nullable, type_, length, default)
+        return (1, 0, "s", "Big Table", name, nullable, type_, length, default, None)
     shared = dict(
         constraints=[
             (1, 100, "pk", "p", 1, None, "PRIMARY KEY (id)"),
@@ -251,3 +252,17 @@ def test_gate_and_publish(spark, small_run, tmp_path):
     data = spark.createDataFrame([(d, i) for d in (1, 2, 3, 4) for i in range(5)], "db_id int, x int")
     runlog.publish(data, gate, str(tmp_path / "out"))
     assert sorted(r["db_id"] for r in spark.read.parquet(str(tmp_path / "out")).collect()) == [1] * 5
+
+
+def test_a_view_comes_after_the_new_views_that_it_reads(spark):
+    """In the target the changed view a reads the new view n, which reads the new view m."""
+    view = lambda oid, name, text: (1, oid, "s", name, text, False)
+    s = snapshots(
+        spark, [(1, 11, 10)], [(1, 23, 20), (1, 24, 23), (1, 21, 22)],
+        current_views=[view(10, "a", "old"), view(11, "b", "b"), view(12, "c", "c")],
+        target_views=[view(20, "a", "new"), view(21, "b", "b"), view(22, "c", "c"), view(23, "n", "n"), view(24, "m", "m")],
+    )
+    # edges are (read, reader): n reads m here, a reads n
+    s["target_depends"] = spark.createDataFrame([(1, 24, 23), (1, 23, 20)], DEPENDS)
+    made = [r["object_name"] for r in migration.build_worklist(s).where("phase = 3").orderBy("seq").collect()]
+    assert made.index("m") < made.index("n") < made.index("a") and set(made) == {"a", "n", "m"}
