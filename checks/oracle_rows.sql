@@ -1,5 +1,5 @@
 -- name: r01_add_columns
-SELECT l_orderkey, l_linenumber, l_partkey, 'n/a' AS note, CAST(7 AS BIGINT) AS batch, CAST(NULL AS DOUBLE) AS weight, 'abc' AS code FROM lineitem
+SELECT l_orderkey, l_linenumber, l_partkey, 'n/a' AS note, CAST(7 AS BIGINT) AS batch, CAST(NULL AS DOUBLE) AS weight, 'abc' AS code, '00000000-0000-0000-0000-000000000000' AS owner FROM lineitem
 
 -- name: o_event_codes
 SELECT event_id, event_type, user_id, CASE WHEN event_id % 13 = 0 THEN 'x' || event_id WHEN event_id % 17 = 0 THEN NULL ELSE CAST(user_id AS VARCHAR) END AS code FROM events
@@ -25,6 +25,16 @@ SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY l_orderkey
 -- name: r04_validate_primary_key
 SELECT k, n FROM (SELECT NULLIF(user_id % 50, 7) AS k, count(*) AS n FROM events GROUP BY 1) x WHERE k IS NULL OR n > 1
 
+-- name: r04_constraints_by_key_number
+SELECT 'app' AS schema_name, * FROM (
+  SELECT 'lineitem' AS table_name, 'line_key' AS name, 'u' AS type, (SELECT count(*) FROM (SELECT 1 FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1) x) AS n
+  UNION ALL SELECT 'lineitem', 'line_part', 'f', (SELECT count(*) FROM lineitem l WHERE NOT EXISTS (FROM part p WHERE p.p_partkey % 10 <> 0 AND p.p_partkey = l.l_partkey))
+  UNION ALL SELECT 'lineitem', 'line_flag', 'c', (SELECT count(*) FROM lineitem WHERE l_returnflag NOT IN ('A', 'N'))
+  UNION ALL SELECT 'lineitem', 'line_discount', 'c', (SELECT count(*) FROM lineitem WHERE l_discount > 0.08)
+  UNION ALL SELECT 'orders', 'order_key', 'p', 0
+  UNION ALL SELECT 'orders', 'order_customer', 'u', (SELECT count(*) FROM (SELECT 1 FROM orders GROUP BY o_custkey HAVING count(*) > 1) x)
+  UNION ALL SELECT 'orders', 'order_booked', 'x', NULL) y
+
 -- name: r05_validate_foreign_key
 SELECT l.l_orderkey, l.l_linenumber, l.l_partkey FROM lineitem l WHERE NOT EXISTS (FROM part p WHERE p.p_partkey % 10 <> 0 AND p.p_partkey = l.l_partkey)
 

@@ -412,10 +412,11 @@ def l04_unplanned_differences(e: Env) -> DataFrame:
 @query
 def r01_add_columns(e: Env) -> DataFrame:
     new = [
-        {"name": "note", "type": "varchar", "length": -1, "default_expr": "'n/a'"},
+        {"name": "note", "type": "varchar", "length": -1, "default_expr": "'n/a'::character varying"},
         {"name": "batch", "type": "int8", "length": -1, "default_expr": "3 + 4"},
         {"name": "weight", "type": "float8", "length": -1, "default_expr": None},
-        {"name": "code", "type": "varchar", "length": 7, "default_expr": "'abcdef'"},
+        {"name": "code", "type": "varchar", "length": 7, "default_expr": "'abcdef'::character varying(7)"},
+        {"name": "owner", "type": "uuid", "length": -1, "default_expr": "'00000000-0000-0000-0000-000000000000'::uuid"},
     ]
     return rows.add_columns(e.table("lineitem").select("l_orderkey", "l_linenumber", "l_partkey"), new)
 
@@ -480,6 +481,34 @@ def _child_and_parent(e: Env) -> tuple[DataFrame, DataFrame]:
     )
 
 
+@query
+def r04_constraints_by_key_number(e: Env) -> DataFrame:
+    """Constraints as a snapshot holds them, on the rows of the given tables."""
+    child, parent = e.table("lineitem"), e.table("part").where("p_partkey % 10 <> 0")
+    names = {10: child.columns, 11: parent.columns, 12: e.table("orders").columns}
+    columns = e.spark.createDataFrame(
+        [(1, oid, c, k) for oid, cols in names.items() for k, c in enumerate(cols, 1)], "db_id int, table_oid long, name string, attnum int"
+    )
+    tables = e.spark.createDataFrame(
+        [(1, 10, "app", "lineitem", "r"), (1, 11, "app", "part", "r"), (1, 12, "app", "orders", "r")], migration.SNAPSHOT_COLUMNS["tables"]
+    )
+    at = lambda oid, *cols: [names[oid].index(c) + 1 for c in cols]
+    rules = e.spark.createDataFrame(
+        [
+            (1, 1, "line_key", "u", 10, None, at(10, "l_orderkey", "l_linenumber"), None, "UNIQUE (l_orderkey, l_linenumber)", None, None),
+            (1, 2, "line_part", "f", 10, 11, at(10, "l_partkey"), at(11, "p_partkey"), "FOREIGN KEY (l_partkey) REFERENCES part(p_partkey)", "a", "a"),
+            (1, 3, "line_flag", "c", 10, None, at(10, "l_returnflag"), None, "CHECK (((l_returnflag)::text = ANY (ARRAY['A'::text, 'N'::text])))", None, None),
+            (1, 4, "line_discount", "c", 10, None, at(10, "l_discount"), None, "CHECK ((l_discount <= (0.08)::double precision))", None, None),
+            (1, 5, "order_key", "p", 12, None, at(12, "o_orderkey"), None, "PRIMARY KEY (o_orderkey)", None, None),
+            (1, 6, "order_customer", "u", 12, None, at(12, "o_custkey"), None, "UNIQUE (o_custkey)", None, None),
+            (1, 7, "order_booked", "x", 12, None, at(12, "o_custkey"), None, "EXCLUDE USING gist (o_custkey WITH =, booked WITH &&)", None, None),
+        ],
+        migration.SNAPSHOT_COLUMNS["constraints"],
+    )
+    given = {("app", "lineitem"): child, ("app", "part"): parent, ("app", "orders"): e.table("orders")}
+    return rows.constraint_violations({"target_tables": tables, "target_columns": columns, "target_constraints": rules}, 1, given)
+
+
 @query
 def r05_validate_foreign_key(e: Env) -> DataFrame:
     return rows.validate_foreign_key(*_child_and_parent(e), ["l_partkey"], ["p_partkey"])

@@ -78,6 +78,22 @@ _SPARK_TYPES: dict[str, T.DataType] = {
     "bytea": T.BinaryType(),
     "json": T.StringType(),
     "jsonb": T.StringType(),
+    # types without a Spark type of their own are held as their text
+    "uuid": T.StringType(),
+    "time": T.StringType(),
+    "timetz": T.StringType(),
+    "interval": T.StringType(),
+    "inet": T.StringType(),
+    "cidr": T.StringType(),
+    "macaddr": T.StringType(),
+    "xml": T.StringType(),
+    "bit": T.StringType(),
+    "varbit": T.StringType(),
+    "name": T.StringType(),
+    "char": T.StringType(),
+    '"char"': T.StringType(),
+    "oid": T.LongType(),
+    "money": T.DecimalType(19, 2),
 }
 _TYPMOD_HEADER = 4  # a type modifier counts four bytes more than what was declared
 
@@ -98,6 +114,61 @@ def spark_type(type_: str, length: int | None = None) -> T.DataType:
 
 def declared_chars(type_: str, length: int | None) -> int | None:
     """n of varchar(n) and char(n), None where any length fits."""
+    if type_.strip('"') == "char":  # one byte, without a modifier
+        return 1
     if not re.search("char", type_, re.IGNORECASE) or type_.startswith("_") or length is None or length < _TYPMOD_HEADER:
         return None
     return length - _TYPMOD_HEADER
+
+
+# Type names as casts in catalog texts write them, and Spark's names.
+_CAST_TYPES = {
+    "character varying": "string",
+    "character": "string",
+    "varchar": "string",
+    "bpchar": "string",
+    "text": "string",
+    "name": "string",
+    "uuid": "string",
+    "smallint": "smallint",
+    "integer": "int",
+    "bigint": "bigint",
+    "numeric": "decimal(38,18)",
+    "real": "float",
+    "double precision": "double",
+    "boolean": "boolean",
+    "date": "date",
+    "timestamp without time zone": "timestamp_ntz",
+    "timestamp with time zone": "timestamp",
+}
+_CAST = "|".join(re.escape(t) for t in sorted(_CAST_TYPES, key=len, reverse=True))
+_ITEMS = r"(?:'(?:[^']|'')*'|[^\]'])*"
+_CATALOG_TEXT = re.compile(
+    rf"(?P<text>'(?:[^']|'')*')|(?P<name>\"(?:[^\"]|\"\")+\")|::\s*(?P<cast>{_CAST})(?:\(\s*\d+(?:\s*,\s*\d+)?\s*\))?(?!\w)"
+    rf"|=\s*ANY\s*\(\s*(?:ARRAY\[(?P<items>{_ITEMS})\]|\(\s*ARRAY\[(?P<more>{_ITEMS})\]\s*\)(?:::\s*[\w ]+\[\])?)\s*\)",
+    re.IGNORECASE,
+)
+
+
+def spark_expression(catalog_text: str) -> str:
+    """A default or check, as a catalog stores it, as a Spark SQL expression.
+
+    The CHECK around a condition goes, casts name Spark's types, quoted names and
+    strings are written Spark's way, ``= ANY (ARRAY[...])`` becomes IN. Numbers of a sequence
+    cannot be drawn in an expression: a text with ``nextval`` is an error.
+    """
+    if re.search(r"\bnextval\s*\(", catalog_text, re.IGNORECASE):
+        raise ValueError(f"{catalog_text!r} draws from a sequence; use assign_sequence")
+    found = re.fullmatch(r"\s*CHECK\s*\((?P<inner>.*)\)(?:\s*NO INHERIT)?(?:\s*NOT VALID)?\s*", catalog_text, re.IGNORECASE | re.DOTALL)
+
+    def written(m: re.Match) -> str:
+        if m["text"]:
+            inner = m["text"][1:-1].replace("\\", "\\\\").replace("''", "\\'")
+            return f"'{inner}'"
+        if m["name"]:
+            return "`" + m["name"][1:-1].replace('""', '"').replace("`", "``") + "`"
+        if m["cast"]:
+            return f"::{_CAST_TYPES[m['cast'].lower()]}"
+        return f"IN ({_CATALOG_TEXT.sub(written, m['items'] or m['more'])})"
+
+    return _CATALOG_TEXT.sub(written, found["inner"] if found else catalog_text)

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from fleetschema.functions.ordering import block_starts, sorted_blocks
-from fleetschema.functions.text import declared_chars, spark_type
+from fleetschema.functions.text import declared_chars, spark_expression, spark_type
 from fleetschema.staging import stage
 
 
@@ -29,8 +29,8 @@ def named(column: str) -> Column:
 
 
 def default_value(default_expr: str | None, type_: str, length: int | None = None) -> Column:
-    """The default as a column of the given type; no text, or empty text, is NULL."""
-    value = F.expr(default_expr) if default_expr else F.lit(None)
+    """The default, as a catalog writes it, as a column of the given type; no text, or empty text, is NULL."""
+    value = F.expr(spark_expression(default_expr)) if default_expr else F.lit(None)
     return _cut(value.cast(spark_type(type_, length)), type_, length)
 
 
@@ -192,8 +192,8 @@ def _matches(cols: Sequence[str]) -> Column:
 
 
 def validate_check(df: DataFrame, expression: str) -> DataFrame:
-    """Rows for which the check is FALSE; NULL passes."""
-    return df.where(~F.expr(expression))
+    """Rows for which the check, as a catalog writes it, is FALSE; NULL passes."""
+    return df.where(~F.expr(spark_expression(expression)))
 
 
 def validate_exclusion(
@@ -237,6 +237,46 @@ def validate_exclusion(
     return df.join(found, same, "left_semi")
 
 
+def constraint_violations(
+    s: Mapping[str, DataFrame], db_id: int, tables: Mapping[tuple[str, str], DataFrame], side: str = "target"
+) -> DataFrame:
+    """How often the rows of some tables break the constraints of a snapshot: (schema_name, table_name, name, type, n).
+
+    ``tables`` has the rows of the database's tables by (schema, name). Primary,
+    unique and foreign keys are found by the column numbers of the snapshot, checks
+    by their text. ``n`` counts broken keys of p and u, rows of f and c. An
+    exclusion constraint says in its operators what overlaps; it is listed with
+    ``n`` NULL, to be checked by ``validate_exclusion``, and so is a foreign key
+    to a table that is not given. The driver holds the constraints and column names of the tables given.
+    """
+    named_tables = s[f"{side}_tables"].where(F.col("db_id") == db_id).select("oid", "schema_name", "name")
+    wanted = reduce(
+        Column.__or__, [(F.col("schema_name") == a) & (F.col("name") == b) for a, b in tables], F.lit(False)
+    )
+    oids = {r["oid"]: (r["schema_name"], r["name"]) for r in named_tables.where(wanted).collect()}
+    mine = (F.col("db_id") == db_id) & F.col("table_oid").isin(*oids)
+    numbered_ = {(r["table_oid"], r["attnum"]): r["name"] for r in s[f"{side}_columns"].where(mine).collect()}
+    found = []
+    for c in sorted(s[f"{side}_constraints"].where(mine).collect(), key=lambda c: c["oid"]):
+        rows, parent = tables[oids[c["table_oid"]]], oids.get(c["ref_table_oid"])
+        cols = [numbered_[c["table_oid"], k] for k in c["cols"] or ()]
+        if c["type"] in ("p", "u"):
+            broken = validate_unique(rows, cols, primary=c["type"] == "p")
+        elif c["type"] == "c":
+            broken = validate_check(rows, c["expression"])
+        elif c["type"] == "f" and parent:
+            broken = validate_foreign_key(rows, tables[parent], cols, [numbered_[c["ref_table_oid"], k] for k in c["ref_cols"]])
+        else:
+            broken = None
+        n = F.lit(None).cast("long") if broken is None else F.count(F.lit(1))
+        source = named_tables.sparkSession.range(1) if broken is None else broken
+        schema, table = oids[c["table_oid"]]
+        head = [F.lit(v).alias(k) for k, v in (("schema_name", schema), ("table_name", table), ("name", c["name"]), ("type", c["type"]))]
+        found.append(source.agg(F.max(n).alias("n") if broken is None else n.alias("n")).select(*head, "n"))
+    shape = "schema_name string, table_name string, name string, type string, n long"
+    return reduce(DataFrame.unionByName, found) if found else named_tables.sparkSession.createDataFrame([], shape)
+
+
 # ---- sequence numbers and views -------------------------------------------
 
 _LONGEST = 2**63 - 1

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fleetschema.functions.ordering import numbered
-from fleetschema.functions.text import declared_chars, spark_type
+from fleetschema.functions.text import declared_chars, spark_expression, spark_type
 from fleetschema.operators import rows
 
 
@@ -188,3 +188,16 @@ def test_rebuilt_views_leave_nothing_behind(spark, tmp_path):
     assert spark.read.parquet(f"{tmp_path}/1/b/w").first()["x"] == 2
     assert {t.name for t in spark.catalog.listTables()} == before and spark.table("v").first()["x"] == 7
     spark.catalog.dropTempView("v")
+
+
+def test_catalog_texts(spark):
+    one = spark.createDataFrame([(3, "it's")], "`Odd Name` int, t string")
+    value = lambda text: one.selectExpr(spark_expression(text)).first()[0]
+    assert value("'n/a'::character varying") == "n/a" and value("'it''s'::text = t") is True
+    assert value(r"'a\b'::bpchar") == r"a\b" and value("'::text'") == "::text"
+    assert value("(2)::numeric(10,2) + (1)::bigint") == 3 and value('"Odd Name"') == 3
+    assert value("CHECK (((\"Odd Name\" > 0) AND (t <> 'x'::text)))") is True
+    assert value("CHECK (((t)::text = ANY ((ARRAY['a'::character varying, 'it''s'::character varying])::text[])))") is True
+    with pytest.raises(ValueError, match="assign_sequence"):
+        spark_expression("nextval('s.q'::regclass)")
+    assert spark_type("uuid") == T.StringType() and spark_type("oid") == T.LongType() and declared_chars('"char"', -1) == 1
