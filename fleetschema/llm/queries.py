@@ -62,11 +62,22 @@ def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang", "source", "n_chars")
-    dealt = sharding.shard_documents(docs, shards=8)
+    # the result has no text, so only what is worked out from it goes through the joins
+    text = F.col("text")
+    docs = docs.select(
+        "doc_id",
+        "lang",
+        "source",
+        "n_chars",
+        sharding.text_size(text).alias("size"),
+        sharding.text_crc(text).alias("text_crc32"),
+        sharding.text_unit(text).alias("unit"),
+    )
+    dealt = sharding.shard_documents(docs, weight=F.col("size"), unit=F.col("unit"), shards=8)
     return dealt.select(
         "doc_id",
-        sharding.text_size(F.col("text")).alias("size"),
-        sharding.text_crc(F.col("text")).alias("text_crc32"),
+        "size",
+        "text_crc32",
         F.lit("bytes").alias("law"),
         "shard",
         "slot",

@@ -153,7 +153,8 @@ def kd_shards(
         together = F.col("__d0_least").isNotNull()
         tie = F.when(together, F.col("__unit")).otherwise(F.col("__own")).bitwiseAND(F.lit((1 << TIE_BITS) - 1))
         return joined.withColumns(
-            {"node": F.lit(0), "weight": F.col("__weight"), "tie": tie}
+            # no literal: a join on a constant would lose its key
+            {"node": (F.col("__weight") * 0).cast("int"), "weight": F.col("__weight"), "tie": tie}
             | {f"d{k}": F.coalesce(f"__d{k}_least", f"__d{k}") for k in range(n)}
         )
 
@@ -214,10 +215,26 @@ def kd_shards(
     )
 
 
+def text_unit(text: Column) -> Column:
+    """64 bits that equal texts share; NULL is like the empty text."""
+    return F.xxhash64(F.coalesce(text, F.lit("")), text_crc(text))
+
+
 def shard_documents(
-    df: DataFrame, key: str = "doc_id", text: str = "text", dims: tuple[str, ...] = ("lang", "source"), length: str = "n_chars", **options
+    df: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    dims: tuple[str, ...] = ("lang", "source"),
+    length: str = "n_chars",
+    weight: Column | None = None,
+    unit: Column | None = None,
+    **options,
 ) -> DataFrame:
-    """``kd_shards`` of documents along their metadata: names by hash, the length by its number (negative or NULL: 0)."""
+    """``kd_shards`` of documents along their metadata: names by hash, the length by its number (negative or NULL: 0).
+
+    ``weight`` and ``unit`` are for frames that hold ``text_size`` and ``text_unit`` in place of the text.
+    """
     places = {length: F.greatest(F.coalesce(col(length).cast("long"), F.lit(0)), F.lit(0))} | {d: category(col(d)) for d in dims}
-    unit = F.xxhash64(F.coalesce(col(text), F.lit("")), text_crc(col(text)))
-    return kd_shards(df, text_size(col(text)), unit, places, F.xxhash64(col(key)), **options)
+    weight = text_size(col(text)) if weight is None else weight
+    unit = text_unit(col(text)) if unit is None else unit
+    return kd_shards(df, weight, unit, places, F.xxhash64(col(key)), **options)
