@@ -188,8 +188,8 @@ def test_foreign_key_waits_for_a_lost_primary_key(spark):
         spark,
         target_tables=tables,
         current_tables=tables,
-        target_columns=[(1, 1, "s", "a", "x", True, "int8", -1, None)],
-        current_columns=[(1, 1, "s", "a", "x", True, "int4", -1, None)],
+        target_columns=[(1, 1, "s", "a", "x", True, "int8", -1, None, None)],
+        current_columns=[(1, 1, "s", "a", "x", True, "int4", -1, None, None)],
         current_constraints=[pk, fk],
         target_constraints=[fk],
     )
