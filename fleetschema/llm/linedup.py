@@ -6,7 +6,9 @@ parts none further. The suffix array gives each suffix the one before it, the
 ranks of the rounds give the common prefix of the two, and intervals of the array
 whose common prefixes have ``min_lines`` lines are repeated runs. Each interval
 keeps its earliest suffix; the first lines of all others are deleted, which over
-suffixes that follow each other adds up to the maximal repeated runs.
+suffixes that follow each other adds up to the maximal repeated runs. A single
+line of ``min_words`` words is a run as well: its intervals are the suffixes that
+start with its id.
 
 Windows below go over the lines of one document or the rows of one block of the
 sorted array; a line or run that very many documents share is only ever counted
@@ -24,26 +26,35 @@ from fleetschema.llm.lines import cut_lines, line_table
 from fleetschema.staging import stage
 
 MIN_LINES = 2
+#: words that make a single line a run
+MIN_WORDS = 50
 DOC = ["none", "key", "mark"]  # none: the key is NULL
 THERE = [f"b_{c}" for c in [*DOC, "n"]]  # the suffix before
 
 
-def chains(lines: DataFrame, min_lines: int) -> DataFrame:
-    """(doc, n, id, left): repeated lines that stand in chains of at least ``min_lines``.
+def chains(lines: DataFrame, min_lines: int, min_words: int = MIN_WORDS) -> DataFrame:
+    """(doc, n, id, left, size, long): repeated lines that are long or stand in chains of at least ``min_lines``.
 
-    ``id`` names the line's text, ``left`` is how many lines the chain has from here.
+    ``id`` names the line's text, ``left`` is how many lines the chain has from here,
+    ``size`` how many it has, and a line of ``min_words`` words is long.
     """
     lines = lines.select(
-        F.col("key").isNull().alias("none"), F.coalesce("key", F.lit(0)).alias("key"), "mark", "n", "digest"
+        F.col("key").isNull().alias("none"),
+        F.coalesce("key", F.lit(0)).alias("key"),
+        "mark",
+        "n",
+        "digest",
+        (F.col("words") >= min_words).alias("long"),
     ).distinct()
     lines = stage(lines, "line-digests")
     repeated = lines.groupBy("digest").agg(F.count(F.lit(1)).alias("times")).where("times > 1")
     ids = stage(repeated.select("digest", F.monotonically_increasing_id().alias("id")), "line-ids")
-    found = lines.join(ids, "digest").select(*DOC, "n", "id")
+    found = lines.join(ids, "digest").select(*DOC, "n", "id", "long")
     found = found.withColumn("chain", F.col("n") - F.row_number().over(Window.partitionBy(*DOC).orderBy("n")))
     whole = Window.partitionBy(*DOC, "chain")
     found = found.withColumns({"left": F.max("n").over(whole) - F.col("n") + 1, "size": F.count(F.lit(1)).over(whole)})
-    return stage(found.where(F.col("size") >= min_lines).select(*DOC, "n", "id", "left"), "line-chains")
+    found = found.where((F.col("size") >= min_lines) | F.col("long"))
+    return stage(found.select(*DOC, "n", "id", "left", "size", "long"), "line-chains")
 
 
 def suffix_ranks(positions: DataFrame) -> list[DataFrame]:
@@ -52,7 +63,7 @@ def suffix_ranks(positions: DataFrame) -> list[DataFrame]:
     A chain's end sorts before every line. The last table parts the suffixes as far
     as they can be: those it leaves tied are equal to their chains' ends.
     """
-    levels = [positions.withColumn("r", F.col("id"))]
+    levels = [positions.select(*DOC, "n", "id", "left", F.col("id").alias("r"))]
     parts, step = positions.select("id").distinct().count(), 1
     while True:
         further = Window.partitionBy(*DOC).orderBy("n").rangeBetween(step, step)
@@ -141,20 +152,32 @@ def later_copies(array: DataFrame, min_lines: int) -> DataFrame:
     return rows.select(*DOC, "n", F.when(~F.col("first.none"), F.col("first.key")).alias("first"))
 
 
-def dedup_lines(df: DataFrame, key: str = "doc_id", text: str = "text", min_lines: int = MIN_LINES) -> DataFrame:
+def later_long_lines(positions: DataFrame) -> DataFrame:
+    """(doc, n, first): the long lines that stand earlier, and the key that keeps them."""
+    rows, place = positions.where("long").select(*DOC, "n", "id"), F.struct(*DOC, "n")
+    first = rows.groupBy("id").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first != last")
+    rows = rows.join(stage(first.drop("last"), "long-line-firsts"), "id").where(place != F.col("first"))
+    return rows.select(*DOC, "n", F.when(~F.col("first.none"), F.col("first.key")).alias("first"))
+
+
+def dedup_lines(
+    df: DataFrame, key: str = "doc_id", text: str = "text", min_lines: int = MIN_LINES, min_words: int = MIN_WORDS
+) -> DataFrame:
     """Every row of ``df`` without later copies of runs of lines, and ``removed``: what was cut where.
 
     A run is ``min_lines`` or more lines that, case and white space aside, stand in
-    the same order at another place. The earliest place (by key, NULL last, then by
+    the same order at another place, or one such line of ``min_words`` words. The earliest place (by key, NULL last, then by
     line) keeps it. Blank lines are not counted and do not interrupt a run. Where a run
     overlaps its own copy, as when one line is repeated over and over, what is left
     is its first lines. NULL and empty texts stay as they are; rows that agree in
     key and text are one document and are cut alike; an empty table gives no rows;
     the added column takes an underscore where the input has its name.
     """
-    positions = chains(line_table(df, key, text), min_lines)
-    copies = later_copies(common_prefixes(suffix_ranks(positions)), min_lines)
+    positions = chains(line_table(df, key, text), min_lines, min_words)
+    in_chains = positions.where(F.col("size") >= min_lines)
+    copies = later_copies(common_prefixes(suffix_ranks(in_chains)), min_lines)
     gone = copies.withColumn("n", F.explode(F.sequence(F.col("n"), F.col("n") + min_lines - 1)))
+    gone = gone.unionByName(later_long_lines(positions))
     gone = gone.groupBy(*DOC, "n").agg(F.min("first").alias("first")).groupBy(*DOC)
     gone = gone.agg(F.collect_list(F.struct("n", "first")).alias("lines")).select(
         F.when(~F.col("none"), F.col("key")).alias("key"), "mark", "lines"
