@@ -2,8 +2,8 @@
 
 Units are normalised (lower case, white space) and digested; digests are grouped
 over all documents, combined before the shuffle, and each keeps its earliest
-ranked occurrence. All others are taken out of their texts where enough of them
-stand together, and the stretches that were cut are given in offsets of the
+ranked occurrence. All others are taken out of their texts, but for a few words
+that stand alone, and the stretches that were cut are given in offsets of the
 original text.
 """
 
@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 from fleetschema.llm.lines import cut_lines, line_table
 from fleetschema.staging import stage
 
-#: words that a stretch of repeated units has to have before it is cut
-MIN_WORDS = 50
+#: a stretch of repeated units with fewer words than this is spared: a heading, a closing phrase
+MIN_WORDS = 3
 
 
 def repeated_units(df: DataFrame, key: str, text: str, sep: str) -> DataFrame:
