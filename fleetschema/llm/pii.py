@@ -24,7 +24,7 @@ ROUNDS = 8
 # How the formats are written.
 _EDGE, _END = r"(?<![\w.+-])", r"(?![\w-])(?!\.\d)"
 _CARD = r"\d{4}[ -]\d{4}[ -]\d{4}[ -]\d{4}|\d{4}[ -]\d{6}[ -]\d{5}|\d{13,19}"
-_PHONE = r"(?:\+?1[ .-]?)?(?:\([2-9]\d{2}\) ?|[2-9]\d{2}[ .-])[2-9]\d{2}[ .-]\d{4}"
+_PHONE = r"(?:\+?1[ .-]?)?(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}"
 _IP = r"(?:\d{1,3}\.){3}\d{1,3}"
 _SSN = r"\d{3}-\d{2}-\d{4}"
 _DATE = r"\d{4}-\d{2}-\d{2}|\d{4}/\d{2}/\d{2}"
@@ -99,7 +99,7 @@ def _octets(l: Column, r: Column) -> Column:
     return F.concat_ws(".", *[x.cast("string") for v in (l, r) for x in (F.shiftright(v, 8), v.bitwiseAND(F.lit(255)))])
 
 
-# the last ten digits of a phone number: area and exchange 200-999, and the line
+# the last ten digits of a phone number: area and exchange, any three digits each, and the line
 def _phone(digits: Column, back: int, length: int) -> Column:
     return F.substring(digits, F.length(digits) - back + 1, F.lit(length)).try_cast("long")
 
@@ -134,12 +134,11 @@ FORMATS = (
         "phone",
         _PHONE,
         lambda d, t: F.length(d).isin(10, 11),
-        lambda d: (F.lit(800 * 800).cast("long"), F.lit(10_000).cast("long")),
-        lambda d, t: ((_phone(d, 10, 3) - 200) * 800 + _phone(d, 7, 3) - 200, _phone(d, 4, 4)),
+        lambda d: (F.lit(1000 * 1000).cast("long"), F.lit(10_000).cast("long")),
+        lambda d, t: (_phone(d, 10, 6), _phone(d, 4, 4)),
         lambda l, r, d: F.concat(
             F.substring(d, F.lit(1), F.length(d) - 10),
-            (F.floor(l / 800) + 200).cast("string"),
-            (l % 800 + 200).cast("string"),
+            _padded(l, 6),
             _padded(r, 4),
         ),
     ),
@@ -228,7 +227,7 @@ def pseudonymise(
 
     ``replaced`` lists kind and offset of each, in code points of the original
     text. Formats: payment card numbers with a valid Luhn digit, telephone numbers
-    of the North American plan, IPv4 addresses, social security numbers in the
+    in the North American shape (any area code and exchange), IPv4 addresses, social security numbers in the
     ranges that are given out, and calendar dates from 1900 for 73,000 days. ``back``
     takes the pseudonyms back. NULL and empty texts stay as they are, texts
     without a candidate are not rebuilt, rows may repeat, an empty table gives no
