@@ -4,12 +4,26 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetschema.llm import decontaminate, embeddings, html, linedup, mixing, pii, quality, sharding, simhash, substring
+from fleetschema.llm import (
+    decontaminate,
+    embeddings,
+    html,
+    linedup,
+    mixing,
+    pii,
+    quality,
+    sharding,
+    simhash,
+    substring,
+    tokenids,
+)
 from fleetschema.llm.common import table
 from fleetschema.llm.sql import ORACLES
+from fleetschema.staging import new_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -104,6 +118,15 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op11_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = new_folder(spark, "token-archive")
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    tokenids.write_ids(docs, folder, public_tokenizers.path("word_bpe_49k.json"), end_id=1)
+    return tokenids.read_ids(spark, folder).select(
+        F.col("key").alias("doc_id"), "start", "n_tokens", F.crc32("ids").alias("ids_crc32")
+    )
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -117,6 +140,7 @@ QUERIES: dict[str, Query] = {
         op8_pii,
         op9_simhash_near_dedup,
         op10_mixing,
+        op11_token_ids,
     )
 }
 
