@@ -1,43 +1,41 @@
 """Token ids by public tokenizers inside tasks, word by word.
 
-Texts repeat their words, so a worker encodes each distinct piece once with the
-tokenizer's own library and keeps its ids. A text is cut only where the
-tokenizer itself parts it whatever stands around, so the ids are those of the
-whole text: in front of a space or line end that follows a character which is
-no white space. That holds for pre-tokenizers by pattern in which no match
-starts at other characters and runs into white space, and for normalisers that
-treat a character by itself or together with marks that follow it.
+Texts repeat their words, so a worker encodes each distinct one once with the
+tokenizer's own library and keeps its ids. Texts are cut in front of spaces, and
+only where the tokenizer parts them there whatever stands around, so the ids are
+those of the whole text. This holds for tokenizers whose normaliser treats a
+character by itself or with the marks behind it, and whose pattern either drops
+white space or takes one space with the word behind it and any longer run of
+white space but for its last character by itself; texts of the latter kind with
+such a run are encoded whole.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
-from collections.abc import Callable, Iterable
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-#: pieces and bytes that a worker keeps before it starts anew
-CACHE_PIECES, CACHE_BYTES = 400_000, 64_000_000
+#: words that a worker keeps before it starts anew, bytes of their ids and names, words encoded at a time, bytes of texts at a time
+CACHE_WORDS, CACHE_BYTES, WORDS, TEXT_BYTES = 500_000, 48_000_000, 2_048, 8_000_000
 
-_CUT = re.compile(r"(?<=\S)(?=[ \n])")
+#: a word of Latin letters that a normaliser leaves as they are but for case, and marks behind it
+_SIMPLE = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)")
+#: fixed values: the patterns under which such letters are one unit and such marks another
+_LOWERED = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
+#: a space behind any white space
+_RUN = r"[\s\x0b\x1c-\x1f\x{85}\pZ] "
 
-def at_spaces(text: str) -> list[str]:
-    """For tokenizers that drop white space."""
-    return text.split(" ")
 
-
-def before_spaces(text: str) -> list[str]:
-    """For tokenizers that keep white space with the word behind it."""
-    return _CUT.split(text)
-
-
-class PieceEncoder:
-    """Ids of texts as little-endian unsigned numbers of ``width`` bytes."""
-
-    def __init__(self, path: str, pieces: Callable[[str], list[str]], plain_specials: bool):
+class WordEncoder:
+    def __init__(self, path: str, keeps_space: bool, plain_specials: bool):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
@@ -45,23 +43,102 @@ class PieceEncoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.tokenizer.encode_special_tokens = plain_specials
-        self.pieces = pieces
+        self.keeps_space = keeps_space
         self.width = id_width(self.tokenizer.get_vocab_size(with_added_tokens=True))
         self.kind = np.dtype(f"<u{self.width}")
         self.known: dict[str, bytes] = {}
+        self.units: dict[str, bytes] = {}
         self.bytes = 0
-
-    def encode(self, texts: Iterable[str]) -> list[bytes]:
-        cut = [self.pieces(t) if t else [] for t in texts]
-        new = list(set().union(*cut) - self.known.keys())
-        if len(self.known) + len(new) > CACHE_PIECES or self.bytes > CACHE_BYTES:
-            self.known, self.bytes = {}, 0
-            new = list(set().union(*cut))
-        for piece, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            self.known[piece] = ids = np.array(found.ids, self.kind).tobytes()
-            self.bytes += len(piece) + len(ids)
-        get = self.known.__getitem__
-        return [b"".join(map(get, p)) for p in cut]
+        self.simple = self._parts_simple_words()
+
+    def _parts_simple_words(self) -> bool:
+        """Whether the tokenizer parts a simple word into its letters and its marks, as the pattern of either kind does."""
+        made = json.loads(self.tokenizer.to_str())
+        before = made["pre_tokenizer"] or {}
+        if self.keeps_space:
+            return made["normalizer"] is None and before.get("type") == "ByteLevel" and before["use_regex"]
+        steps = [x["type"] for x in (made["normalizer"] or {}).get("normalizers", ())]
+        split = [x["pattern"]["Regex"] for x in before.get("pretokenizers", ()) if x["type"] == "Split"]
+        return steps == ["NFC", "Replace", "Lowercase"] and split == [_LOWERED]
+
+    def encode(self, texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For some texts at a time, in order: the ids of all of them, and where each text's begin (and the last end).
+
+        A tokenizer that keeps spaces reads each text with one space before it.
+        """
+        texts = texts.cast(pa.large_string()).fill_null("")
+        sizes = np.concatenate([[0], np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))])
+        at = 0
+        while at < len(texts):
+            end = max(at + 1, int(np.searchsorted(sizes, sizes[at] + TEXT_BYTES, "right")) - 1)
+            yield self._some(texts.slice(at, end - at))
+            at = end
+
+    def _some(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        whole: dict[int, bytes] = {}
+        if self.keeps_space:
+            spaced = pc.binary_join_element_wise(pa.scalar("", pa.large_string()), texts, pa.scalar(" ", pa.large_string()))
+            runs = pc.match_substring_regex(spaced, _RUN)
+            for i in np.flatnonzero(runs.to_numpy(zero_copy_only=False)):
+                whole[int(i)] = self._ids([spaced[i].as_py()])[0]
+            texts = pc.if_else(runs, pa.scalar("", pa.large_string()), texts)
+        parts = pc.split_pattern(texts, " ")
+        words = parts.flatten().dictionary_encode()
+        ids = self._known([f" {w}" for w in words.dictionary.to_pylist()] if self.keeps_space else words.dictionary.to_pylist())
+        lengths = np.array([len(x) // self.width for x in ids], np.int64)
+        flat = np.frombuffer(b"".join(ids), self.kind)
+        word = words.indices.to_numpy()
+        counts = lengths[word]
+        ends = np.cumsum(counts)
+        starts = (np.cumsum(lengths) - lengths)[word]
+        out = flat[np.repeat(starts - (ends - counts), counts) + np.arange(ends[-1] if len(ends) else 0)]
+        bounds = np.concatenate([[0], ends])[parts.offsets.to_numpy() - parts.offsets[0].as_py()]
+        if not whole:
+            return out, bounds
+        pieces = [np.frombuffer(whole[i], self.kind) if i in whole else out[bounds[i] : bounds[i + 1]] for i in range(len(texts))]
+        return np.concatenate(pieces), np.concatenate([[0], np.cumsum([len(p) for p in pieces])])
+
+    def _ids(self, words: list[str]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
+        return [np.array(x.ids, self.kind).tobytes() for x in found]
+
+    def _known(self, words: list[str]) -> list[bytes]:
+        if max(len(self.known), len(self.units)) > CACHE_WORDS or self.bytes > CACHE_BYTES:
+            self.known, self.units, self.bytes = {}, {}, 0
+        new = [w for w in words if w not in self.known]
+        others = []
+        for word in new:
+            found = _SIMPLE.fullmatch(word, int(self.keeps_space)) if self.simple else None
+            if found:
+                letters, marks = found.groups()
+                ids = self._unit(f" {letters}" if self.keeps_space else letters.lower())
+                self.known[word] = ids + self._unit(marks) if marks else ids
+            else:
+                others.append(word)
+        for at in range(0, len(others), WORDS):
+            some = others[at : at + WORDS]
+            self.known.update(zip(some, self._ids(some)))
+        self.bytes += sum(len(w) + len(self.known[w]) for w in new)
+        return [self.known[w] for w in words]
+
+    def _unit(self, unit: str) -> bytes:
+        """The ids of what the tokenizer does not part before it merges."""
+        ids = self.units.get(unit)
+        if ids is None:
+            spelled = unit.encode().decode("latin-1").translate(_SPELLED)
+            ids = np.array([t.id for t in self.tokenizer.model.tokenize(spelled)], self.kind).tobytes()
+            self.units[unit] = ids
+        return ids
+
+
+def byte_characters() -> dict[int, str]:
+    """The character that byte-level vocabularies write for each byte: itself if it can be seen, else one from 256 on."""
+    seen = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    unseen = [b for b in range(256) if b not in seen]
+    return {b: chr(b) for b in seen} | {b: chr(256 + n) for n, b in enumerate(unseen)}
+
+
+_SPELLED = byte_characters()
 
 
 def id_width(ids: int) -> int:
@@ -69,6 +146,6 @@ def id_width(ids: int) -> int:
 
 
 @lru_cache(maxsize=4)
-def piece_encoder(path: str, keeps_space: bool, plain_specials: bool) -> PieceEncoder:
+def word_encoder(path: str, keeps_space: bool, plain_specials: bool) -> WordEncoder:
     """The worker's encoder of this file; it lives as long as the worker."""
-    return PieceEncoder(path, before_spaces if keeps_space else at_spaces, plain_specials)
+    return WordEncoder(path, keeps_space, plain_specials)

@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from fleetschema.llm.common import col, map_batches
-from fleetschema.llm.encoders import id_width, piece_encoder
+from fleetschema.llm.encoders import id_width, word_encoder
 from fleetschema.staging import stage
 
 #: the dictionary is trained on about this many stretches of ids, spread over all documents, of so many ids each
@@ -77,9 +77,11 @@ def encode(df: DataFrame, key: str, text: str, tokenizer: str, end_id: int) -> D
     """(key, n_tokens, ids): the ids of each whole text and ``end_id`` behind them, as bytes."""
 
     def run(batch: pa.RecordBatch) -> list[pa.Array]:
-        encoder = piece_encoder(tokenizer, keeps_space=False, plain_specials=False)
+        encoder = word_encoder(tokenizer, keeps_space=False, plain_specials=False)
         end = np.array([end_id], encoder.kind).tobytes()
-        ids = [x + end for x in encoder.encode(batch.column(1).to_pylist())]
+        ids = []
+        for some, bounds in encoder.encode(batch.column(1)):
+            ids += [some[a:b].tobytes() + end for a, b in zip(bounds[:-1], bounds[1:])]
         return [batch.column(0), pa.array([len(x) // encoder.width for x in ids], pa.int64()), pa.array(ids, pa.binary())]
 
     return map_batches(df.select(col(key).cast("long").alias("key"), col(text).alias("text")), ENCODED, run)
@@ -197,7 +199,7 @@ def write_ids(
 
 
 def _vocabulary(tokenizer: str) -> int:
-    return piece_encoder(tokenizer, keeps_space=False, plain_specials=False).tokenizer.get_vocab_size(with_added_tokens=True)
+    return word_encoder(tokenizer, keeps_space=False, plain_specials=False).tokenizer.get_vocab_size(with_added_tokens=True)
 
 
 def _read(spark: SparkSession, folder: str, name: str) -> DataFrame:
