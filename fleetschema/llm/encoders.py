@@ -15,6 +15,7 @@ from __future__ import annotations
 import json
 import os
 import re
+import struct
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -23,7 +24,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: words that a worker keeps before it starts anew, bytes of their ids and names, words encoded at a time, bytes of texts at a time
-CACHE_WORDS, CACHE_BYTES, WORDS, TEXT_BYTES = 500_000, 48_000_000, 2_048, 8_000_000
+CACHE_WORDS, CACHE_BYTES, WORDS, TEXT_BYTES = 500_000, 48_000_000, 2_048, 16_000_000
 
 #: a word of Latin letters that a normaliser leaves as they are but for case, and marks behind it
 _SIMPLE = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)")
@@ -85,14 +86,12 @@ class WordEncoder:
         parts = pc.split_pattern(texts, " ")
         words = parts.flatten().dictionary_encode()
         ids = self._known([f" {w}" for w in words.dictionary.to_pylist()] if self.keeps_space else words.dictionary.to_pylist())
-        lengths = np.array([len(x) // self.width for x in ids], np.int64)
-        flat = np.frombuffer(b"".join(ids), self.kind)
-        word = words.indices.to_numpy()
-        counts = lengths[word]
-        ends = np.cumsum(counts)
-        starts = (np.cumsum(lengths) - lengths)[word]
-        out = flat[np.repeat(starts - (ends - counts), counts) + np.arange(ends[-1] if len(ends) else 0)]
-        bounds = np.concatenate([[0], ends])[parts.offsets.to_numpy() - parts.offsets[0].as_py()]
+        # the ids of all words one after the other are the data of this array
+        spelled = pa.array(ids, pa.large_binary()).take(words.indices)
+        _, ends, data = spelled.buffers()
+        ends = np.frombuffer(ends, np.int64)[: len(spelled) + 1]
+        out = np.frombuffer(data, self.kind, ends[-1] // self.width) if data else np.zeros(0, self.kind)
+        bounds = ends[parts.offsets.to_numpy() - parts.offsets[0].as_py()] // self.width
         if not whole:
             return out, bounds
         pieces = [np.frombuffer(whole[i], self.kind) if i in whole else out[bounds[i] : bounds[i + 1]] for i in range(len(texts))]
@@ -100,7 +99,10 @@ class WordEncoder:
 
     def _ids(self, words: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
-        return [np.array(x.ids, self.kind).tobytes() for x in found]
+        return [self._packed(x.ids) for x in found]
+
+    def _packed(self, ids: list[int]) -> bytes:
+        return struct.pack(f"<{len(ids)}{'H' if self.width == 2 else 'I'}", *ids)
 
     def _known(self, words: list[str]) -> list[bytes]:
         if max(len(self.known), len(self.units)) > CACHE_WORDS or self.bytes > CACHE_BYTES:
@@ -126,7 +128,7 @@ class WordEncoder:
         ids = self.units.get(unit)
         if ids is None:
             spelled = unit.encode().decode("latin-1").translate(_SPELLED)
-            ids = np.array([t.id for t in self.tokenizer.model.tokenize(spelled)], self.kind).tobytes()
+            ids = self._packed([t.id for t in self.tokenizer.model.tokenize(spelled)])
             self.units[unit] = ids
         return ids
 

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetschema.llm import (
+    alignment,
     decontaminate,
     embeddings,
     html,
@@ -20,10 +21,11 @@ from fleetschema.llm import (
     simhash,
     substring,
     tokenids,
+    whitening,
 )
 from fleetschema.llm.common import table
 from fleetschema.llm.sql import ORACLES
-from fleetschema.staging import new_folder
+from fleetschema.staging import new_folder, stage
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -127,6 +129,32 @@ def op11_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    a, b = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return alignment.align_tokenizers(docs, a, b).select(
+        F.col("key").alias("doc_id"), "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"
+    )
+
+
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings", "vec_id", "embedding")
+    model = whitening.fit(vectors, "embedding", components=8)
+    rows = stage(whitening.whiten(vectors, "embedding", model).drop("embedding"), "whitened")
+    error = whitening.identity_error(rows, "whitened", len(model.values))
+    explained = F.array(*[F.lit(x) for x in model.explained]).cast("array<double>")
+    each = rows.select("vec_id", "deviation", F.posexplode("whitened").alias("place", "whitened"))
+    return each.select(
+        "vec_id",
+        (F.col("place") + 1).alias("component"),
+        F.lit(model.n).cast("long").alias("n"),
+        F.col("deviation").cast("long").alias("deviation"),
+        "whitened",
+        F.element_at(explained, F.col("place") + 1).alias("explained"),
+        F.lit(float(error)).alias("identity_error"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -141,6 +169,8 @@ QUERIES: dict[str, Query] = {
         op9_simhash_near_dedup,
         op10_mixing,
         op11_token_ids,
+        op12_token_alignment,
+        op13_embedding_whitening,
     )
 }
 
