@@ -23,8 +23,10 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: words that a worker keeps before it starts anew, bytes of their ids and names, words encoded at a time, bytes of texts at a time
-CACHE_WORDS, CACHE_BYTES, WORDS, TEXT_BYTES = 500_000, 48_000_000, 2_048, 16_000_000
+#: words that a worker keeps before it starts anew, and bytes of texts that it encodes at a time
+CACHE_WORDS, TEXT_BYTES = 500_000, 16_000_000
+#: bytes of words and ids that it keeps, words encoded at a time
+CACHE_BYTES, WORDS = 48_000_000, 2_048
 
 #: a word of Latin letters that a normaliser leaves as they are but for case, and marks behind it
 _SIMPLE = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)")
@@ -36,7 +38,7 @@ _RUN = r"[\s\x0b\x1c-\x1f\x{85}\pZ] "
 
 
 class WordEncoder:
-    def __init__(self, path: str, keeps_space: bool, plain_specials: bool):
+    def __init__(self, path: str, keeps_space: bool, plain_specials: bool, cache_words: int, text_bytes: int):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
@@ -44,7 +46,7 @@ class WordEncoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.tokenizer.encode_special_tokens = plain_specials
-        self.keeps_space = keeps_space
+        self.keeps_space, self.cache_words, self.text_bytes = keeps_space, cache_words, text_bytes
         self.width = id_width(self.tokenizer.get_vocab_size(with_added_tokens=True))
         self.kind = np.dtype(f"<u{self.width}")
         self.known: dict[str, bytes] = {}
@@ -71,9 +73,10 @@ class WordEncoder:
         sizes = np.concatenate([[0], np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))])
         at = 0
         while at < len(texts):
-            end = max(at + 1, int(np.searchsorted(sizes, sizes[at] + TEXT_BYTES, "right")) - 1)
+            end = max(at + 1, int(np.searchsorted(sizes, sizes[at] + self.text_bytes, "right")) - 1)
             yield self._some(texts.slice(at, end - at))
             at = end
+        pa.default_memory_pool().release_unused()
 
     def _some(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         whole: dict[int, bytes] = {}
@@ -81,11 +84,11 @@ class WordEncoder:
             spaced = pc.binary_join_element_wise(pa.scalar("", pa.large_string()), texts, pa.scalar(" ", pa.large_string()))
             runs = pc.match_substring_regex(spaced, _RUN)
             for i in np.flatnonzero(runs.to_numpy(zero_copy_only=False)):
-                whole[int(i)] = self._ids([spaced[i].as_py()])[0]
+                whole[int(i)] = self._ids([texts[i].as_py()])[0]
             texts = pc.if_else(runs, pa.scalar("", pa.large_string()), texts)
         parts = pc.split_pattern(texts, " ")
         words = parts.flatten().dictionary_encode()
-        ids = self._known([f" {w}" for w in words.dictionary.to_pylist()] if self.keeps_space else words.dictionary.to_pylist())
+        ids = self._known(words.dictionary.to_numpy(zero_copy_only=False).tolist())
         # the ids of all words one after the other are the data of this array
         spelled = pa.array(ids, pa.large_binary()).take(words.indices)
         _, ends, data = spelled.buffers()
@@ -98,6 +101,7 @@ class WordEncoder:
         return np.concatenate(pieces), np.concatenate([[0], np.cumsum([len(p) for p in pieces])])
 
     def _ids(self, words: list[str]) -> list[bytes]:
+        words = [f" {w}" for w in words] if self.keeps_space else words
         found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
         return [self._packed(x.ids) for x in found]
 
@@ -105,12 +109,12 @@ class WordEncoder:
         return struct.pack(f"<{len(ids)}{'H' if self.width == 2 else 'I'}", *ids)
 
     def _known(self, words: list[str]) -> list[bytes]:
-        if max(len(self.known), len(self.units)) > CACHE_WORDS or self.bytes > CACHE_BYTES:
+        if max(len(self.known), len(self.units)) > self.cache_words or self.bytes > CACHE_BYTES:
             self.known, self.units, self.bytes = {}, {}, 0
         new = [w for w in words if w not in self.known]
         others = []
         for word in new:
-            found = _SIMPLE.fullmatch(word, int(self.keeps_space)) if self.simple else None
+            found = _SIMPLE.fullmatch(word) if self.simple else None
             if found:
                 letters, marks = found.groups()
                 ids = self._unit(f" {letters}" if self.keeps_space else letters.lower())
@@ -148,6 +152,8 @@ def id_width(ids: int) -> int:
 
 
 @lru_cache(maxsize=4)
-def word_encoder(path: str, keeps_space: bool, plain_specials: bool) -> WordEncoder:
+def word_encoder(
+    path: str, keeps_space: bool, plain_specials: bool, cache_words: int = CACHE_WORDS, text_bytes: int = TEXT_BYTES
+) -> WordEncoder:
     """The worker's encoder of this file; it lives as long as the worker."""
-    return WordEncoder(path, keeps_space, plain_specials)
+    return WordEncoder(path, keeps_space, plain_specials, cache_words, text_bytes)

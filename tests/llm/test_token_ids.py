@@ -9,7 +9,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from fleetschema.llm import encoders, queries, tokenids
+from fleetschema.llm import queries, tokenids
 from fleetschema.llm.encoders import word_encoder
 from fleetschema.staging import new_folder
 from tests.conftest import SF
@@ -34,10 +34,9 @@ def odd_texts(n=200):
 
 
 @pytest.mark.parametrize("name, keeps_space, plain", [("word_bpe_49k.json", False, False), ("byte_bpe_50k.json", True, True)])
-def test_pieces_give_the_ids_of_whole_texts(con, monkeypatch, name, keeps_space, plain):
+def test_pieces_give_the_ids_of_whole_texts(con, name, keeps_space, plain):
     texts = odd_texts() + [t or "" for (t,) in con.execute("SELECT text FROM documents").fetchall()]
-    encoder = word_encoder(public_tokenizers.path(name), keeps_space, plain)
-    monkeypatch.setattr(encoders, "TEXT_BYTES", 100_000)
+    encoder = word_encoder(public_tokenizers.path(name), keeps_space, plain, cache_words=2_000, text_bytes=100_000)
     got = [some[a:b].tolist() for some, at in encoder.encode(pa.array(texts)) for a, b in zip(at[:-1], at[1:])]
     assert got == whole([" " + t for t in texts] if keeps_space else texts, public_tokenizers.path(name), plain)
 
