@@ -34,7 +34,9 @@ from fleetschema.llm.encoders import byte_characters, word_encoder
 from fleetschema.staging import new_folder
 
 #: merged ends of a piece; distinct pairs of documents after which a chunk is closed; texts that are encoded at a time
-PIECE, CHUNK_PAIRS, TEXTS = 16_384, 4_000_000, 64
+PIECE, CHUNK_PAIRS, TEXTS = 16_384, 2_000_000, 64
+#: words that a worker keeps, bytes of texts that it encodes at a time: two vocabularies and a chunk lie beside them
+CACHE_WORDS, TEXT_BYTES = 200_000, 4_000_000
 
 _NUMBERS = [("n_a", "long"), ("n_b", "long"), ("n_groups", "long"), ("n_links", "long")]
 _DOC = "row long, key long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string"
@@ -50,7 +52,7 @@ class Tokenizers:
     def __init__(self, a: str, b: str):
         import sentencepiece
 
-        self.words = word_encoder(a, keeps_space=True, plain_specials=True)
+        self.words = word_encoder(a, keeps_space=True, plain_specials=True, cache_words=CACHE_WORDS, text_bytes=TEXT_BYTES)
         self.pieces = sentencepiece.SentencePieceProcessor(model_file=b)
         byte_of = {c: n for n, c in byte_characters().items()}
         tokens = [self.words.tokenizer.id_to_token(i) or "" for i in range(self.words.tokenizer.get_vocab_size())]
@@ -163,7 +165,7 @@ def groups_text(t: Tokenizers, a: np.ndarray, b: np.ndarray, close_a: np.ndarray
 def _pairs(t: Tokenizers, a: np.ndarray, b: np.ndarray, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The distinct id pairs of links, sorted, and how often each is there."""
     pairs, times = np.unique((a[i] * t.n_b + b[j]).astype(t.kind), return_counts=True)
-    return pairs, times
+    return pairs, times.astype("<u4")
 
 
 def _digest(text: str) -> str:
@@ -268,7 +270,7 @@ def _merge_pieces(pieces: DataFrame, a: str, b: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = tokenizers(a, b)
-        for batch in batches:
+        for batch in (b.slice(k, 64) for b in batches for k in range(0, b.num_rows, 64)):
             rows = []
             for p in batch.to_pylist():
                 x, y = np.frombuffer(p["a_ids"], "<u4").astype(np.int64), np.frombuffer(p["b_ids"], "<u4").astype(np.int64)
@@ -286,7 +288,7 @@ def _merge_pieces(pieces: DataFrame, a: str, b: str) -> DataFrame:
                 edges = [v.astype("<u4").tobytes() for v in (in_x[:first_a], in_y[:first_b], in_x[last_a:], in_y[last_b:])]
                 rows.append(
                     (p["row"], p["key"], p["piece"], p["n_a"], p["n_b"], len(i), len(close_a), closed, body, *edges,
-                     pairs.tobytes(), times.astype("<u4").tobytes())
+                     pairs.tobytes(), times.tobytes())
                 )
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(zip(*rows), kinds)], names)
@@ -321,7 +323,7 @@ def _stitch(merged: DataFrame, a: str, b: str) -> DataFrame:
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = tokenizers(a, b)
         chunks = Chunks(t.kind, -1 - _first_chunk(), -1)
-        for batch in batches:
+        for batch in (b.slice(k, 64) for b in batches for k in range(0, b.num_rows, 64)):
             for r in batch.to_pylist():
                 doc = tuple(r[n] for n in _FOUND_NAMES[2:9])
                 yield from chunks.add(doc, np.frombuffer(r["pairs"], t.kind), np.frombuffer(r["times"], "<u4"))
