@@ -148,3 +148,8 @@ SELECT db_id, schema_name, name, op, changed_columns FROM (
       CASE WHEN t.max_value IS DISTINCT FROM c.max_value THEN 'max_value' END, CASE WHEN t.increment IS DISTINCT FROM c.increment THEN 'increment' END) END AS changed_columns
   FROM target_sequences t FULL JOIN current_sequences c USING (db_id, schema_name, name)) x
 WHERE op <> 'CHANGED' OR changed_columns <> ''
+
+-- name: d17_row_diff_by_blocks
+SELECT o_orderkey, CASE WHEN o_orderkey % 1301 = 0 THEN 'REMOVED' WHEN o_orderkey % 1103 = 0 THEN 'ADDED' ELSE 'CHANGED' END AS op,
+  CASE WHEN o_orderkey % 1301 <> 0 AND o_orderkey % 1103 <> 0 THEN 'o_orderpriority' ELSE '' END AS changed_columns
+FROM orders WHERE (o_orderkey % 1301 = 0) <> (o_orderkey % 1103 = 0) OR (o_orderkey % 907 = 0 AND o_orderkey % 1301 <> 0 AND o_orderkey % 1103 <> 0 AND o_orderpriority IS NOT NULL)

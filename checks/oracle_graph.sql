@@ -56,3 +56,20 @@ WHERE (e.db_id, e.view_oid) NOT IN (SELECT (db_id, oid) FROM o_cyclic)
 -- name: g05_recreation_order
 SELECT db_id, oid, max(level) AS level, FALSE AS in_cycle FROM o_longest GROUP BY db_id, oid
 UNION ALL SELECT db_id, oid, (SELECT max(level) + 1 FROM o_longest), TRUE FROM o_cyclic
+
+-- name: g04_dependency_paths
+SELECT w.db_id, w.oid, min(w.depth) AS depth, array_to_string(CAST(min((w.depth, w.path))[2] AS VARCHAR[]), '>') AS path,
+  bool_or(c.oid IS NOT NULL) AS is_cycle
+FROM o_walk w LEFT JOIN o_on_cycle c ON c.db_id = w.db_id AND c.oid = w.oid GROUP BY w.db_id, w.oid
+
+-- name: g04_closure_by_recursion
+SELECT db_id, oid, min(depth) AS depth FROM o_walk GROUP BY db_id, oid
+
+-- name: o_on_cycle
+SELECT r.db_id, r.a AS oid, min(r.b) AS component FROM o_reach r JOIN o_reach s ON s.db_id = r.db_id AND s.a = r.b AND s.b = r.a GROUP BY r.db_id, r.a
+
+-- name: g05_cycle_members
+SELECT o.db_id, o.oid, o.level, c.oid IS NOT NULL AS in_cycle, o.last AND c.oid IS NULL AS behind_cycle, c.component FROM (
+  SELECT db_id, oid, max(level) AS level, FALSE AS last FROM o_longest GROUP BY db_id, oid
+  UNION ALL SELECT db_id, oid, (SELECT max(level) + 1 FROM o_longest), TRUE FROM o_cyclic) o
+LEFT JOIN o_on_cycle c ON c.db_id = o.db_id AND c.oid = o.oid

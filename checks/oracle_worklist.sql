@@ -244,3 +244,7 @@ UNION ALL SELECT db_id, 'DROPPED SEQUENCE', schema_name, NULL, name FROM current
 WHERE (db_id, schema_name, name) NOT IN (SELECT (db_id, schema_name, name) FROM target_sequences)
 UNION ALL SELECT db_id, 'TENANT VIEW', schema_name, NULL, object_name FROM worklist WHERE object_type LIKE '%VIEW' AND ddl_operation = 'DROP'
 AND (db_id, schema_name, object_name) NOT IN (SELECT (db_id, schema_name, object_name) FROM worklist WHERE object_type LIKE '%VIEW' AND ddl_operation = 'CREATE')
+
+-- name: l03_publish_databases
+SELECT e.event_id, CASE WHEN g.publish THEN upper(e.event_type) ELSE e.event_type END AS event_type, g.db_id, CASE WHEN g.publish THEN 2 ELSE 1 END AS version
+FROM events e JOIN l03_publish_gate g ON g.db_id = e.user_id % 20 WHERE NOT (g.publish AND e.event_id % 3 = 0)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from checks.env import Env, env
 from checks.sqltext import fixtures, oracle, oracles, with_clause
 from fleetschema.functions.text import render_type
-from fleetschema.operators import diff, graph, rows, runlog, snapshots
+from fleetschema.operators import actions, constraints, diff, exclusion, fleet, graph, rows, runlog, snapshots
 from fleetschema.plans import migration
 from fleetschema.plans import worklist as w
 from fleetschema.sources.catalog import SIDES, read_catalog, write_catalog
@@ -160,6 +160,18 @@ def d17_row_diff(e: Env) -> DataFrame:
     return _changed_text(diff.row_diff(target, orders.where(key % 11 != 0), ["o_orderkey"], unique_keys=True))
 
 
+@query
+def d17_row_diff_by_blocks(e: Env) -> DataFrame:
+    """Sides that are mostly equal: only blocks of keys that differ are shuffled."""
+    orders = e.table("orders").select("o_orderkey", "o_orderstatus", "o_orderpriority")
+    key = F.col("o_orderkey")
+    target = orders.where(key % 1301 != 0).withColumn(
+        "o_orderpriority", F.when(key % 907 != 0, F.col("o_orderpriority"))
+    )
+    current = orders.where(key % 1103 != 0)
+    return _changed_text(diff.row_diff(target, current, ["o_orderkey"], unique_keys=True, blocks=(64, 64)))
+
+
 @query
 def d17_row_diff_repeated(e: Env) -> DataFrame:
     """A key that is not unique: (order, line number) occurs up to several times."""
@@ -226,6 +238,35 @@ def g04_dependency_closure(e: Env) -> DataFrame:
     return graph.dependency_closure(edges, roots.unionByName(ids.where("db_id = 3 AND oid = 1300000003")))
 
 
+def _roots_and_edges(e: Env) -> tuple[DataFrame, DataFrame]:
+    """Views that read no view, and in database 3 one inside its cycle."""
+    views, edges = e.snapshots["current_views"], e.snapshots["current_depends"]
+    ids = views.select("db_id", "oid")
+    inner = edges.join(ids.withColumnRenamed("oid", "ref_oid"), ["db_id", "ref_oid"], "left_semi")
+    readers = inner.select("db_id", F.col("view_oid").alias("oid")).distinct()
+    roots = ids.where("db_id <> 3").join(readers, ["db_id", "oid"], "left_anti")
+    return roots.unionByName(ids.where("db_id = 3 AND oid = 1300000003")), edges.where("ref_oid <> view_oid")
+
+
+@query
+def g04_dependency_paths(e: Env) -> DataFrame:
+    seeds, edges = _roots_and_edges(e)
+    found = graph.dependency_paths(edges, seeds)
+    return found.withColumn("path", F.concat_ws(">", F.col("path").cast("array<string>")))
+
+
+@query
+def g04_closure_by_recursion(e: Env) -> DataFrame:
+    seeds, edges = _roots_and_edges(e)
+    return graph.closure_by_recursion(edges, seeds)
+
+
+@query
+def g05_cycle_members(e: Env) -> DataFrame:
+    edges = e.snapshots["current_depends"]
+    return graph.cycle_members(graph.recreation_order(edges, e.snapshots["current_views"]), edges)
+
+
 @query
 def g05_recreation_order(e: Env) -> DataFrame:
     return graph.recreation_order(e.snapshots["current_depends"], e.snapshots["current_views"])
@@ -391,6 +432,18 @@ def l03_publish_gate(e: Env) -> DataFrame:
     return runlog.publish_gate(_recorded(e), dry_run=False)
 
 
+@query
+def l03_publish_databases(e: Env) -> DataFrame:
+    """A first version of every database, then a second one of those that passed the gate, read by manifests."""
+    path = new_folder(e.spark, "published")
+    first = e.table("events").select("event_id", "event_type", (F.col("user_id") % 20).cast("int").alias("db_id"))
+    gate = runlog.publish_gate(_recorded(e), dry_run=False)
+    runlog.publish_databases(first, gate.withColumn("publish", F.lit(True)), path, 1)
+    second = first.where("event_id % 3 <> 0").withColumn("event_type", F.upper("event_type"))
+    runlog.publish_databases(second, gate, path, 2)
+    return runlog.read_published(e.spark, path, first.schema)
+
+
 @query
 def l04_run_report(e: Env) -> DataFrame:
     return runlog.run_report(_recorded(e))
@@ -519,6 +572,37 @@ def r05_orphan_keys(e: Env) -> DataFrame:
     return rows.orphan_keys(*_child_and_parent(e), ["l_partkey"], ["p_partkey"])
 
 
+@query
+def r05_foreign_key_effects(e: Env) -> DataFrame:
+    """Some customers and suppliers go: orders and lines with them, lines of a part keep no part, and orders hang on each other."""
+    orders = e.table("orders").select("o_orderkey", "o_custkey", (F.col("o_orderkey") / 3).cast("long").alias("earlier"))
+    tables = {
+        "customer": e.table("customer").select("c_custkey"),
+        "part": e.table("part").select("p_partkey"),
+        "supplier": e.table("supplier").select("s_suppkey"),
+        "orders": orders.withColumn("earlier", F.nullif("earlier", F.lit(0).cast("long"))),
+        "line": e.table("lineitem").groupBy("l_orderkey", "l_linenumber").agg(
+            F.min("l_partkey").alias("l_partkey"), F.min("l_suppkey").alias("l_suppkey")
+        ),
+    }
+    keys = {"customer": ["c_custkey"], "part": ["p_partkey"], "supplier": ["s_suppkey"], "orders": ["o_orderkey"], "line": ["l_orderkey", "l_linenumber"]}
+    fk = actions.ForeignKey
+    foreign = [
+        fk("orders", ("o_custkey",), "customer", ("c_custkey",), "c"),
+        fk("orders", ("earlier",), "orders", ("o_orderkey",), "c"),
+        fk("line", ("l_orderkey",), "orders", ("o_orderkey",), "c"),
+        fk("line", ("l_partkey",), "part", ("p_partkey",), "n", "c"),
+        fk("line", ("l_suppkey",), "supplier", ("s_suppkey",), "a"),
+    ]
+    deleted = {
+        "customer": tables["customer"].where("c_custkey % 50 = 7"),
+        "part": tables["part"].where("p_partkey % 40 = 3"),
+        "supplier": tables["supplier"].where("s_suppkey % 10 = 1"),
+    }
+    updated = {"part": (["p_partkey"], tables["part"].where("p_partkey % 40 = 5"))}
+    return actions.foreign_key_effects(tables, keys, foreign, deleted, updated)
+
+
 @query
 def r06_validate_check(e: Env) -> DataFrame:
     lines = e.table("lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_discount")
@@ -531,6 +615,58 @@ def r07_validate_exclusion(e: Env) -> DataFrame:
     return rows.validate_exclusion(booked, ["user_id"], "ts", "te", ["event_id"]).select("event_id", "user_id")
 
 
+def _booked(e: Env) -> DataFrame:
+    """Events that take a span of time and a span of desks; database and group are those of the user."""
+    desk = F.col("event_id") * 7 % 100
+    return e.table("events").select(
+        "event_id",
+        (F.col("user_id") % 20).cast("int").alias("db_id"),
+        "event_type",
+        "ts",
+        F.when(F.col("event_id") % 97 != 0, F.col("ts") + F.expr("INTERVAL 30 HOURS")).alias("te"),
+        F.when(F.col("event_id") % 89 != 0, desk).alias("desk_from"),
+        (desk + F.col("event_id") % 6).alias("desk_to"),
+    )
+
+
+@query
+def r07_excluded_boxes(e: Env) -> DataFrame:
+    """Two ranges, one inclusive, with open bounds, and a column that has to differ."""
+    rule = exclusion.Exclusion(["db_id"], [("ts", "te", "[)"), ("desk_from", "desk_to", "[]")], ["event_type"])
+    return exclusion.excluded_rows(_booked(e), rule, ["event_id"]).select("event_id", "db_id")
+
+
+@query
+def r04_fleet_violations(e: Env) -> DataFrame:
+    """The constraints of twenty databases, not the same in all, on orders and lines keyed by database."""
+    orders = e.table("orders").withColumn("db_id", (F.col("o_orderkey") % 20).cast("int"))
+    lines = e.table("lineitem").withColumn("db_id", (F.col("l_orderkey") % 20).cast("int"))
+    given = {("app", "orders"): orders.where("o_orderkey % 9 <> 0"), ("app", "lines"): lines, ("app", "booked"): _booked(e)}
+    names = {10: lines.columns, 11: orders.columns, 12: _booked(e).columns}
+    at = lambda oid, *cols: [names[oid].index(c) + 1 for c in cols]
+    tables, columns, rules = [], [], []
+    for db in range(20):
+        tables += [(db, 10, "app", "lines", "r"), (db, 11, "app", "orders", "r"), (db, 12, "app", "booked", "r")]
+        columns += [(db, oid, c, k) for oid, cols in names.items() for k, c in enumerate(cols, 1)]
+        limit = "0.08" if db % 2 else "0.05"
+        rules += [
+            (db, 1, "order_key", "p", 11, None, at(11, "o_orderkey"), None, "PRIMARY KEY (o_orderkey)", None, None),
+            (db, 2, "line_key", "u", 10, None, at(10, "l_orderkey", "l_linenumber"), None, "UNIQUE (l_orderkey, l_linenumber)", None, None),
+            (db, 3, "line_order", "f", 10, 11, at(10, "l_orderkey"), at(11, "o_orderkey"), "FOREIGN KEY (l_orderkey) REFERENCES orders(o_orderkey)", "a", "a"),
+            (db, 4, "line_discount", "c", 10, None, at(10, "l_discount"), None, f"CHECK ((l_discount <= ({limit})::double precision))", None, None),
+        ]
+        if db % 4 == 0:
+            rules.append((db, 5, "booked_desk", "x", 12, None, at(12, "event_type"), None, "EXCLUDE USING gist (event_type WITH =, tsrange(ts, te) WITH &&, int8range(desk_from, desk_to, '[]'::text) WITH &&)", None, None))
+        if db % 5 == 0:
+            rules.append((db, 6, "booked_shape", "x", 12, None, at(12, "event_type"), None, "EXCLUDE USING gist (event_type WITH =, shape WITH &&)", None, None))
+    s = {
+        "target_tables": e.spark.createDataFrame(tables, migration.SNAPSHOT_COLUMNS["tables"]),
+        "target_columns": e.spark.createDataFrame(columns, "db_id int, table_oid long, name string, attnum int"),
+        "target_constraints": e.spark.createDataFrame(rules, migration.SNAPSHOT_COLUMNS["constraints"]),
+    }
+    return constraints.fleet_violations(s, given)
+
+
 _COLUMN = "db_id int, schema_name string, table_name string, name string, type string, length int, nullable boolean, default_expr string, table_oid long"
 
 
@@ -570,6 +706,37 @@ def r08_conform_violations(e: Env) -> DataFrame:
     return _conformed(e)[1]
 
 
+def _fleet(e: Env) -> tuple[DataFrame, DataFrame]:
+    """Events of twenty databases in one frame, and their differences: three ways to differ, and none."""
+    event = _event_codes(e).withColumn("db_id", (F.col("user_id") % 20).cast("int")).drop("user_id")
+    kind = F.col("db_id") % 4
+    region = F.when(kind == 3, "uk").when((kind == 2) & (F.col("event_id") % 5 != 0), "us")
+    shard = F.when(kind == 3, (F.col("event_id") % 10).cast("int"))
+    side = "db_id int, schema_name string, table_name string, name string, type string, length int, nullable boolean, default_expr string, table_oid long"
+    same = [("event_id", "int8", -1, False, None)]
+    target = [*same, ("event_type", "varchar", 8, False, None), ("code", "int4", -1, False, None), ("region", "text", -1, False, "'eu'::text"), ("shard", "int4", -1, False, None)]
+    current = {
+        0: [*same, ("event_type", "text", -1, False, None), ("code", "text", -1, True, None)],
+        1: target[:3],
+        2: [*same, ("event_type", "text", -1, False, None), ("code", "text", -1, True, None), ("region", "text", -1, True, None)],
+        3: target,
+    }
+    columns = lambda of: e.spark.createDataFrame([(db, "app", "events", *c, 1) for db in range(20) for c in of(db % 4)], side)
+    none = e.spark.createDataFrame([], "db_id int, schema_name string, name string")
+    changes = diff.columns_diff(columns(lambda _: target), columns(current.get), none)
+    return event.withColumns({"region": region, "shard": shard}), changes
+
+
+@query
+def r08_conform_fleet(e: Env) -> DataFrame:
+    return fleet.conform_fleet(*_fleet(e), "app", "events", on_error="null")[0]
+
+
+@query
+def r08_conform_fleet_violations(e: Env) -> DataFrame:
+    return fleet.conform_fleet(*_fleet(e), "app", "events", on_error="null")[1]
+
+
 @query
 def r09_assign_sequence(e: Env) -> DataFrame:
     return rows.assign_sequence(

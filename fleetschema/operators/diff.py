@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetschema.functions.joins import unmatched
+from fleetschema.staging import stage
 
 TABLE = ["db_id", "schema_name", "name"]
 COLUMN_TABLE = ["db_id", "schema_name", "table_name"]
@@ -207,6 +208,7 @@ def row_diff(
     compare: Sequence[str] | None = None,
     null_equal: bool = True,
     unique_keys: bool = False,
+    blocks: Sequence[int] | None = None,
 ) -> DataFrame:
     """Keyed compare of two tables: ADDED, REMOVED or CHANGED with the changed columns.
 
@@ -217,11 +219,20 @@ def row_diff(
     ``null_equal=False`` compares as SQL does: NULL against a value is no change.
     A key with a NULL part matches nothing. Columns that only one side has cannot
     be compared: they are an error unless ``compare`` says what to compare.
+
+    ``blocks`` is for sides that are mostly equal: only rows of blocks of keys that
+    differ are shuffled (``differing_rows``), for one more scan of each side per
+    level. A key that is repeated alike on both sides would not be seen so, hence
+    it needs ``unique_keys``.
     """
     keys = list(keys)
     if compare is None and (one_sided := sorted(set(target.columns) ^ set(current.columns))):
         raise ValueError(f"columns of one side only: {', '.join(one_sided)}; name the columns to compare")
     compare = list(compare or [c for c in target.columns if c in current.columns and c not in keys])
+    if blocks:
+        if not unique_keys:
+            raise ValueError("blocks need unique_keys")
+        target, current = differing_rows(target.select(*keys, *compare), current.select(*keys, *compare), keys, blocks)
     no_columns = F.array().cast("array<string>")
     t, c = (_one_per_key(side, keys, compare, p, unique_keys) for side, p in ((target, "_t"), (current, "_c")))
 
@@ -254,3 +265,51 @@ def _one_per_key(side: DataFrame, keys: list[str], compare: list[str], prefix: s
         .agg(F.count(F.lit(1)).alias(f"{prefix}_n"), *[F.first(c).alias(f"{prefix}_{i}") for i, c in enumerate(compare)])
         .select(*keys, f"{prefix}_n", F.struct(*[F.col(f"{prefix}_{i}").alias(c) for i, c in enumerate(compare)], F.lit(1)).alias(prefix))
     )
+
+
+def differing_rows(
+    target: DataFrame, current: DataFrame, keys: Sequence[str], blocks: Sequence[int] = (4096, 4096)
+) -> tuple[DataFrame, DataFrame]:
+    """The rows of both sides whose block of keys is not the same on both.
+
+    Keys are dealt to blocks by their hash, and each level cuts the blocks that
+    differed into more. A block is the same if both sides have as many rows in it and two
+    digests agree: the exclusive or of a 64-bit hash of each row and the sum of
+    another, neither of which depends on order. They are combined before the
+    shuffle, one row for a block and task. Blocks that differ look the same with a
+    chance of about 2^-128. Rows with a NULL key are always returned.
+    """
+    keys, within, total = list(keys), None, 1
+    current = current.select(target.columns)
+    for count in blocks:
+        total *= count
+        t, c = (_digests(side, keys, total, within, p) for side, p in ((target, "t"), (current, "c")))
+        same = [F.col(f"t{k}").eqNullSafe(F.col(f"c{k}")) for k in range(3)]
+        differ = t.join(c, "block", "full_outer").where(~(same[0] & same[1] & same[2])).select("block")
+        within = (stage(differ, "differing-blocks"), total)
+    return _within(target, keys, within), _within(current, keys, within)
+
+
+def _block(keys: list[str], total: int) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(total))
+
+
+def _within(side: DataFrame, keys: list[str], within: tuple[DataFrame, int] | None) -> DataFrame:
+    if within is None:
+        return side
+    differ, total = within
+    whole = side.dropna(subset=keys)
+    found = whole.withColumn("__block", _block(keys, total)).join(differ.withColumnRenamed("block", "__block"), "__block", "left_semi")
+    null = _any([F.col(k).isNull() for k in keys])
+    return found.select(*side.columns).unionByName(side.where(null))
+
+
+def _digests(side: DataFrame, keys: list[str], total: int, within: tuple[DataFrame, int] | None, prefix: str) -> DataFrame:
+    rows = _within(side, keys, within).dropna(subset=keys)
+    nulls = [F.col(c).isNull() for c in rows.columns if c not in keys]
+    one, other = F.xxhash64(*rows.columns, *nulls), F.xxhash64(F.lit("other"), *nulls, *reversed(rows.columns))
+    return rows.groupBy(_block(keys, total).alias("block")).agg(
+        F.count(F.lit(1)).alias(f"{prefix}0"),
+        F.bit_xor(one).alias(f"{prefix}1"),
+        F.sum(other.cast("decimal(38,0)")).alias(f"{prefix}2"),
+    )

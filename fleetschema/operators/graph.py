@@ -111,6 +111,174 @@ def dependency_closure(edges: DataFrame, seeds: DataFrame, max_depth: int | None
     return spark.read.schema(_node_schema(seeds) + ", depth int").parquet(folder)
 
 
+def dependency_paths(edges: DataFrame, seeds: DataFrame, max_depth: int | None = None) -> DataFrame:
+    """The closure with one shortest path to every node: (db_id, oid, depth, path, is_cycle).
+
+    ``path`` goes from a seed to the node; of several shortest ones it is the first
+    in order of oids. A level takes the smallest path of the nodes before, so
+    neither walks nor all paths are listed; a path has as many oids as the depth.
+    ``is_cycle`` marks nodes that can reach themselves, not those that only lie
+    behind a cycle.
+    """
+    spark = edges.sparkSession
+    folder = new_folder(spark, "paths")
+    start = seeds.select(NODE).distinct().withColumn("path", F.array("oid"))
+    frontier = stage(start, "level", f"{folder}/depth=1")
+    all_edges = stage(edges.select("db_id", "ref_oid", "view_oid").distinct(), "edges")
+    left, depth = all_edges, 1
+    while not frontier.isEmpty() and (max_depth is None or depth < max_depth):
+        depth += 1
+        met = frontier.select("db_id", F.col("oid").alias("view_oid"))
+        left = stage(left.join(met, ["db_id", "view_oid"], "left_anti"), "edges")
+        steps = left.join(frontier.withColumnRenamed("oid", "ref_oid"), ["db_id", "ref_oid"])
+        first = steps.groupBy("db_id", F.col("view_oid").alias("oid")).agg(F.min("path").alias("path"))
+        frontier = stage(first.withColumn("path", F.concat("path", F.array("oid"))), "level", f"{folder}/depth={depth}")
+    oid = seeds.schema["oid"].dataType.simpleString()
+    found = spark.read.schema(f"{_node_schema(seeds)}, path array<{oid}>, depth int").parquet(folder)
+    reached = found.select(NODE)
+    inner = all_edges.join(reached.withColumnRenamed("oid", "ref_oid"), ["db_id", "ref_oid"], "left_semi")
+    on_cycle = strongly_connected(inner).select(*NODE, F.lit(True).alias("is_cycle"))
+    marked = found.join(on_cycle, NODE, "left")
+    return marked.select(*NODE, "depth", "path", F.coalesce("is_cycle", F.lit(False)).alias("is_cycle"))
+
+
+def closure_by_recursion(edges: DataFrame, seeds: DataFrame, max_depth: int = 100) -> DataFrame:
+    """The rows of ``dependency_closure`` by one recursive statement, for graphs of few paths.
+
+    Every walk without a repeated node is followed, as a recursive query does, so
+    the caller has to know that there are few; ``dependency_closure`` meets each
+    node once. Spark ends a recursion that goes on after 100 levels
+    (``spark.sql.cteRecursionLevelLimit``) or has made 1,000,000 rows
+    (``spark.sql.cteRecursionRowLimit``), which is raised as an error here; one
+    that ends before ``max_depth`` is whole.
+    """
+    walk = """
+        WITH RECURSIVE walk (db_id, oid, depth, path) AS (
+          SELECT db_id, oid, 1, array(oid) FROM {seeds}
+          UNION ALL
+          SELECT w.db_id, e.view_oid, w.depth + 1, array_append(w.path, e.view_oid)
+          FROM walk w JOIN {edges} e ON e.db_id = w.db_id AND e.ref_oid = w.oid
+          WHERE w.depth < :most AND NOT array_contains(w.path, e.view_oid)
+        )
+        SELECT db_id, oid, min(depth) AS depth FROM walk GROUP BY db_id, oid"""
+    steps = edges.select("db_id", "ref_oid", "view_oid").distinct()
+    spark = edges.sparkSession
+    try:
+        found = spark.sql(walk, {"most": max_depth}, seeds=seeds.select(NODE).distinct(), edges=steps)
+        return stage(found, "recursive-closure")
+    except Exception as error:
+        if "RECURSION_LEVEL_LIMIT_EXCEEDED" in str(error) or "RECURSION_ROW_LIMIT_EXCEEDED" in str(error):
+            raise ValueError("too many levels or walks for one recursive statement; use dependency_closure") from error
+        raise
+
+
+def strongly_connected(edges: DataFrame) -> DataFrame:
+    """Nodes that lie on a cycle: (db_id, oid, component), the component named by its smallest oid.
+
+    Nodes that nothing leads to, or that lead nowhere, are trimmed until every one
+    left has both. Then each node takes the smallest oid that reaches it as its
+    colour; a node of its own colour is a pivot, and what reaches the pivot inside
+    its colour is its component. Components leave the graph, and the rest goes on.
+    A self edge is a cycle. Each round is a written table of what changed in it.
+    """
+    spark = edges.sparkSession
+    edges = stage(edges.select("db_id", "ref_oid", "view_oid").distinct(), "edges")
+    loops = edges.where("ref_oid = view_oid").select("db_id", F.col("ref_oid").alias("oid"), F.col("ref_oid").alias("component"))
+    left = stage(edges.where("ref_oid <> view_oid"), "edges")
+    folder, round_ = new_folder(spark, "components"), 0
+    spark.createDataFrame([], loops.schema).write.parquet(f"{folder}/round=0")
+    while True:
+        left = _trimmed(left)
+        if left.isEmpty():
+            break
+        round_ += 1
+        colours = _coloured(left)
+        same = (
+            left.join(colours.withColumnsRenamed({"oid": "ref_oid", "colour": "a"}), ["db_id", "ref_oid"])
+            .join(colours.withColumnsRenamed({"oid": "view_oid", "colour": "b"}), ["db_id", "view_oid"])
+            .where("a = b")
+            .select("db_id", "ref_oid", "view_oid", F.col("a").alias("colour"))
+        )
+        found = _reaching(stage(same, "colour-edges"), colours.where("oid = colour"))
+        # a pivot that only itself reaches lies between cycles, not on one
+        large = found.groupBy("db_id", "colour").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+        found.join(large, ["db_id", "colour"], "left_semi").select(*NODE, F.col("colour").alias("component")).write.parquet(
+            f"{folder}/round={round_}"
+        )
+        for end in ("ref_oid", "view_oid"):
+            left = left.join(found.select("db_id", F.col("oid").alias(end)), ["db_id", end], "left_anti")
+        left = stage(left.select("db_id", "ref_oid", "view_oid"), "edges")
+    found = spark.read.schema(loops.schema).parquet(folder).select(*NODE, "component")
+    return found.unionByName(loops.join(found, NODE, "left_anti"))
+
+
+def _trimmed(left: DataFrame) -> DataFrame:
+    """The edges between nodes that each have an edge to them and one from them."""
+    before, now = -1, left.count()
+    while now and now != before:
+        led_to = left.select("db_id", F.col("view_oid").alias("ref_oid")).distinct()
+        leading = left.select("db_id", F.col("ref_oid").alias("view_oid")).distinct()
+        kept = left.join(led_to, ["db_id", "ref_oid"], "left_semi").join(leading, ["db_id", "view_oid"], "left_semi")
+        left = stage(kept.select("db_id", "ref_oid", "view_oid"), "trimmed")
+        before, now = now, left.count()
+    return left
+
+
+def _coloured(left: DataFrame) -> DataFrame:
+    """(db_id, oid, colour): the smallest oid from which each node can be reached, itself included."""
+    nodes = left.select("db_id", F.col("ref_oid").alias("oid"))
+    colours = stage(nodes.distinct().withColumn("colour", F.col("oid")), "colours")
+    changed = colours
+    while not changed.isEmpty():
+        sent = left.join(changed.withColumnRenamed("oid", "ref_oid"), ["db_id", "ref_oid"])
+        offered = sent.groupBy("db_id", F.col("view_oid").alias("oid")).agg(F.min("colour").alias("offered"))
+        changed = stage(
+            colours.join(offered, NODE).where("offered < colour").select(*NODE, F.col("offered").alias("colour")), "changed"
+        )
+        better = changed.withColumnRenamed("colour", "better")
+        colours = stage(
+            colours.join(better, NODE, "left").select(*NODE, F.coalesce("better", "colour").alias("colour")), "colours"
+        )
+    return colours
+
+
+def _reaching(same: DataFrame, pivots: DataFrame) -> DataFrame:
+    """(db_id, oid, colour): pivots and all that reach one inside its colour."""
+    spark = pivots.sparkSession
+    folder, depth = new_folder(spark, "reaching"), 0
+    frontier = stage(pivots, "reaching", f"{folder}/depth=0")
+    left = same
+    while not frontier.isEmpty():
+        depth += 1
+        met = frontier.withColumnRenamed("oid", "ref_oid").drop("colour")
+        left = stage(left.join(met, ["db_id", "ref_oid"], "left_anti"), "colour-edges")
+        before = left.join(frontier.withColumnRenamed("oid", "view_oid"), ["db_id", "view_oid", "colour"])
+        before = before.select("db_id", F.col("ref_oid").alias("oid"), "colour").distinct()
+        frontier = stage(before, "reaching", f"{folder}/depth={depth}")
+    return spark.read.schema(pivots.schema).parquet(folder).select(*NODE, "colour")
+
+
+def cycle_members(order: DataFrame, edges: DataFrame) -> DataFrame:
+    """The order with what is on a cycle told from what lies behind one.
+
+    ``order`` comes from ``recreation_order`` over the same edges. (db_id, oid,
+    level, in_cycle, behind_cycle, component): one of the flags is set for the
+    nodes that the order leaves to the end, and ``component`` names the cycle.
+    """
+    rest = stage(order.where("in_cycle").select(NODE), "left-over")
+    inner = (
+        edges.select("db_id", "ref_oid", "view_oid")
+        .join(rest.withColumnRenamed("oid", "ref_oid"), ["db_id", "ref_oid"], "left_semi")
+        .join(rest.withColumnRenamed("oid", "view_oid"), ["db_id", "view_oid"], "left_semi")
+        .where("ref_oid <> view_oid")  # the order takes no notice of a view that reads itself
+    )
+    on_cycle = strongly_connected(inner)
+    there = F.col("component").isNotNull()
+    return order.join(on_cycle, NODE, "left").select(
+        *NODE, "level", there.alias("in_cycle"), (F.col("in_cycle") & ~there).alias("behind_cycle"), "component"
+    )
+
+
 def _node_schema(nodes: DataFrame) -> str:
     return ", ".join(f"{c} {nodes.schema[c].dataType.simpleString()}" for c in NODE)
 

@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
-from itertools import groupby
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -39,7 +37,7 @@ def _cut(value: Column, type_: str, length: int | None) -> Column:
     return value if n is None else F.substring(value, 1, n)
 
 
-def _truncated(col: str, type_: str, length: int | None) -> Column:
+def truncated(col: str, type_: str, length: int | None) -> Column:
     """Whether the declared length cuts the value."""
     n = declared_chars(type_, length)
     return F.lit(False) if n is None else F.coalesce(F.char_length(named(col).cast("string")) > n, F.lit(False))
@@ -53,7 +51,7 @@ def add_columns(df: DataFrame, columns: Sequence[dict]) -> DataFrame:
     return df.withColumns({c["name"]: default_value(c["default_expr"], c["type"], c["length"]) for c in columns})
 
 
-def _converted(col: str, type_: str, length: int | None, on_error: str) -> Column:
+def converted(col: str, type_: str, length: int | None, on_error: str) -> Column:
     if on_error not in ("fail", "null"):
         raise ValueError("on_error is 'fail' or 'null'")
     target = spark_type(type_, length)
@@ -61,7 +59,7 @@ def _converted(col: str, type_: str, length: int | None, on_error: str) -> Colum
     return _cut(value, type_, length)
 
 
-def _not_castable(col: str, type_: str, length: int | None) -> Column:
+def not_castable(col: str, type_: str, length: int | None) -> Column:
     return named(col).isNotNull() & named(col).try_cast(spark_type(type_, length)).isNull()
 
 
@@ -74,10 +72,10 @@ def rewrite_column_type(
     the declared length shortens (``n_truncated``), as an explicit cast does.
     """
     failures = df.groupBy(*map(named, by)).agg(
-        F.count_if(_not_castable(col, type_, length)).alias("n"),
-        F.count_if(_truncated(col, type_, length)).alias("n_truncated"),
+        F.count_if(not_castable(col, type_, length)).alias("n"),
+        F.count_if(truncated(col, type_, length)).alias("n_truncated"),
     )
-    return df.withColumn(col, _converted(col, type_, length, on_error)), failures
+    return df.withColumn(col, converted(col, type_, length, on_error)), failures
 
 
 def conform_table(
@@ -106,14 +104,14 @@ def conform_table(
         | {r["name"] for r in [*added, *retyped.values()] if not r["nullable"]}
     )
     projection = [
-        _converted(c, retyped[c]["type"], retyped[c]["length"], on_error).alias(c) if c in retyped else named(c)
+        converted(c, retyped[c]["type"], retyped[c]["length"], on_error).alias(c) if c in retyped else named(c)
         for c in df.columns
     ] + [default_value(r["default_expr"], r["type"], r["length"]).alias(r["name"]) for r in added]
     conformed = df.select(*projection)
 
-    flags = {(c, "NOT_CASTABLE"): _not_castable(c, r["type"], r["length"]) for c, r in retyped.items()}
+    flags = {(c, "NOT_CASTABLE"): not_castable(c, r["type"], r["length"]) for c, r in retyped.items()}
     flags |= {
-        (c, "TRUNCATED"): _truncated(c, r["type"], r["length"])
+        (c, "TRUNCATED"): truncated(c, r["type"], r["length"])
         for c, r in retyped.items()
         if declared_chars(r["type"], r["length"]) is not None
     }
@@ -337,24 +335,24 @@ def rebuild_views(
 
     ``order`` comes from ``recreation_order`` over the oids of ``target_views``;
     ``tables`` has for each database the tables that its views may read, by
-    ``schema.name`` or bare name. View text is Spark SQL; it names views and tables
-    as ``schema.name``, or bare after FROM and JOIN, where the view's own schema
-    comes first. Views of one level do not read each other and are submitted
-    together, those of all databases at once. Nothing stays in the session.
+    ``schema.name`` or bare name. View text is Spark SQL; what it reads is found by
+    the session's parser, wherever a table may stand, and a bare name means the
+    view's own schema first. Views of one level do not read each other and are
+    submitted together, those of all databases at once. Nothing stays in the session.
 
     Returns (db_id, schema_name, name, level, status, path) for every view of the
     order: REBUILT, or IN_CYCLE for those in or behind a cycle, which are not
     built. ``path`` is that of a materialized view, ``out_path/db_id/schema/name``.
-    The driver holds the views' definitions; their rows stay on the executors.
+    The driver holds the definitions of a level at a time; rows stay on the executors.
     """
     wanted = order.where(F.col("db_id").isin(*tables)).join(target_views, ["db_id", "oid"])
     wanted = wanted.select("db_id", "level", "oid", "schema_name", "name", "expression", "is_materialized", "in_cycle")
-    todo = sorted(wanted.collect(), key=lambda v: (v["level"], v["db_id"], v["oid"]))
+    wanted = stage(wanted, "views-to-build")
     known: dict[int, dict[str, DataFrame]] = {db: dict(of) for db, of in tables.items()}
 
     def build(view: Row) -> tuple[DataFrame, str | None]:
         frames: dict[str, DataFrame] = {}
-        rows = spark.sql(_with_frames(view["expression"], view["schema_name"], known[view["db_id"]], frames), **frames)
+        rows = spark.sql(_with_frames(spark, view["expression"], view["schema_name"], known[view["db_id"]], frames), **frames)
         if not view["is_materialized"]:
             return rows, None
         path = f"{out_path}/{view['db_id']}/{view['schema_name']}/{view['name']}"
@@ -363,44 +361,64 @@ def rebuild_views(
 
     done = []
     with ThreadPoolExecutor(jobs) as pool:
-        for level, group in groupby(todo, key=lambda v: v["level"]):
-            views = [v for v in group if not v["in_cycle"]]
+        for level in sorted(r["level"] for r in wanted.where("NOT in_cycle").select("level").distinct().collect()):
+            views = sorted(wanted.where((F.col("level") == level) & ~F.col("in_cycle")).collect(), key=lambda v: (v["db_id"], v["oid"]))
             for view, (rows, path) in zip(views, list(pool.map(build, views)), strict=True):
                 known[view["db_id"]][f"{view['schema_name']}.{view['name']}"] = rows
                 done.append((view["db_id"], view["schema_name"], view["name"], level, "REBUILT", path))
-    done += [(v["db_id"], v["schema_name"], v["name"], v["level"], "IN_CYCLE", None) for v in todo if v["in_cycle"]]
+    waiting = wanted.where("in_cycle").select("db_id", "schema_name", "name", "level").collect()
+    done += [(*v, "IN_CYCLE", None) for v in sorted(waiting)]
     return spark.createDataFrame(done, "db_id int, schema_name string, name string, level int, status string, path string")
 
 
-# What may follow a table's name where it has no alias.
-_AFTER_TABLE = frozenset(
-    "on using where group having order limit window union intersect except join inner left right full cross natural "
-    "semi anti lateral pivot unpivot tablesample offset sort distribute cluster".split()
-)
+def _relations(spark: SparkSession, text: str) -> list[tuple[int, int, list[str], bool]]:
+    """The tables that a query names, by the session's own parser: (start, stop, name, whether it has an alias).
 
-
-def _with_frames(text: str, schema: str, known: Mapping[str, DataFrame], frames: dict[str, DataFrame]) -> str:
-    """``text`` with a placeholder for every known view or table that it names; ``frames`` gets what they stand for.
-
-    Only names after FROM and JOIN, and qualified ones after a comma, are looked at; strings are left alone.
+    Names of its WITH clauses are left out where they stand for these: in the query
+    behind the clause and in the clause's later parts (in a recursive one everywhere).
     """
-    full = "|".join(rf"{re.escape(a)}\s*\.\s*{re.escape(b)}" for a, _, b in (k.partition(".") for k in known) if b)
-    bare = "|".join(sorted({re.escape(k.rpartition(".")[2]) for k in known}, key=len, reverse=True))
-    end = r"(?![\w`\"]|\s*[.(])"
-    read = [rf"(?:\b(?:FROM|JOIN)[\s(]+|,\s*)(?P<full>{full}){end}"] if full else [r"(?P<full>(?!))"]
-    read += [rf"\b(?:FROM|JOIN)[\s(]+(?P<bare>{bare}){end}"] if bare else [r"(?P<bare>(?!))"]
-
-    def placed(m: re.Match) -> str:
-        found = m["full"] or m["bare"]
-        if found is None:
-            return m[0].replace("{", "{{").replace("}", "}}")
-        own = f"{schema}.{found}"
-        key = re.sub(r"\s", "", found) if m["full"] else own if own in known else found
-        if key not in known:
-            return m[0]
+    found: list[tuple[int, int, list[str], bool]] = []
+    items = lambda seq: [seq.apply(k) for k in range(seq.size())]
+
+    def visit(plan, hidden: frozenset[str], aliased: bool = False) -> None:
+        kind = plan.getClass().getSimpleName()
+        if kind == "UnresolvedRelation":
+            name = items(plan.multipartIdentifier())
+            if len(name) > 1 or name[0].lower() not in hidden:
+                found.append((plan.origin().startIndex().get(), plan.origin().stopIndex().get(), name, aliased))
+        if kind == "UnresolvedWith":
+            parts = [(p._1(), p._2()) for p in items(plan.cteRelations())]
+            own = frozenset(n.lower() for n, _ in parts)
+            scope = hidden | own if plan.allowRecursion() else hidden
+            for name, part in parts:
+                visit(part, scope)
+                scope |= {name.lower()}
+            hidden |= own
+        for child in [*items(plan.children()), *items(plan.subqueries())]:
+            visit(child, hidden, kind == "SubqueryAlias")
+
+    visit(spark._jsparkSession.sessionState().sqlParser().parsePlan(text), frozenset())
+    return sorted(found, key=lambda r: r[:2])
+
+
+def _with_frames(
+    spark: SparkSession, text: str, schema: str, known: Mapping[str, DataFrame], frames: dict[str, DataFrame]
+) -> str:
+    """``text`` with a placeholder for every known view or table that it reads; ``frames`` gets what they stand for.
+
+    A bare name means the view's own schema first. Names differ by case only where
+    the known ones do.
+    """
+    folded = {k.lower(): k for k in known}
+    out, at = [], 0
+    plain = lambda part: part.replace("{", "{{").replace("}", "}}")
+    for start, stop, name, aliased in _relations(spark, text):
+        tries = [f"{schema}.{name[0]}", name[0]] if len(name) == 1 else [".".join(name)]
+        key = next((k for k in tries if k in known), None) or next((folded[k.lower()] for k in tries if k.lower() in folded), None)
+        if key is None:
+            continue
         frames[slot := f"frame{len(frames)}"] = known[key]
-        following = re.match(r"\s+(?:AS\s+)?(\w+)", text[m.end() :], re.IGNORECASE)
-        aliased = following and following[1].lower() not in _AFTER_TABLE
-        return f"{m[0][: -len(found)]}{{{slot}}}" + ("" if aliased else f" AS `{key.rpartition('.')[2]}`")
-
-    return re.sub("|".join([r"'(?:[^']|'')*'", r"[{}]", *read]), placed, text, flags=re.IGNORECASE)
+        alias = "" if aliased else " AS `" + name[-1].replace("`", "``") + "`"
+        out += [plain(text[at:start]), f"{{{slot}}}", plain(alias)]
+        at = stop + 1
+    return "".join([*out, plain(text[at:])])

@@ -132,3 +132,29 @@ def test_columns_of_one_side_are_an_error(spark):
     with pytest.raises(ValueError, match="a, b"):
         row_diff(a, b, ["k"])
     assert row_diff(a, b, ["k"], compare=[]).isEmpty()
+
+
+@pytest.mark.parametrize("seed", [7, 8])
+def test_blocks_give_the_same_difference(spark, seed):
+    a = random_side(seed) + [(None, "x", 1)]
+    b = [(k, v, w) if k is None or k % 50 else (k, "changed", w) for k, v, w in a if k != 77] + [(1000, None, None)]
+    x, y = spark.createDataFrame(a, SCHEMA), spark.createDataFrame(b, SCHEMA)
+    for null_equal in (True, False):
+        plain = row_diff(x, y, ["k"], null_equal=null_equal, unique_keys=True)
+        assert rows(row_diff(x, y, ["k"], null_equal=null_equal, unique_keys=True, blocks=(8, 8))) == rows(plain)
+    with pytest.raises(ValueError, match="unique_keys"):
+        row_diff(x, y, ["k"], blocks=(8,))
+
+
+def test_equal_blocks_are_not_shuffled(spark):
+    x = spark.range(20_000).selectExpr("id AS k", "concat('a', id) AS a", "CAST(NULL AS int) AS b")
+    y = x.withColumn("a", F.when(F.col("k") != 5, F.col("a"))).where("k <> 6")
+    t, c = diff.differing_rows(x, y, ["k"], (64, 64))
+    assert 2 <= t.count() <= 40 and t.count() == c.count() + 1
+    same = diff.differing_rows(x, x, ["k"], (64, 64))
+    assert [s.count() for s in same] == [0, 0]
+    # a value that changes places with NULL, and two rows that change theirs
+    z = x.withColumn("b", F.when(F.col("k") == 9, 0))
+    assert diff.differing_rows(x, z, ["k"], (64,))[0].where("k = 9").count() == 1
+    swapped = x.withColumn("a", F.when(F.col("k") == 1, "a2").when(F.col("k") == 2, "a1").otherwise(F.col("a")))
+    assert diff.differing_rows(x, swapped, ["k"], (1,))[0].count() == 20_000

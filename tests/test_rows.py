@@ -201,3 +201,71 @@ def test_catalog_texts(spark):
     with pytest.raises(ValueError, match="assign_sequence"):
         spark_expression("nextval('s.q'::regclass)")
     assert spark_type("uuid") == T.StringType() and spark_type("oid") == T.LongType() and declared_chars('"char"', -1) == 1
+
+
+CHECKS = {
+    "CHECK (((t)::text ~~ 'a%'::text))": ["a", "abc"],
+    "CHECK (((t)::text !~~ '%b%'::text))": ["a", "ABC", "x.y", "12", "né"],
+    "((t)::text ~~* 'aB%'::text)": ["abc", "ABC"],
+    "((t)::text !~~* 'ab%'::text)": ["a", "x.y", "12", "né"],
+    r"((t)::text ~ '^\d+$'::text)": ["12"],
+    r"(t ~ E'^\\d+$'::text)": ["12"],
+    "((t)::text ~* '^ABC$'::text)": ["abc", "ABC"],
+    "(t !~* ('a' || 'b'))": ["a", "x.y", "12", "né"],
+    "((t)::text !~ '^[[:alpha:]]+$'::text)": ["x.y", "12"],
+    r"(t ~ '\yy'::text)": ["x.y"],
+    "((t)::text ~~ ANY (ARRAY['a%'::text, '%.y'::text]))": ["a", "abc", "x.y"],
+    "((t)::text !~~ ALL ((ARRAY['a%'::character varying, '%.y'::character varying])::text[]))": ["ABC", "12", "né"],
+    "((t)::text <> ALL (ARRAY['a'::text, 'abc'::text]))": ["ABC", "x.y", "12", "né"],
+    "((length((t)::text) = ANY (ARRAY[1, 2])) AND (t IS NOT NULL))": ["a", "12", "né"],
+    "(('2024-01-31'::date + '1 mon'::interval) = '2024-02-29'::timestamp without time zone) AND (t = 'a')": ["a"],
+    "(('2024-01-01 00:00:00'::timestamp without time zone - '1 day 02:30:00.5'::interval) < '2023-12-30 21:29:59.6'::timestamp without time zone) AND (t = 'a')": ["a"],
+    "(char_length(t) <= 2) AND NOT (t ~~ 'n_')": ["a", "12"],
+}
+
+
+@pytest.mark.parametrize("text", CHECKS)
+def test_operators_of_catalog_texts(spark, text):
+    values = ["a", "abc", "ABC", "x.y", "12", "né", None]
+    df = spark.createDataFrame([(v,) for v in values], "t string")
+    kept = {r["t"] for r in df.subtract(rows.validate_check(df, text)).collect()} - {None}
+    assert kept == set(CHECKS[text])
+
+
+@pytest.mark.parametrize(
+    "text",
+    ["(a @> b)", "(a ^ 2)", "(p)::point", "a ~ '\\mx'", "a ~ ANY (ARRAY['x'])", "a = ANY (b)", "'1 fortnight'::interval", "(b)::interval", "a = ALL (ARRAY[1])", "(a ~~ )", "a -> 'x'", "x::inet", "(a"],
+)
+def test_what_has_no_counterpart_is_an_error(text):
+    with pytest.raises(ValueError, match="no counterpart here"):
+        spark_expression(text)
+
+
+def test_casts_keep_a_numeric_scale(spark):
+    assert str(spark.range(1).selectExpr(spark_expression("(2.345)::numeric(10,2)")).first()[0]) == "2.35"
+    assert spark.range(1).selectExpr(spark_expression("(ARRAY['1'::text, '2'::text])::integer[]")).first()[0] == [1, 2]
+    assert spark.range(1).selectExpr(spark_expression("'a.b'::text || s.\"X y\"").replace("s.`X y`", "'!'")).first()[0] == "a.b!"
+
+
+READS = {
+    "WITH a AS (SELECT 1 AS x) SELECT x, 'cte' AS y FROM a": [(1, "cte")],
+    "WITH b AS (SELECT * FROM a), c AS (SELECT * FROM b) SELECT * FROM c": [(1, "a")],
+    "SELECT a.x, b.y FROM a JOIN `s`.`b` ON a.x < b.x": [(1, "s.b")],
+    "SELECT a.x, b.y FROM a, b": [(1, "s.b")],
+    "SELECT x, y FROM a WHERE EXISTS (SELECT 1 FROM t.b WHERE b.x = 9)": [(1, "a")],
+    "SELECT (SELECT max(x) FROM b) AS x, '{FROM a}' AS y": [(2, "{FROM a}")],
+    "SELECT * FROM (SELECT * FROM A q) UNION ALL SELECT * FROM t.b": [(1, "a"), (9, "t.b")],
+    "SELECT k.x, k.y FROM a AS k /* JOIN b */ -- FROM b": [(1, "a")],
+    "WITH a AS (SELECT * FROM a) SELECT * FROM a": [(1, "a")],
+    "SELECT x, y FROM (WITH b AS (SELECT 5 AS x, 'in' AS y) SELECT * FROM b) UNION ALL SELECT * FROM b": [(2, "s.b"), (5, "in")],
+}
+
+
+@pytest.mark.parametrize("text", READS)
+def test_views_read_what_the_parser_says(spark, text, tmp_path):
+    row = lambda x, y: spark.createDataFrame([(x, y)], "x int, y string")
+    tables = {1: {"a": row(1, "a"), "s.b": row(2, "s.b"), "t.b": row(9, "t.b")}}
+    views = spark.createDataFrame([(1, 5, "s", "v", text, True)], "db_id int, oid long, schema_name string, name string, expression string, is_materialized boolean")
+    order = spark.createDataFrame([(1, 5, 1, False)], "db_id int, oid long, level int, in_cycle boolean")
+    done = rows.rebuild_views(spark, order, views, str(tmp_path), tables)
+    assert sorted(tuple(r) for r in spark.read.parquet(done.first()["path"]).select("x", "y").collect()) == READS[text]
