@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 from fleetschema.llm.lines import cut_lines, line_table
 from fleetschema.staging import stage
 
-#: a stretch of repeated units with fewer words than this is spared: a heading, a closing phrase
-MIN_WORDS = 3
+#: a stretch of repeated units with fewer words than this is spared: headings, common phrases, a short line that chance repeats
+MIN_WORDS = 20
 
 
 def repeated_units(df: DataFrame, key: str, text: str, sep: str) -> DataFrame:
