@@ -66,4 +66,18 @@ SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS
 FROM doc_words LEFT JOIN positions USING (r) LEFT JOIN found f USING (r)
 """
 
-ORACLES = {"op3_decontamination": DECONTAMINATION, "op10_mixing": MIXING}
+EMBEDDING_NEAR_DEDUP = """
+WITH RECURSIVE usable AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE len(embedding) > 0 AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0 AND len([x FOR x IN embedding IF x <> 0]) > 0
+),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.e, b.e) >= 0.9
+),
+walk(vec_id, reached) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT w.vec_id, l.b FROM walk w JOIN links l ON l.a = w.reached),
+counts AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT w.vec_id, CAST(coalesce(any_value(c.n), 0) AS BIGINT) AS n_links, min(w.reached) AS component_id, min(w.reached) = w.vec_id AS kept
+FROM walk w LEFT JOIN counts c ON c.a = w.vec_id GROUP BY w.vec_id
+"""
+
+ORACLES = {"op4_embedding_near_dedup": EMBEDDING_NEAR_DEDUP, "op3_decontamination": DECONTAMINATION, "op10_mixing": MIXING}
