@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -47,6 +48,7 @@ CLOSES = {
     "th": frozenset(["td", "th", "tr"]),
     "option": frozenset(["option"]),
 }
+CLOSED_BY = {t: [k for k, v in CLOSES.items() if t in v] for t in frozenset().union(*CLOSES.values())}
 ROLES = frozenset(
     "navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split()
 )
@@ -58,9 +60,23 @@ MARKS = frozenset(
     "reply replies discussion disqus respond reviews share sharing social related recommended recommendations newsletter "
     "subscribe subscription signup login search widget widgets skip hidden sr".split()
 )
+#: words that go with a mark and leave it one, and words that make a name say something else
+WITH_MARKS = frozenset(
+    "area bar bars block body bottom box button buttons col column container content dropdown el element entry footer form "
+    "group head header icon icons inner item items label left link links list main menu message meta navigation outer panel "
+    "post posts right row section site slot small text title toggle top unit wide wrap wrapper".split()
+)
+NOT_MARKS = frozenset("has with without no not is".split())
+#: containers inside so many others go by the path of the last one that is named
+DEEPEST = 100
+#: a block of an article's own header that is no heading is prose from this length on, else a byline or date
+PROSE = 80
 
 _TAG = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S
+    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+(?:>|\Z)"
+    # nothing is given back, so a tag is read once; a quote without an end is a character
+    r"|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+'|[\"'])*+)(?:>|\Z)",
+    re.S,
 )
 _ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))|([^\s=/\"'>]+)")
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
@@ -83,17 +99,24 @@ def _unwanted(tag: str, attributes: dict[str, str], inside: bool) -> bool:
         return False
     if tag == "header":
         return not inside
-    names = f"{attributes.get('class', '')} {attributes.get('id', '')}"
-    return any(w.lower() in MARKS for w in _WORD.findall(names))
+    return any(map(_marked, f"{attributes.get('class', '')} {attributes.get('id', '')}".split()))
+
+
+def _marked(name: str) -> bool:
+    """Whether a class or id names menu, advert and the like: its last word does, or its first with nothing of its own behind it."""
+    words = [w.lower() for w in _WORD.findall(name)]
+    if not words or NOT_MARKS & set(words):
+        return False
+    return words[-1] in MARKS or (words[0] in MARKS and all(w in MARKS or w in WITH_MARKS for w in words))
 
 
 class Node:
     """An open or closed container: its path, the prose below it and the blocks between its tags."""
 
-    __slots__ = ("path", "score", "first", "last", "depth")
+    __slots__ = ("path", "score", "first", "last")
 
-    def __init__(self, path: str, first: int, depth: int):
-        self.path, self.first, self.last, self.depth, self.score = path, first, first, depth, 0.0
+    def __init__(self, path: str, first: int):
+        self.path, self.first, self.last, self.score = path, first, first, 0.0
 
 
 def parse(page: str) -> tuple[list[str], list[Node]]:
@@ -102,79 +125,67 @@ def parse(page: str) -> tuple[list[str], list[Node]]:
     A block is the text between two block-level tags; line breaks and other white
     space in it are one space. Broken markup is read on: end tags that match no
     open element count for nothing, elements that are never closed end with what
-    holds them.
+    holds them, unwanted ones too. Every character is read once.
     """
     blocks: list[str] = []
     nodes: list[Node] = []
-    stack: list[tuple[str, str, Node | None, bool]] = []  # tag, path, container, article or main around
+    stack: list[tuple[str, str, Node | None, bool, bool]] = []  # tag, path, container, article or main around, left out
     open_nodes: list[Node] = []
+    open_tags: Counter[str] = Counter()
     piece: list[str] = []
     linked = [0]  # characters inside links of the block that is being read
-    in_link = header = 0
-    skip_tag, skip_depth = "", 0
+    hidden = headings = 0
 
     def flush() -> None:
         if piece:
             text = " ".join(html.unescape("".join(piece)).split())
             piece.clear()
-            if text:
+            # of an article's own header the headings and prose stay
+            if text and (not open_tags["header"] or headings or len(text) >= PROSE):
                 blocks.append(text)
                 prose = max(0, len(text) - 2 * linked[0])
                 # long blocks with sentence signs are prose; each container gets half of what the one inside it gets
                 worth = prose * (1.0 if len(text) > 80 else 0.5) + 10 * sum(text.count(s) for s in ".,;!?")
-                for up, node in enumerate(reversed(open_nodes)):
+                for up, node in enumerate(reversed(open_nodes[-48:])):
                     node.score += worth * 0.5**up
         linked[0] = 0
 
     def close(down_to: int) -> None:
-        nonlocal in_link, header
+        nonlocal hidden, headings
         while len(stack) > down_to:
-            tag, _, node, _ = stack.pop()
-            if tag == "a":
-                in_link -= 1
-            if tag == "header":
-                header -= 1
+            tag, _, node, _, out = stack.pop()
+            open_tags[tag] -= not out
+            every_tag[tag] -= 1
+            hidden -= out
+            headings -= tag in HEADINGS and not out
             if node is not None:
                 node.last = len(blocks)
                 open_nodes.pop()
 
+    every_tag: Counter[str] = Counter()  # those that are left out, too
+
     def text(s: str) -> None:
-        if header and not any(e[0] in HEADINGS for e in stack[-3:]):
-            return  # of an article's own header only the headings
         piece.append(s)
-        if in_link:
+        if open_tags["a"]:
             linked[0] += len(s)
 
     at, end = 0, len(page)
     while at < end:
         m = _TAG.search(page, at)
         if m is None:
-            if not skip_tag:
+            if not hidden:
                 text(page[at:])
             break
-        if m.start() > at and not skip_tag:
+        if m.start() > at and not hidden:
             text(page[at : m.start()])
         at = m.end()
         if m[2] is None:  # comment or declaration
             continue
         tag = m[2].lower()
-        if skip_tag:  # inside an unwanted element only its own tags count
-            if tag == skip_tag:
-                if m[1]:
-                    skip_depth -= 1
-                    if not skip_depth:
-                        skip_tag = ""
-                elif tag not in VOID:
-                    skip_depth += 1
-            elif m[1] and tag in ("body", "html"):
-                skip_tag = ""
-            if tag in RAW and not m[1]:
-                at = _raw_end(page, tag, at)
-            continue
         if m[1]:
-            if tag in BLOCK or tag == "p":
+            if (tag in BLOCK or tag == "p") and not hidden:
                 flush()
-            for k in range(len(stack) - 1, -1, -1):
+            for k in range(len(stack) - 1, -1, -1) if every_tag[tag] else ():
                 if stack[k][0] == tag:
                     close(k)
                     break
@@ -182,17 +193,19 @@ def parse(page: str) -> tuple[list[str], list[Node]]:
                     break
             continue
         if tag == "br":
-            piece.append(" ")
+            if not hidden:
+                piece.append(" ")
             continue
         if tag in BLOCK:
-            flush()
-            for k in range(len(stack) - 1, -1, -1):  # a block ends an open paragraph and what is open in it
+            if not hidden:
+                flush()
+            for k in range(len(stack) - 1, -1, -1) if every_tag["p"] else ():  # a block ends an open paragraph and what is open in it
                 if stack[k][0] == "p":
                     close(k)
                     break
                 if stack[k][0] in BLOCK:
                     break
-            for k in range(len(stack) - 1, -1, -1):
+            for k in range(len(stack) - 1, -1, -1) if any(every_tag[t] for t in CLOSED_BY.get(tag, ())) else ():
                 if tag in CLOSES.get(stack[k][0], ()):
                     close(k)
                     break
@@ -200,30 +213,36 @@ def parse(page: str) -> tuple[list[str], list[Node]]:
                     break
         if tag in VOID:
             continue
-        attributes = _attributes(m[3]) if m[3] else {}
+        if tag in RAW:
+            at = _raw_end(page, tag, at)
+            continue
+        alone = m[3].rstrip().endswith("/")
+        attributes = _attributes(m[3]) if m[3] and not hidden else {}
         inside = bool(stack) and stack[-1][3]
-        if _unwanted(tag, attributes, inside):
-            if tag in RAW:
-                at = _raw_end(page, tag, at)
-            elif not m[3].rstrip().endswith("/"):
-                skip_tag, skip_depth = tag, 1
+        up = stack[-1][1] if stack else ""
+        every_tag[tag] += 1
+        if hidden or _unwanted(tag, attributes, inside):
+            if alone:
+                every_tag[tag] -= 1
+                continue
+            hidden += 1
+            stack.append((tag, up, None, inside, True))
             continue
-        if m[3].rstrip().endswith("/") and tag not in BLOCK:
+        if alone and tag not in BLOCK:
+            every_tag[tag] -= 1
             continue
-        up = stack[-1][1] if stack else ""
         if tag in CONTAINER:
             classes = ".".join(sorted({_DIGITS.sub("", c) for c in attributes.get("class", "").split()} - {""}))
             path = f"{up}>{tag}.{classes}" if classes else f"{up}>{tag}"
-            node = Node(path, len(blocks), len(open_nodes))
+            path = path if len(open_nodes) < DEEPEST else up
+            node = Node(path, len(blocks))
             nodes.append(node)
             open_nodes.append(node)
         else:
             path, node = up, None
-        if tag == "a":
-            in_link += 1
-        if tag == "header":
-            header += 1
-        stack.append((tag, path, node, inside or tag in ("article", "main")))
+        open_tags[tag] += 1
+        headings += tag in HEADINGS
+        stack.append((tag, path, node, inside or tag in ("article", "main"), False))
     flush()
     close(0)
     return blocks, nodes
