@@ -10,6 +10,9 @@ suffixes that follow each other adds up to the maximal repeated runs. A single
 line of ``min_words`` words is a run as well: its intervals are the suffixes that
 start with its id.
 
+Documents with the same lines throughout are one for the suffix array; later ones
+lose what the first one's lines say, and all the rest to the first one.
+
 Windows below go over the lines of one document or the rows of one block of the
 sorted array; a line or run that very many documents share is only ever counted
 and joined.
@@ -32,21 +35,27 @@ DOC = ["none", "key", "mark"]  # none: the key is NULL
 THERE = [f"b_{c}" for c in [*DOC, "n"]]  # the suffix before
 
 
-def chains(lines: DataFrame, min_lines: int, min_words: int = MIN_WORDS) -> DataFrame:
+def whole_copies(lines: DataFrame, min_lines: int) -> DataFrame:
+    """(doc, total, first): documents of ``min_lines`` lines and more whose lines are all those of an earlier one."""
+    doc = F.struct(*DOC)
+    docs = lines.where((F.col("n") == 0) & (F.col("total") >= min_lines)).select(*DOC, "whole", "total")
+    first = docs.groupBy("whole").agg(F.min(doc).alias("first"), F.max(doc).alias("last")).where("first != last")
+    docs = docs.join(stage(first.drop("last"), "whole-firsts"), "whole").where(doc != F.col("first"))
+    return stage(docs.select(*DOC, "total", "first").distinct(), "whole-copies")
+
+
+def chains(lines: DataFrame, copies: DataFrame, min_lines: int, min_words: int = MIN_WORDS) -> DataFrame:
     """(doc, n, id, left, size, long): repeated lines that are long or stand in chains of at least ``min_lines``.
 
     ``id`` names the line's text, ``left`` is how many lines the chain has from here,
-    ``size`` how many it has, and a line of ``min_words`` words is long.
+    ``size`` how many it has, and a line of ``min_words`` words is long. Documents
+    of ``copies`` are left out.
     """
-    lines = lines.select(
-        F.col("key").isNull().alias("none"),
-        F.coalesce("key", F.lit(0)).alias("key"),
-        "mark",
-        "n",
-        "digest",
-        (F.col("words") >= min_words).alias("long"),
-    ).distinct()
-    lines = stage(lines, "line-digests")
+    lines = lines.select(*DOC, "n", "digest", (F.col("words") >= min_words).alias("long"))
+    # lines that stand once, most of them, go before anything else is done
+    often = lines.groupBy("digest").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("digest")
+    lines = lines.join(stage(often, "repeated-digests"), "digest").join(copies.select(DOC), DOC, "left_anti")
+    lines = stage(lines.distinct(), "repeated-lines")
     repeated = lines.groupBy("digest").agg(F.count(F.lit(1)).alias("times")).where("times > 1")
     ids = stage(repeated.select("digest", F.monotonically_increasing_id().alias("id")), "line-ids")
     found = lines.join(ids, "digest").select(*DOC, "n", "id", "long")
@@ -173,13 +182,26 @@ def dedup_lines(
     key and text are one document and are cut alike; an empty table gives no rows;
     the added column takes an underscore where the input has its name.
     """
-    positions = chains(line_table(df, key, text), min_lines, min_words)
+    none = F.col("key").isNull().alias("none")
+    lines = line_table(df, key, text, whole=True)
+    lines = stage(lines.select(none, F.coalesce("key", F.lit(0)).alias("key"), *lines.columns[1:]), "lines")
+    twice = whole_copies(lines, min_lines)
+    positions = chains(lines, twice, min_lines, min_words)
     in_chains = positions.where(F.col("size") >= min_lines)
     copies = later_copies(common_prefixes(suffix_ranks(in_chains)), min_lines)
     gone = copies.withColumn("n", F.explode(F.sequence(F.col("n"), F.col("n") + min_lines - 1)))
     gone = gone.unionByName(later_long_lines(positions))
     gone = gone.groupBy(*DOC, "n").agg(F.min("first").alias("first")).groupBy(*DOC)
-    gone = gone.agg(F.collect_list(F.struct("n", "first")).alias("lines")).select(
-        F.when(~F.col("none"), F.col("key")).alias("key"), "mark", "lines"
+    gone = stage(gone.agg(F.map_from_entries(F.collect_list(F.struct("n", "first"))).alias("of")), "deleted-of-first")
+    first = gone.select(F.struct(*DOC).alias("first"), "of")
+    # a document has one row here, so one with very many copies is split by adaptive execution
+    keeper = F.when(~F.col("first.none"), F.col("first.key"))
+    number = F.sequence(F.lit(0), F.col("total") - 1)
+    kept = F.transform(
+        number, lambda n: F.struct(n.alias("n"), F.when(F.coalesce(F.map_contains_key("of", n), F.lit(False)), F.col("of")[n]).otherwise(keeper).alias("first"))
     )
+    copied = twice.join(first, "first", "left").select(*DOC, kept.alias("lines"))
+    own = F.transform(F.map_entries("of"), lambda e: F.struct(e["key"].alias("n"), e["value"].alias("first")))
+    gone = gone.select(*DOC, own.alias("lines")).unionByName(copied)
+    gone = gone.select(F.when(~F.col("none"), F.col("key")).alias("key"), "mark", "lines")
     return cut_lines(df, stage(gone, "deleted-lines"), key, text)

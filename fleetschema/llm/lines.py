@@ -20,6 +20,8 @@ LINES = T.StructType(
         T.StructField("digest", T.BinaryType()),
     ]
 )
+#: of the whole text: a digest of its lines, and how many there are
+WHOLE = [T.StructField("whole", T.BinaryType()), T.StructField("total", T.IntegerType())]
 REMOVED = T.ArrayType(
     T.StructType(
         [
@@ -50,11 +52,14 @@ def normalised(unit: str) -> str:
     return " ".join(unit.lower().split())
 
 
-def line_table(df: DataFrame, key: str, text: str, sep: str = "\n") -> DataFrame:
-    """(key, mark, n, words, digest): every unit that is not blank; ``n`` counts those of a text from 0."""
+def line_table(df: DataFrame, key: str, text: str, sep: str = "\n", whole: bool = False) -> DataFrame:
+    """(key, mark, n, words, digest): every unit that is not blank; ``n`` counts those of a text from 0.
+
+    With ``whole`` the first unit of a text also has ``WHOLE``.
+    """
 
     def cut(batch: pa.RecordBatch) -> list[pa.Array]:
-        keys, marks, ns, words, digests = [], [], [], [], []
+        keys, marks, ns, words, digests, wholes, totals = [], [], [], [], [], [], []
         for i in range(batch.num_rows):
             key_, mark, text_ = (batch.column(k)[i].as_py() for k in range(3))
             n = 0
@@ -66,11 +71,15 @@ def line_table(df: DataFrame, key: str, text: str, sep: str = "\n") -> DataFrame
                     words.append(plain.count(" ") + 1)
                     digests.append(hashlib.blake2b(plain.encode(), digest_size=16).digest())
                     n += 1
-        kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
-        return [pa.array(v, t) for v, t in zip((keys, marks, ns, words, digests), kinds)]
+            if n:
+                wholes += [hashlib.blake2b(b"".join(digests[-n:]), digest_size=16).digest(), *[None] * (n - 1)]
+                totals += [n, *[None] * (n - 1)]
+        columns = [(keys, pa.int64()), (marks, pa.int64()), (ns, pa.int32()), (words, pa.int32()), (digests, pa.binary())]
+        columns += [(wholes, pa.binary()), (totals, pa.int32())] if whole else []
+        return [pa.array(v, t) for v, t in columns]
 
     rows = df.select(col(key).cast("long").alias("key"), mark_of(key, text).alias("mark"), col(text).alias("text"))
-    return map_batches(rows, LINES, cut)
+    return map_batches(rows, T.StructType([*LINES.fields, *(WHOLE if whole else [])]), cut)
 
 
 def stretches(text: str, sep: str, first_of: dict[int, int | None], min_words: int) -> tuple[str, list[dict]]:
@@ -123,7 +132,8 @@ def cut_lines(
     at = columns.index(text)
     named = gone.select(F.col("key").alias("__key"), F.col("mark").alias("__mark"), F.col("lines").alias("__lines"))
     same = col(key).cast("long").eqNullSafe(F.col("__key")) & (mark_of(key, text) == F.col("__mark"))
-    joined = df.join(named, same, "left").select(*map(col, columns), "__lines")
+    # the list grows with the texts: the same plan at every size
+    joined = df.join(named.hint("merge"), same, "left").select(*map(col, columns), "__lines")
 
     def cut(batch: pa.RecordBatch) -> list[pa.Array]:
         texts, lists = batch.column(at), batch.column(batch.num_columns - 1)
