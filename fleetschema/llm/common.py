@@ -56,3 +56,22 @@ def map_batches(df: DataFrame, schema: T.StructType, arrays_of: Callable[[pa.Rec
             yield pa.RecordBatch.from_arrays(arrays_of(batch), names)
 
     return df.toDF(*[f"c{k}" for k in range(len(df.columns))]).mapInArrow(run, plain).toDF(*schema.names)
+
+
+def by_block(batches: Iterator[pa.RecordBatch], columns: int) -> Iterator[pa.Table]:
+    """The rows of sorted batches, all those at a time that agree in the first ``columns`` columns."""
+    held: list[pa.RecordBatch] = []
+    now = None
+    for batch in batches:
+        start = 0
+        for i, mark in enumerate(zip(*(batch.column(k).to_pylist() for k in range(columns)))):
+            if mark != now:
+                if i > start:
+                    held.append(batch.slice(start, i - start))
+                if held:
+                    yield pa.Table.from_batches(held)
+                held, start, now = [], i, mark
+        if batch.num_rows > start:
+            held.append(batch.slice(start))
+    if held:
+        yield pa.Table.from_batches(held)

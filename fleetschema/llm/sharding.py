@@ -15,7 +15,7 @@ leaf; the rows of a larger one are units of their own.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -119,6 +119,7 @@ def kd_shards(
     shards: int | None = None,
     target_bytes: int | None = None,
     unit_share: float = 0.01,
+    row: Sequence[str] = (),
 ) -> DataFrame:
     """Every row of ``df`` with ``shard`` (0 up) and ``slot`` (0 up in its shard, no gaps).
 
@@ -128,12 +129,15 @@ def kd_shards(
     number is the first leaf number of its node, so neighbours in the tree are
     neighbours in number. An empty table gives no rows; repeated rows stay and are
     weighed each; the added columns take an underscore where the input has their name.
+    ``row`` names columns that identify a row and are not returned: with them the
+    wide rows meet their shard and slot in one join and are shuffled once.
     """
     spark, names, n = df.sparkSession, list(dims), len(dims)
     columns = df.columns
     shard, slot = free(columns, "shard"), free([*columns, free(columns, "shard")], "slot")
     keys = {f"__d{k}": dims[name] for k, name in enumerate(names)}
-    added = {"__weight": weight.cast("long"), "__unit": unit, "__own": F.xxhash64(unit, order), **keys}
+    marks = {f"__row{k}": col(name) for k, name in enumerate(row)}
+    added = marks | {"__weight": weight.cast("long"), "__unit": unit, "__own": F.xxhash64(unit, order), **keys}
     added = [c.alias(name) for name, c in added.items()]
     narrow = stage(df.select(*added), "kd-rows")
     full = df.select(*[F.col(quoted(c)).alias(f"__in{k}") for k, c in enumerate(columns)], *added)
@@ -191,28 +195,31 @@ def kd_shards(
         children = stage(children.where("leaves > 1"), "kd-open")
         open_ = None if children.isEmpty() else children
 
-    out = placed(full)
-    for cuts in tree:
-        out = _descend(out, cuts, n)
     # slots: numbered in small blocks of each shard, after the rows of its earlier blocks
     blocks = max(64, -(-rows // 20_000))
-    out = out.withColumn("__block", F.pmod(F.xxhash64("__own"), F.lit(blocks)))
+    block = F.pmod(F.xxhash64("__own"), F.lit(blocks)).alias("__block")
     narrow_out = placed(narrow)
     for cuts in tree:
         narrow_out = _descend(narrow_out, cuts, n)
-    counts = narrow_out.groupBy("node", F.pmod(F.xxhash64("__own"), F.lit(blocks)).alias("__block")).agg(
-        F.count(F.lit(1)).alias("__rows")
-    )
+    narrow_out = stage(narrow_out.select(*marks, "node", "__own", block), "kd-leaves")
+    counts = narrow_out.groupBy("node", "__block").agg(F.count(F.lit(1)).alias("__rows"))
     earlier = Window.partitionBy("node").orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select("node", "__block", F.coalesce(F.sum("__rows").over(earlier), F.lit(0)).alias("__start"))
     starts = stage(starts, "kd-blocks")
     inside = Window.partitionBy("node", "__block").orderBy("__own")
-    out = out.withColumn("__place", F.row_number().over(inside) - 1).join(starts, ["node", "__block"])
-    return out.select(
-        *[F.col(f"__in{k}").alias(c) for k, c in enumerate(columns)],
-        F.col("node").cast("int").alias(shard),
-        (F.col("__start") + F.col("__place")).cast("long").alias(slot),
-    )
+    place = F.row_number().over(inside) - 1
+    where = [F.col("node").cast("int").alias(shard), (F.col("__start") + F.col("__place")).cast("long").alias(slot)]
+
+    if row:
+        dealt = narrow_out.withColumn("__place", place).join(starts, ["node", "__block"]).select(*marks, *where)
+        wide = df.select(*[F.col(quoted(c)).alias(f"__in{k}") for k, c in enumerate(columns)], *[c.alias(m) for m, c in marks.items()])
+        joined = wide.join(stage(dealt, "kd-slots"), list(marks))
+        return joined.select(*[F.col(f"__in{k}").alias(c) for k, c in enumerate(columns) if c not in row], shard, slot)
+    out = placed(full)
+    for cuts in tree:
+        out = _descend(out, cuts, n)
+    out = out.withColumn("__block", block).withColumn("__place", place).join(starts, ["node", "__block"])
+    return out.select(*[F.col(f"__in{k}").alias(c) for k, c in enumerate(columns)], *where)
 
 
 def text_unit(text: Column) -> Column:

@@ -3,6 +3,7 @@
 import random
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -62,3 +63,46 @@ def test_rows_without_ids_and_equal_rows(spark):
     kept = jaccard.drop_similar(df)
     assert kept.columns == df.columns and sorted(map(str, (r["doc_id"] for r in kept.collect()))) == ["3", "None"]
     assert jaccard.drop_similar(df.limit(0)).collect() == [] and jaccard.drop_similar(df.where(F.col("row") == 3)).count() == 1
+
+
+def test_counts_of_common_shingles(monkeypatch):
+    rng = np.random.default_rng(3)
+    base = rng.integers(0, 1 << 62, 400)
+    sets = []
+    for _ in range(40):
+        kept = base[rng.random(400) < rng.choice([0.5, 0.9, 0.97])]
+        sets.append(np.unique(np.concatenate([kept, rng.integers(0, 1 << 62, rng.integers(0, 60))])))
+    sets += [sets[0], np.array([5]), np.arange(10), np.arange(8)]  # 8 of 10: the threshold itself
+    monkeypatch.setattr(jaccard, "STRIP", 64)
+    got = jaccard.chunk_links(sets, 0.8)
+    for a, x in enumerate(sets):
+        for b, y in enumerate(sets):
+            common = len(np.intersect1d(x, y))
+            assert a == b or got[a, b] == (10 * common >= 8 * (len(x) + len(y) - common))
+    root = jaccard.roots(len(sets), got)
+    assert root[-1] == root[-2] == len(sets) - 2 and root[40] == root[0]
+
+
+def test_buckets_in_several_chunks(spark, monkeypatch):
+    """One group of edited copies in chunks of a few, and texts alike to 0.7 that no chain of links joins."""
+    monkeypatch.setattr(jaccard, "CHUNK", 7)
+    rng = random.Random(5)
+    text = [f"w{k}" for k in range(300)]
+    docs = []
+    for k in range(60):
+        words = list(text)
+        for _ in range(rng.randint(0, 9)):
+            words[rng.randrange(300)] = f"e{k}x{rng.randrange(9999)}"
+        docs.append((k, " ".join(words)))
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
+    assert sorted(r["doc_id"] for r in jaccard.drop_similar(df).collect()) == kept_by_all_pairs(docs)
+
+
+def test_any_names_nulls_and_long_texts(spark):
+    long_ = " ".join(f"w{k}" for k in range(60_000))
+    rows = [(3, long_, 1, "a"), (2, long_ + " more", 2, "b"), (None, long_, 3, "c"), (5, None, 4, "d"), (4, "", 5, "e"), (7, "short", 6, "f"), (7, "short", 6, "f")]
+    schema = "doc_id long, text string, f int, v string"
+    for names in (["doc_id", "text", "f", "v"], ["doc_id", "text", "row_hash", "key"], ["doc_id", "text", "__row", "component"], ["doc_id", "text", "found", "Buckets"]):
+        df = spark.createDataFrame(rows, schema).toDF(*names)
+        got = jaccard.drop_similar(df)
+        assert got.columns == names and sorted(r["doc_id"] for r in got.collect()) == [2, 4, 7]
