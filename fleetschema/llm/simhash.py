@@ -10,6 +10,9 @@ Groups of many near copies: links between fingerprints first go to the smallest
 member of each exact segment value (a linear number), and the join then leaves
 out pairs that these links already hold together. What is left out changes no
 component. A pair that is found by several variants is emitted by the first.
+
+Wide fingerprints have 1,024 bits and reach further than 64 can: bands of their
+bits bring texts together, further bits tell near texts from chance (``jaccard``).
 """
 
 from __future__ import annotations
@@ -33,6 +36,39 @@ SEED = 42
 
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
+#: of a wide fingerprint: 64-bit words, of these the first to compare, then bands of so many bits each
+WORDS, COMPARED = 16, 2
+BANDS, BAND_BITS = 74, 12
+_STEPS = np.arange(1, 2 * WORDS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+
+
+def wide_fingerprint(hashes: np.ndarray) -> np.ndarray:
+    """The SimHash of a set of 64-bit hashes, as ``64 * WORDS`` zeros and ones.
+
+    Each hash votes in each bit with -3, -1, 1 or 3, two bits of its SplitMix64
+    sequence; a bit is 1 if the votes are above 0. Four weights leave few ties, so
+    that small sets differ in hardly more bits than large ones at the same cosine.
+    """
+    ones = np.zeros(128 * WORDS, np.int64)
+    for k in range(0, len(hashes), 255):  # at most 255, so that a byte holds a count
+        x = hashes[k : k + 255, None] + _STEPS
+        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        bits = np.unpackbits((x ^ (x >> np.uint64(31))).astype("<u8").view(np.uint8), axis=1)
+        ones += bits.view(np.uint64).sum(axis=0).view(np.uint8)  # eight counts at a time
+    return (4 * ones[: 64 * WORDS] + 2 * ones[64 * WORDS :] > 3 * len(hashes)).astype(np.uint8)
+
+
+def compared_words(bits: np.ndarray) -> np.ndarray:
+    """The bits of a wide fingerprint that are compared, as signed words."""
+    return np.packbits(bits[: 64 * COMPARED]).view("<i8")
+
+
+def bands(bits: np.ndarray) -> np.ndarray:
+    """The value of each band of a wide fingerprint."""
+    part = bits[64 * COMPARED :][: BANDS * BAND_BITS].reshape(BANDS, BAND_BITS)
+    return part @ (1 << np.arange(BAND_BITS))
+
 
 def fingerprint(text: str | None, shingle: int = 4) -> int:
     """The SimHash of a text as a signed 64-bit number; no words: 0.

@@ -106,3 +106,40 @@ def test_any_names_nulls_and_long_texts(spark):
         df = spark.createDataFrame(rows, schema).toDF(*names)
         got = jaccard.drop_similar(df)
         assert got.columns == names and sorted(r["doc_id"] for r in got.collect()) == [2, 4, 7]
+
+
+def test_simhash_finds_the_candidates(spark, near, monkeypatch):
+    """The stage's candidates are fingerprints that are near by SimHash; without any nothing but equal sets is linked."""
+    for a, b in [(4, 5), (13, 14), (90, 90)]:  # four of five shingles, and 0.8 in larger sets
+        apart = []
+        for k in range(300):
+            both = np.random.default_rng(k).integers(0, 1 << 63, a + b, dtype=np.uint64)
+            common = round(0.8 * (a + b) / 1.8)
+            one, other = both[:a], np.concatenate([both[:common], both[a : a + b - common]])
+            one, other = simhash.wide_fingerprint(one), simhash.wide_fingerprint(other)
+            apart.append(np.bitwise_count(np.array([simhash.compared_words(one) ^ simhash.compared_words(other)]).view(np.uint64)).sum())
+            assert (simhash.bands(one) == simhash.bands(other)).any()
+        assert np.mean(apart) < 22 and max(apart) <= jaccard.REACH
+    df = spark.createDataFrame(near, "doc_id long, text string")
+    monkeypatch.setattr(jaccard, "bands", lambda bits: np.arange(simhash.BANDS))
+    monkeypatch.setattr(jaccard, "REACH", -1)
+    monkeypatch.setattr(jaccard, "clusters", lambda f, s, t: iter(()))
+    rest = sorted(r["doc_id"] for r in jaccard.drop_similar(df).collect())
+    first = {}
+    for i, text in near:
+        first.setdefault(frozenset(shingles(text)), i)
+    assert rest == sorted(first.values())
+
+
+def test_bands_in_several_chunks(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "PRINTS", 5)
+    rng = random.Random(9)
+    text = [f"w{k}" for k in range(200)]
+    docs = []
+    for k in range(40):
+        words = list(text)
+        for _ in range(rng.randint(0, 6)):
+            words[rng.randrange(200)] = f"e{k}x{rng.randrange(9999)}"
+        docs.append((k, " ".join(words)))
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
+    assert sorted(r["doc_id"] for r in jaccard.drop_similar(df).collect()) == kept_by_all_pairs(docs)
