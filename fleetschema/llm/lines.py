@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import re
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -118,8 +119,47 @@ def stretches(text: str, sep: str, first_of: dict[int, int | None], min_words: i
     return sep.join(kept), spans
 
 
+def passage_spans(text: str, sep: str, spans: list[dict], first_of: dict[int, int | None], passage: int) -> tuple[str, list[dict]]:
+    """The text without ``spans`` and the windows of ``passage`` words that start at the listed words, and what was cut.
+
+    Spans that touch are one. ``lines`` counts the units that a span holds or cuts
+    into. Of the white space on both sides of a span one side stays, one with a
+    separator if there is one.
+    """
+    word = [m.span() for m in re.finditer(r"\S+", text)]
+    found = [(s["start"], s["stop"], s["first"]) for s in spans]
+    found += [(word[w][0], word[w + passage - 1][1], first) for w, first in first_of.items()]
+    merged: list[dict] = []
+    for start, stop, first in sorted(found, key=lambda s: s[:2]):
+        if merged and not text[merged[-1]["stop"] : start].strip():
+            merged[-1]["stop"] = max(merged[-1]["stop"], stop)
+        else:
+            merged.append({"start": start, "stop": stop, "lines": 0, "first": first})
+    lines = [(a, b) for a, b in units(text, sep) if text[a:b].strip()]
+    kept, at = "", 0
+    for span in merged:
+        span["lines"] = sum(a < span["stop"] and b > span["start"] for a, b in lines)
+        kept = _joined(kept, text[at : span["start"]], sep) if at else text[: span["start"]]
+        at = span["stop"]
+    return _joined(kept, text[at:], sep), merged
+
+
+def _joined(left: str, right: str, sep: str) -> str:
+    before, after = left[len(left.rstrip()) :], right[: len(right) - len(right.lstrip())]
+    space = after if sep in after and sep not in before else before or after
+    left, right = left.rstrip(), right.lstrip()
+    return left + space + right if left and right else left + right
+
+
 def cut_lines(
-    df: DataFrame, gone: DataFrame, key: str, text: str, sep: str = "\n", min_words: int = 0, name: str = "removed"
+    df: DataFrame,
+    gone: DataFrame,
+    key: str,
+    text: str,
+    sep: str = "\n",
+    min_words: int = 0,
+    name: str = "removed",
+    passage: int | None = None,
 ) -> DataFrame:
     """``df`` with the units listed in ``gone`` taken out of its texts.
 
@@ -127,22 +167,29 @@ def cut_lines(
     the key of the document that keeps it. ``removed`` gives each stretch that was
     cut as [start, stop) in code points of the original text, how many units it
     holds and the key that keeps its first one. Every row of ``df`` is returned.
+    With ``passage`` gone also has passages, an array of (w, first): the first
+    words of windows of so many words that go too; lines and passages may be NULL.
     """
     columns, name = df.columns, free(df.columns, name)
     at = columns.index(text)
-    named = gone.select(F.col("key").alias("__key"), F.col("mark").alias("__mark"), F.col("lines").alias("__lines"))
+    lists = ["lines", "passages"] if passage else ["lines"]
+    named = gone.select(*[F.col(c).alias(f"__{c}") for c in ["key", "mark", *lists]])
     same = col(key).cast("long").eqNullSafe(F.col("__key")) & (mark_of(key, text) == F.col("__mark"))
     # the list grows with the texts: the same plan at every size
-    joined = df.join(named.hint("merge"), same, "left").select(*map(col, columns), "__lines")
+    joined = df.join(named.hint("merge"), same, "left").select(*map(col, columns), *[f"__{c}" for c in lists])
 
     def cut(batch: pa.RecordBatch) -> list[pa.Array]:
-        texts, lists = batch.column(at), batch.column(batch.num_columns - 1)
+        texts, lists = batch.column(at), batch.column(len(columns))
         out, removed = [], []
         for i in range(batch.num_rows):
             text_, lost = texts[i].as_py(), lists[i].as_py()
             spans: list[dict] = []
+            whole = text_
             if lost and text_:
                 text_, spans = stretches(text_, sep, {x["n"]: x["first"] for x in lost}, min_words)
+            windows = batch.column(len(columns) + 1)[i].as_py() if passage else None
+            if windows and whole:
+                text_, spans = passage_spans(whole, sep, spans, {x["w"]: x["first"] for x in windows}, passage)
             out.append(text_)
             removed.append(spans)
         kind = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64()), ("lines", pa.int32()), ("first", pa.int64())]))

@@ -1,22 +1,104 @@
-"""Substring dedup by line or paragraph hashing.
+"""Substring dedup by line or paragraph hashing, and by hashing windows of words over their ends.
 
 Units are normalised (lower case, white space) and digested; digests are grouped
 over all documents, combined before the shuffle, and each keeps its earliest
 ranked occurrence. All others are taken out of their texts, but for a few words
 that stand alone, and the stretches that were cut are given in offsets of the
 original text.
+
+A passage whose edges lie inside lines shares no whole line with its copy. So
+windows of ``PASSAGE`` words are units too, wherever lines end: every word of a
+window that stands in an earlier document is cut. Only windows around repeated
+anchors are digested: an anchor is the hash of half as many words that is the
+least of its neighbours, so equal windows hold equal anchors and none is missed.
 """
 
 from __future__ import annotations
 
+import hashlib
+
+import numpy as np
+import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from fleetschema.llm.lines import cut_lines, line_table
+from fleetschema.llm.common import col, map_batches
+from fleetschema.llm.lines import cut_lines, line_table, mark_of
 from fleetschema.staging import stage
 
 #: a stretch of repeated units with fewer words than this is spared: headings, common phrases, a short line that chance repeats
 MIN_WORDS = 20
+#: words of a window that is cut wherever lines end
+PASSAGE = 50
+
+_ODD = 0x9E3779B97F4A7C15
+
+
+def anchors(words: list[str], passage: int = PASSAGE) -> tuple[np.ndarray, np.ndarray]:
+    """(places, hashes) of the anchors: of the stretches of ``passage // 2`` words in each window the last with the least hash."""
+    k = passage // 2
+    if len(words) < passage:
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    word = np.fromiter((xxhash.xxh64_intdigest(w) for w in words), np.uint64, len(words))
+    run = np.zeros(len(words) - k + 1, np.uint64)
+    for j in range(k):  # a polynomial in an odd number, modulo 2**64
+        run = run * np.uint64(_ODD) + word[j : j + len(run)]
+    run = (run ^ (run >> np.uint64(32))) * np.uint64(_ODD)
+    run ^= run >> np.uint64(29)
+    near = np.lib.stride_tricks.sliding_window_view(run[::-1], passage - k + 1)
+    places = np.unique(len(run) - 1 - (np.arange(len(near)) + near.argmin(axis=1)))
+    return places, run[places].view(np.int64)
+
+
+def repeated_passages(df: DataFrame, key: str, text: str, passage: int = PASSAGE) -> DataFrame:
+    """(key, mark, passages): for each document that has any, the windows (w, first) that an earlier document holds.
+
+    ``w`` is the place of the window's first word, ``first`` the key of the
+    earliest document. Of documents with the same text only the first is looked
+    at: the others are repeated line by line.
+    """
+    plain = df.select(col(key).cast("long").alias("key"), mark_of(key, text).alias("mark"), col(text).alias("text"))
+    same = F.xxhash64("text", F.crc32(F.col("text").cast("binary"))).alias("same")
+    doc = F.struct(F.col("key").isNull().alias("none"), "key", "mark")
+    names = plain.where("length(text) > 0").groupBy(same).agg(F.min(doc).alias("d")).select("same", "d.key", "d.mark")
+
+    def mark_anchors(batch: pa.RecordBatch) -> list[pa.Array]:
+        found = [anchors(t.as_py().lower().split(), passage) for t in batch.column(1)]
+        times = [len(p) for p, _ in found]
+        of = pa.array(np.repeat(np.arange(batch.num_rows), times))
+        places, hashes = (np.concatenate([f[i] for f in found]) if found else np.empty(0, np.int64) for i in (0, 1))
+        return [batch.column(0).take(of), pa.array(places, pa.int32()), pa.array(hashes, pa.int64())]
+
+    fields = [T.StructField(n, t) for n, t in (("same", T.LongType()), ("at", T.IntegerType()), ("anchor", T.LongType()))]
+    found = stage(map_batches(plain.where("length(text) > 0").select(same, "text"), T.StructType(fields), mark_anchors), "anchors")
+    several = found.groupBy("anchor").agg(F.min("same").alias("low"), F.max("same").alias("high")).where("low < high")
+    several = stage(several.select("anchor"), "repeated-anchors")
+    places = found.join(several, "anchor").groupBy("same").agg(F.collect_set("at").alias("at"))
+    places = stage(places.join(names, "same"), "anchor-places")
+    places = places.select(F.col("key").alias("__key"), F.col("mark").alias("__mark"), "at")
+    around = plain.join(places.hint("merge"), plain["key"].eqNullSafe(F.col("__key")) & (plain["mark"] == F.col("__mark")))
+    around = around.select("key", "mark", "text", "at")
+
+    def digest(batch: pa.RecordBatch) -> list[pa.Array]:
+        of, ws, digests = [], [], []
+        for i in range(batch.num_rows):
+            words = batch.column(2)[i].as_py().lower().split()
+            at = batch.column(3)[i].values.to_numpy()
+            here = np.unique((at[:, None] - np.arange(passage - passage // 2 + 1)).ravel())
+            for w in here[(here >= 0) & (here <= len(words) - passage)].tolist():
+                of.append(i)
+                ws.append(w)
+                digests.append(hashlib.blake2b(" ".join(words[w : w + passage]).encode(), digest_size=16).digest())
+        of = pa.array(of, pa.int64())
+        return [batch.column(0).take(of), batch.column(1).take(of), pa.array(ws, pa.int32()), pa.array(digests, pa.binary())]
+
+    fields = [T.StructField("key", T.LongType()), T.StructField("mark", T.LongType()), T.StructField("w", T.IntegerType()), T.StructField("digest", T.BinaryType())]
+    windows = stage(map_batches(around, T.StructType(fields), digest), "windows")
+    first = windows.groupBy("digest").agg(F.min(doc).alias("first"), F.max(doc).alias("last")).where("first != last")
+    later = windows.join(stage(first.select("digest", "first"), "repeated-windows"), "digest").where(doc != F.col("first"))
+    return later.groupBy("key", "mark").agg(F.collect_set(F.struct("w", F.col("first.key").alias("first"))).alias("passages"))
 
 
 def repeated_units(df: DataFrame, key: str, text: str, sep: str) -> DataFrame:
@@ -30,7 +112,12 @@ def repeated_units(df: DataFrame, key: str, text: str, sep: str) -> DataFrame:
 
 
 def dedup_substrings(
-    df: DataFrame, key: str = "doc_id", text: str = "text", sep: str = "\n", min_words: int = MIN_WORDS
+    df: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    sep: str = "\n",
+    min_words: int = MIN_WORDS,
+    passage: int = PASSAGE,
 ) -> DataFrame:
     """Every row of ``df`` with repeated units cut from its text, and ``removed``: what was cut where.
 
@@ -38,9 +125,13 @@ def dedup_substrings(
     by key (NULL last), units by place. A unit is repeated if an equal one, case and
     white space aside, stands earlier in this or another document; a stretch of
     repeated units is cut if it has ``min_words`` words. Blank units are never
-    compared. NULL and empty texts stay as they are; rows that agree in key and
+    compared. ``passage`` words in a row that an earlier document holds in a row are
+    cut too, wherever units end. NULL and empty texts stay as they are; rows that agree in key and
     text are one document and are cut alike; an empty table gives no rows; the
     added column takes an underscore where the input has its name.
     """
-    gone = stage(repeated_units(df, key, text, sep), "repeated-units")
-    return cut_lines(df, gone, key, text, sep, min_words)
+    lines = repeated_units(df, key, text, sep)
+    gone = lines.withColumn("passages", F.lit(None).cast("array<struct<w:int,first:bigint>>"))
+    more = repeated_passages(df, key, text, passage).withColumn("lines", F.lit(None).cast("array<struct<n:int,first:bigint>>"))
+    gone = gone.unionByName(more).groupBy("key", "mark").agg(F.first("lines", True).alias("lines"), F.first("passages", True).alias("passages"))
+    return cut_lines(df, stage(gone, "repeated-units"), key, text, sep, min_words, passage=passage)
