@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from fleetschema.llm.common import col, free, quoted
-from fleetschema.staging import stage
+from fleetschema.staging import stage, stage_observed
 
 BUCKETS = 1024
 TIE_BITS = 40
@@ -52,15 +52,16 @@ def _median_cuts(points: DataFrame, nodes: DataFrame, n_dims: int) -> DataFrame:
     left), slack (bytes by which a cut may miss).
     """
     value = F.coalesce(*[F.when(F.col("dim") == k, F.col(f"d{k}")) for k in range(n_dims)])
-    rows = points.join(nodes, "node").select("node", "weight", value.alias("value"), "tie")
+    # written once: each step reads it, and no plan holds the way there
+    rows = stage(points.join(nodes, "node").select("node", "weight", value.alias("value"), "tie"), "kd-values")
     limits = rows.groupBy("node").agg(F.min("value").alias("low"), F.max("value").alias("high"))
     state = nodes.join(limits, "node").select(
         "node", "goal", "slack", "low", "high", F.lit(0).cast("long").alias("before"),
         F.lit(False).alias("ties"), F.lit(None).cast("long").alias("at"),
         F.lit(None).cast("long").alias("cut"), F.lit(None).cast("long").alias("cut_tie"),
     )
-    state = stage(state, "kd-state")
-    while not state.where("cut IS NULL").isEmpty():
+    state, seen = stage_observed(state, "kd-state", open=F.count(F.when(F.col("cut").isNull(), 1)))
+    while seen.get("open"):
         open_ = state.where("cut IS NULL").select("node", "goal", "slack", "low", "high", "before", "ties", "at")
         x = F.when(F.col("ties"), F.col("tie")).otherwise(F.col("value"))
         inside = rows.join(open_, "node").where(x.between(F.col("low"), F.col("high"))).where(
@@ -95,7 +96,7 @@ def _median_cuts(points: DataFrame, nodes: DataFrame, n_dims: int) -> DataFrame:
             F.when(settled & F.col("ties"), F.col("at")).when(settled, end).otherwise(F.col("cut")).cast("long").alias("cut"),
             F.when(settled & F.col("ties"), end).when(settled, F.lit(1 << TIE_BITS)).otherwise(F.col("cut_tie")).cast("long").alias("cut_tie"),
         )
-        state = stage(state, "kd-state")
+        state, seen = stage_observed(state, "kd-state", open=F.count(F.when(F.col("cut").isNull(), 1)))
     return nodes.join(state.select("node", "cut", "cut_tie"), "node").select("node", "dim", "cut", "cut_tie")
 
 
@@ -188,12 +189,12 @@ def kd_shards(
         cuts = _median_cuts(points, nodes.select("node", "dim", "goal", "slack"), n)
         cuts = stage(cuts.join(nodes.select("node", "half", "leaves"), "node"), "kd-cuts")
         tree.append(cuts)
-        points = _descend(points, cuts, n)
+        points = stage(_descend(points, cuts, n), "kd-points")
         children = cuts.select("node", F.col("half").alias("leaves")).unionByName(
             cuts.select((F.col("node") + F.col("half")).alias("node"), (F.col("leaves") - F.col("half")).alias("leaves"))
         )
-        children = stage(children.where("leaves > 1"), "kd-open")
-        open_ = None if children.isEmpty() else children
+        open_, seen = stage_observed(children.where("leaves > 1"), "kd-open", n=F.count(F.lit(1)))
+        open_ = open_ if seen.get("n") else None
 
     # slots: numbered in small blocks of each shard, after the rows of its earlier blocks
     blocks = max(64, -(-rows // 20_000))
