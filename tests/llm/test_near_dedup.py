@@ -143,3 +143,102 @@ def test_bands_in_several_chunks(spark, monkeypatch):
         docs.append((k, " ".join(words)))
     df = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
     assert sorted(r["doc_id"] for r in jaccard.drop_similar(df).collect()) == kept_by_all_pairs(docs)
+
+
+def edited_copies(n, edits, seed=21):
+    rng = random.Random(seed)
+    docs = []
+    for k in range(n):
+        words = [f"w{k}" for k in range(300)]
+        for _ in range(rng.randint(0, edits)):
+            words[rng.randrange(300)] = f"e{k}x{rng.randrange(9999)}"
+        docs.append((k, " ".join(words)))
+    return docs
+
+
+@pytest.mark.parametrize("at", ["chunk_links", "clusters"])
+def test_large_groups_cost_what_they_have_rows(spark, monkeypatch, at):
+    """240 near copies in chunks of 12: each is read a few times, not once for every chunk."""
+    monkeypatch.setattr(jaccard, {"chunk_links": "CHUNK", "clusters": "PRINTS"}[at], 12)
+    monkeypatch.setattr(jaccard, "bands", lambda bits: np.zeros(1, np.int64))
+    seen, inner = spark.sparkContext.accumulator(0), getattr(jaccard, at)
+
+    def counted(first, *more):
+        seen.add(len(first))
+        return inner(first, *more)
+
+    monkeypatch.setattr(jaccard, at, counted)
+    df = spark.createDataFrame(edited_copies(240, 3), "doc_id long, text string").repartition(5)
+    assert [r["doc_id"] for r in jaccard.drop_similar(df).collect()] == [0]
+    assert 240 <= seen.value <= 3 * 240
+
+
+def test_a_set_is_compared_once_not_once_a_band(spark, monkeypatch):
+    seen, inner = spark.sparkContext.accumulator(0), jaccard.chunk_links
+
+    def counted(sets, similarity):
+        seen.add(len(sets))
+        return inner(sets, similarity)
+
+    monkeypatch.setattr(jaccard, "chunk_links", counted)
+    docs = edited_copies(60, 14)
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
+    assert sorted(r["doc_id"] for r in jaccard.drop_similar(df).collect()) == kept_by_all_pairs(docs)
+    assert seen.value <= 60
+
+
+@pytest.mark.parametrize("at", ["CHUNK", "PRINTS"])
+def test_what_dealing_leaves_open_is_compared_whole(spark, monkeypatch, at):
+    monkeypatch.setattr(jaccard, at, 7)
+    monkeypatch.setattr(jaccard, "DEALS", 0)
+    docs = edited_copies(60, 14)
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
+    assert sorted(r["doc_id"] for r in jaccard.drop_similar(df).collect()) == kept_by_all_pairs(docs)
+
+
+def test_units_with_many_chunks_are_compared_by_clusters(spark, monkeypatch):
+    """A row of texts, each near the next, with every tenth step too far for a link."""
+    rng = random.Random(2)
+    words, docs, at = [f"w{rng.randrange(10**6)}" for _ in range(2000)], [], 0
+    for k in range(120):
+        docs.append((k, " ".join(words[at : at + 300])))
+        at += 40 if k % 10 == 9 else 5
+    used, inner = [], jaccard.by_clusters
+
+    def chosen(shared, units):
+        found = inner(shared, units)
+        used.append(found.count())
+        return found
+
+    monkeypatch.setattr(jaccard, "by_clusters", chosen)
+    monkeypatch.setattr(jaccard, "CHUNK", 2)
+    monkeypatch.setattr(jaccard, "ROUNDS", (0, 2, simhash.BANDS))
+    monkeypatch.setattr(jaccard, "bands", lambda bits: simhash.bands(bits)[:5])
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
+    assert sorted(r["doc_id"] for r in jaccard.drop_similar(df).collect()) == kept_by_all_pairs(docs) == list(range(0, 120, 10))
+    assert used[0] > 0
+
+
+def test_sets_that_cannot_have_a_link_are_not_compared(spark, monkeypatch):
+    """200 texts that share 0.7 or so in pairs, far more than a chunk, and a few links among them."""
+    monkeypatch.setattr(jaccard, "CHUNK", 8)
+    seen, inner = spark.sparkContext.accumulator(0), jaccard.chunk_links
+
+    def counted(sets, similarity):
+        seen.add(len(sets))
+        return inner(sets, similarity)
+
+    monkeypatch.setattr(jaccard, "chunk_links", counted)
+    docs = [(k, " ".join([*(f"w{j}" for j in range(170)), *(f"e{k}x{j}" for j in range(36))])) for k in range(200)]
+    docs += [(200 + k, docs[20 * k][1] + " more") for k in range(5)]
+    docs += [(300, " ".join(f"w{j}" for j in range(170)))]  # 0.82 of it in common with each: a link to all
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
+    want = kept_by_all_pairs(docs)
+    assert sorted(r["doc_id"] for r in jaccard.drop_similar(df).collect()) == want == [0]
+    seen.value = 0
+    docs.pop()
+    docs = [(k, text + f" f{k} g{k} h{k} i{k}" * 3) if k < 200 and k % 20 else (k, text) for k, text in docs]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
+    want = kept_by_all_pairs(docs)
+    assert sorted(r["doc_id"] for r in jaccard.drop_similar(df).collect()) == want and len(want) == 200
+    assert seen.value < 2 * 205
