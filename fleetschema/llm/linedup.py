@@ -44,17 +44,26 @@ def whole_copies(lines: DataFrame, min_lines: int) -> DataFrame:
     return stage(docs.select(*DOC, "total", "first").distinct(), "whole-copies")
 
 
-def chains(lines: DataFrame, copies: DataFrame, min_lines: int, min_words: int = MIN_WORDS) -> DataFrame:
+def keyed(lines: DataFrame) -> DataFrame:
+    """A line table with ``DOC``, none of them NULL."""
+    none = F.col("key").isNull().alias("none")
+    return lines.select(none, F.coalesce("key", F.lit(0)).alias("key"), *[c for c in lines.columns if c != "key"])
+
+
+def chains(lines: DataFrame, min_lines: int, min_words: int = MIN_WORDS, copies: DataFrame | None = None) -> DataFrame:
     """(doc, n, id, left, size, long): repeated lines that are long or stand in chains of at least ``min_lines``.
 
     ``id`` names the line's text, ``left`` is how many lines the chain has from here,
     ``size`` how many it has, and a line of ``min_words`` words is long. Documents
     of ``copies`` are left out.
     """
+    lines = lines if "none" in lines.columns else keyed(lines)
     lines = lines.select(*DOC, "n", "digest", (F.col("words") >= min_words).alias("long"))
     # lines that stand once, most of them, go before anything else is done
     often = lines.groupBy("digest").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("digest")
-    lines = lines.join(stage(often, "repeated-digests"), "digest").join(copies.select(DOC), DOC, "left_anti")
+    lines = lines.join(stage(often, "repeated-digests"), "digest")
+    if copies is not None:
+        lines = lines.join(copies.select(DOC), DOC, "left_anti")
     lines = stage(lines.distinct(), "repeated-lines")
     repeated = lines.groupBy("digest").agg(F.count(F.lit(1)).alias("times")).where("times > 1")
     ids = stage(repeated.select("digest", F.monotonically_increasing_id().alias("id")), "line-ids")
@@ -182,11 +191,9 @@ def dedup_lines(
     key and text are one document and are cut alike; an empty table gives no rows;
     the added column takes an underscore where the input has its name.
     """
-    none = F.col("key").isNull().alias("none")
-    lines = line_table(df, key, text, whole=True)
-    lines = stage(lines.select(none, F.coalesce("key", F.lit(0)).alias("key"), *lines.columns[1:]), "lines")
+    lines = stage(keyed(line_table(df, key, text, whole=True)), "lines")
     twice = whole_copies(lines, min_lines)
-    positions = chains(lines, twice, min_lines, min_words)
+    positions = chains(lines, min_lines, min_words, twice)
     in_chains = positions.where(F.col("size") >= min_lines)
     copies = later_copies(common_prefixes(suffix_ranks(in_chains)), min_lines)
     gone = copies.withColumn("n", F.explode(F.sequence(F.col("n"), F.col("n") + min_lines - 1)))
