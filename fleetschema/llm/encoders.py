@@ -14,22 +14,22 @@ from __future__ import annotations
 
 import json
 import os
-import re
 import struct
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: words that a worker keeps before it starts anew, and bytes of texts that it encodes at a time
+#: words that a worker keeps before it goes on with those of its last texts, and bytes of texts that it encodes at a time
 CACHE_WORDS, TEXT_BYTES = 500_000, 16_000_000
 #: bytes of words and ids that it keeps, words encoded at a time
 CACHE_BYTES, WORDS = 48_000_000, 2_048
 
-#: a word of Latin letters that a normaliser leaves as they are but for case, and marks behind it
-_SIMPLE = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)")
+#: a word of Latin letters that a normaliser leaves as they are but for case, and marks behind it (none that a pattern or a special token begins with)
+_LETTERS = "".join(map(chr, [*range(65, 91), *range(97, 123), *(c for c in range(192, 256) if c not in (215, 247))]))
+_MARKS = "!\"#$%&()*+,-./:;=>?@[\\]^_`{|}~"
 #: fixed values: the patterns under which such letters are one unit and such marks another
 _LOWERED = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
@@ -49,9 +49,7 @@ class WordEncoder:
         self.keeps_space, self.cache_words, self.text_bytes = keeps_space, cache_words, text_bytes
         self.width = id_width(self.tokenizer.get_vocab_size(with_added_tokens=True))
         self.kind = np.dtype(f"<u{self.width}")
-        self.known: dict[str, bytes] = {}
-        self.units: dict[str, bytes] = {}
-        self.bytes = 0
+        self.kept = {kind: _nothing() for kind in ("words", "units", "marks")}
         self.simple = self._parts_simple_words()
 
     def _parts_simple_words(self) -> bool:
@@ -86,11 +84,14 @@ class WordEncoder:
             for i in np.flatnonzero(runs.to_numpy(zero_copy_only=False)):
                 whole[int(i)] = self._ids([texts[i].as_py()])[0]
             texts = pc.if_else(runs, pa.scalar("", pa.large_string()), texts)
+        else:  # white space is dropped, whichever it is
+            for space in "\n\t\r":
+                texts = pc.replace_substring(texts, space, " ")
         parts = pc.split_pattern(texts, " ")
         words = parts.flatten().dictionary_encode()
-        ids = self._known(words.dictionary.to_numpy(zero_copy_only=False).tolist())
+        ids, places = self._known(words.dictionary)
         # the ids of all words one after the other are the data of this array
-        spelled = pa.array(ids, pa.large_binary()).take(words.indices)
+        spelled = ids.take(places.take(words.indices))
         _, ends, data = spelled.buffers()
         ends = np.frombuffer(ends, np.int64)[: len(spelled) + 1]
         out = np.frombuffer(data, self.kind, ends[-1] // self.width) if data else np.zeros(0, self.kind)
@@ -108,33 +109,62 @@ class WordEncoder:
     def _packed(self, ids: list[int]) -> bytes:
         return struct.pack(f"<{len(ids)}{'H' if self.width == 2 else 'I'}", *ids)
 
-    def _known(self, words: list[str]) -> list[bytes]:
-        if max(len(self.known), len(self.units)) > self.cache_words or self.bytes > CACHE_BYTES:
-            self.known, self.units, self.bytes = {}, {}, 0
-        new = [w for w in words if w not in self.known]
-        others = []
-        for word in new:
-            found = _SIMPLE.fullmatch(word) if self.simple else None
-            if found:
-                letters, marks = found.groups()
-                ids = self._unit(f" {letters}" if self.keeps_space else letters.lower())
-                self.known[word] = ids + self._unit(marks) if marks else ids
-            else:
-                others.append(word)
-        for at in range(0, len(others), WORDS):
-            some = others[at : at + WORDS]
-            self.known.update(zip(some, self._ids(some)))
-        self.bytes += sum(len(w) + len(self.known[w]) for w in new)
-        return [self.known[w] for w in words]
-
-    def _unit(self, unit: str) -> bytes:
+    def _known(self, words: pa.Array) -> tuple[pa.Array, pa.Array]:
+        """Ids of distinct words, and the place of each word's ids among them."""
+        if not self.simple:
+            return self._keep("words", words, self._word_ids), pa.array(np.arange(len(words)))
+        letters, marks = pc.utf8_rtrim(words, _MARKS), pc.utf8_ltrim(words, _LETTERS)
+        n = [pc.binary_length(x).to_numpy(zero_copy_only=False) for x in (words, letters, marks)]
+        simple = (n[1] > 0) & (n[1] + n[2] == n[0])  # letters and then marks are the whole word
+        letters, marks = (x.filter(pa.array(simple)) for x in (letters, marks))
+        if self.keeps_space:
+            letters = pc.binary_join_element_wise(pa.scalar(" ", pa.large_string()), letters, pa.scalar("", pa.large_string()))
+        else:
+            letters = pc.utf8_lower(letters)
+        halves = []
+        for kind, units in (("units", letters.dictionary_encode()), ("marks", marks.dictionary_encode())):
+            halves.append(self._keep(kind, units.dictionary, self._unit_ids).take(units.indices))
+        others = self._keep("words", words.filter(pa.array(~simple)), self._word_ids)
+        places = np.empty(len(words), np.int64)
+        places[np.flatnonzero(simple)] = np.arange(simple.sum())
+        places[np.flatnonzero(~simple)] = np.arange(simple.sum(), len(words))
+        joined = pc.binary_join_element_wise(*halves, pa.scalar(b"", pa.large_binary()))
+        return pa.concat_arrays([joined, others]), pa.array(places)
+
+    def _keep(self, kind: str, words: pa.Array, encode: Callable[[pa.Array], pa.Array]) -> pa.Array:
+        """The ids of distinct words; those not met before are encoded and kept. Too many, and only these words stay."""
+        known, ids = self.kept[kind]
+        at = pc.index_in(words, value_set=known)
+        new = at.is_null().to_numpy(zero_copy_only=False)
+        fresh = words.filter(pa.array(new))
+        known = pa.concat_arrays([known, fresh])
+        ids = pa.concat_arrays([ids, encode(fresh)])
+        places = at.fill_null(0).to_numpy().astype(np.int64)
+        places[new] = np.arange(len(known) - len(fresh), len(known))
+        found = ids.take(pa.array(places))
+        if len(known) > self.cache_words or known.nbytes + ids.nbytes > CACHE_BYTES:
+            known, ids = (words, found) if len(words) <= self.cache_words and words.nbytes + found.nbytes <= CACHE_BYTES else _nothing()
+        self.kept[kind] = known, ids
+        return found
+
+    def _word_ids(self, words: pa.Array) -> pa.Array:
+        some = (words.slice(at, WORDS).to_pylist() for at in range(0, len(words), WORDS))
+        return pa.array([x for w in some for x in self._ids(w)], pa.large_binary())
+
+    def _unit_ids(self, units: pa.Array) -> pa.Array:
         """The ids of what the tokenizer does not part before it merges."""
-        ids = self.units.get(unit)
-        if ids is None:
-            spelled = unit.encode().decode("latin-1").translate(_SPELLED)
-            ids = self._packed([t.id for t in self.tokenizer.model.tokenize(spelled)])
-            self.units[unit] = ids
-        return ids
+        merge, ids, ends = self.tokenizer.model.tokenize, [], [0]
+        for unit in pc.replace_substring(units, " ", _SPELLED[32]).to_pylist() if self.keeps_space else units.to_pylist():
+            if not unit.isascii():
+                unit = unit.replace(_SPELLED[32], " ").encode().decode("latin-1").translate(_SPELLED)
+            ids += [t.id for t in merge(unit)]
+            ends.append(len(ids))
+        ends = np.array(ends, np.int64) * self.width
+        return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(units), [None, pa.py_buffer(ends), pa.py_buffer(np.array(ids, self.kind))])
+
+
+def _nothing() -> tuple[pa.Array, pa.Array]:
+    return pa.array([], pa.large_string()), pa.array([], pa.large_binary())
 
 
 def byte_characters() -> dict[int, str]:
