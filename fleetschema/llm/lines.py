@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import hashlib
-import re
+from bisect import bisect_left, bisect_right
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -34,6 +35,9 @@ REMOVED = T.ArrayType(
     )
 )
 
+#: whether a character is white space, as for ``str.split``; none from the last one on is
+_SPACE = np.array([chr(c).isspace() for c in range(0x3002)], np.int8)
+
 
 def mark_of(key: str, text: str) -> Column:
     """Tells apart rows that share a key: rows that agree in key and text count as one document."""
@@ -119,26 +123,41 @@ def stretches(text: str, sep: str, first_of: dict[int, int | None], min_words: i
     return sep.join(kept), spans
 
 
-def passage_spans(text: str, sep: str, spans: list[dict], first_of: dict[int, int | None], passage: int) -> tuple[str, list[dict]]:
+def word_spans(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """Where each word between white space begins and ends, in code points."""
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
+    space = np.ones(len(codes) + 2, np.int8)
+    space[1:-1] = _SPACE[np.minimum(codes, len(_SPACE) - 1)]
+    edges = np.diff(space)
+    return np.flatnonzero(edges == -1), np.flatnonzero(edges == 1)
+
+
+def passage_spans(text: str, sep: str, spans: list[dict], ws: np.ndarray, firsts: pa.Array, passage: int) -> tuple[str, list[dict]]:
     """The text without ``spans`` and the windows of ``passage`` words that start at the listed words, and what was cut.
 
-    Spans that touch are one. ``lines`` counts the units that a span holds or cuts
-    into. Of the white space on both sides of a span one side stays, one with a
-    separator if there is one.
+    ``firsts`` has the document of each window. Spans that touch are one.
+    ``lines`` counts the units that a span holds or cuts into. Of the white space
+    on both sides of a span one side stays, one with a separator if there is one.
     """
-    word = [m.span() for m in re.finditer(r"\S+", text)]
-    found = [(s["start"], s["stop"], s["first"]) for s in spans]
-    found += [(word[w][0], word[w + passage - 1][1], first) for w, first in first_of.items()]
+    starts, ends = word_spans(text)
+    order = np.argsort(ws, kind="stable")
+    ws = ws[order]
+    cuts = np.flatnonzero(np.diff(ws) > passage) + 1  # windows that neither overlap nor touch
+    found = [(s["start"], s["stop"], s["first"], s["stop"]) for s in spans]
+    for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(ws)]):
+        low, high = ws[a], ws[b - 1] + passage - 1
+        found.append((int(starts[low]), int(ends[low + passage - 1]), firsts[int(order[a])].as_py(), int(ends[high])))
     merged: list[dict] = []
-    for start, stop, first in sorted(found, key=lambda s: s[:2]):
+    for start, _, first, stop in sorted(found, key=lambda s: s[:2]):
         if merged and not text[merged[-1]["stop"] : start].strip():
             merged[-1]["stop"] = max(merged[-1]["stop"], stop)
         else:
             merged.append({"start": start, "stop": stop, "lines": 0, "first": first})
     lines = [(a, b) for a, b in units(text, sep) if text[a:b].strip()]
+    line_starts, line_stops = [a for a, _ in lines], [b for _, b in lines]
     kept, at = "", 0
     for span in merged:
-        span["lines"] = sum(a < span["stop"] and b > span["start"] for a, b in lines)
+        span["lines"] = bisect_left(line_starts, span["stop"]) - bisect_right(line_stops, span["start"])
         kept = _joined(kept, text[at : span["start"]], sep) if at else text[: span["start"]]
         at = span["stop"]
     return _joined(kept, text[at:], sep), merged
@@ -187,9 +206,10 @@ def cut_lines(
             whole = text_
             if lost and text_:
                 text_, spans = stretches(text_, sep, {x["n"]: x["first"] for x in lost}, min_words)
-            windows = batch.column(len(columns) + 1)[i].as_py() if passage else None
+            windows = batch.column(len(columns) + 1)[i].values if passage else None
             if windows and whole:
-                text_, spans = passage_spans(whole, sep, spans, {x["w"]: x["first"] for x in windows}, passage)
+                ws, firsts = windows.flatten()
+                text_, spans = passage_spans(whole, sep, spans, ws.to_numpy(), firsts, passage)
             out.append(text_)
             removed.append(spans)
         kind = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64()), ("lines", pa.int32()), ("first", pa.int64())]))

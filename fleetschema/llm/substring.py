@@ -15,7 +15,8 @@ least of its neighbours, so equal windows hold equal anchors and none is missed.
 
 from __future__ import annotations
 
-import hashlib
+from functools import lru_cache
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -33,23 +34,64 @@ MIN_WORDS = 20
 #: words of a window that is cut wherever lines end
 PASSAGE = 50
 
+#: base of the hashes of stretches, and its inverse modulo 2**64
 _ODD = 0x9E3779B97F4A7C15
+_INVERSE = pow(_ODD, -1, 1 << 64)
+#: letters of a word that are hashed as they are; words of a text that are hashed at a time
+_LETTERS, _PIECE = 64, 10_000
+
+
+def _joined(words: list[str]) -> tuple[bytes, np.ndarray, np.ndarray]:
+    """The words with spaces between them, and where in these bytes each begins and ends."""
+    data = " ".join(words).encode()
+    spaces = np.flatnonzero(np.frombuffer(data, np.uint8) == 32)
+    return data, np.concatenate([[0], spaces + 1]), np.concatenate([spaces, [len(data)]])
+
+
+@lru_cache(maxsize=4)
+def _powers(base: int, bits: int) -> np.ndarray:
+    powers = np.full(1 << bits, base, np.uint64)
+    powers[0] = 1
+    return np.multiply.accumulate(powers)
+
+
+def _extremes(values: np.ndarray, n: int, of: np.ufunc) -> np.ndarray:
+    """The least (greatest) of each ``n`` neighbours, by doubling."""
+    size = 1
+    while size < n:
+        step = min(size, n - size)
+        values, size = of(values[:-step], values[step:]), size + step
+    return values
 
 
 def anchors(words: list[str], passage: int = PASSAGE) -> tuple[np.ndarray, np.ndarray]:
-    """(places, hashes) of the anchors: of the stretches of ``passage // 2`` words in each window the last with the least hash."""
-    k = passage // 2
+    """(places, hashes) of the anchors: of the stretches of ``passage // 2`` words in each window those with the least hash."""
     if len(words) < passage:
         return np.empty(0, np.int64), np.empty(0, np.int64)
-    word = np.fromiter((xxhash.xxh64_intdigest(w) for w in words), np.uint64, len(words))
-    run = np.zeros(len(words) - k + 1, np.uint64)
-    for j in range(k):  # a polynomial in an odd number, modulo 2**64
-        run = run * np.uint64(_ODD) + word[j : j + len(run)]
+    if max(map(len, words)) > _LETTERS:
+        words = [w if len(w) <= _LETTERS else xxhash.xxh3_128_hexdigest(w) for w in words]
+    found = [_anchors(words[at : at + _PIECE + passage - 1], passage) for at in range(0, len(words) - passage + 1, _PIECE)]
+    places = np.concatenate([p + k * _PIECE for k, (p, _) in enumerate(found)])
+    places, of = np.unique(places, return_index=True)
+    return places, np.concatenate([h for _, h in found])[of].view(np.int64)
+
+
+def _anchors(words: list[str], passage: int) -> tuple[np.ndarray, np.ndarray]:
+    k = passage // 2
+    data, starts, ends = _joined(words)
+    bits = max(16, len(data).bit_length())
+    sums = np.zeros(len(data) + 1, np.uint64)  # polynomials in an odd number, modulo 2**64
+    np.cumsum(np.frombuffer(data, np.uint8) * _powers(_ODD, bits)[: len(data)], out=sums[1:])
+    last = len(words) - k + 1
+    run = (sums[ends[k - 1 :]] - sums[starts[:last]]) * _powers(_INVERSE, bits)[starts[:last]]
     run = (run ^ (run >> np.uint64(32))) * np.uint64(_ODD)
     run ^= run >> np.uint64(29)
-    near = np.lib.stride_tricks.sliding_window_view(run[::-1], passage - k + 1)
-    places = np.unique(len(run) - 1 - (np.arange(len(near)) + near.argmin(axis=1)))
-    return places, run[places].view(np.int64)
+    near = passage - k + 1
+    least = _extremes(run, near, np.minimum)
+    # a stretch is the least of a window if it is the greatest of what is least in the windows that hold it
+    edge = np.zeros(near - 1, np.uint64)
+    places = np.flatnonzero(_extremes(np.concatenate([edge, least, edge]), near, np.maximum) == run)
+    return places, run[places]
 
 
 def repeated_passages(df: DataFrame, key: str, text: str, passage: int = PASSAGE) -> DataFrame:
@@ -63,6 +105,9 @@ def repeated_passages(df: DataFrame, key: str, text: str, passage: int = PASSAGE
     same = F.xxhash64("text", F.crc32(F.col("text").cast("binary"))).alias("same")
     doc = F.struct(F.col("key").isNull().alias("none"), "key", "mark")
     names = plain.where("length(text) > 0").groupBy(same).agg(F.min(doc).alias("d")).select("same", "d.key", "d.mark")
+    # documents are compared by one number that rises with their rank
+    names = stage(names, "texts").orderBy(F.col("key").isNull(), "key", "mark")
+    names = stage(names.withColumn("rank", F.monotonically_increasing_id()), "ranked-texts")
 
     def mark_anchors(batch: pa.RecordBatch) -> list[pa.Array]:
         found = [anchors(t.as_py().lower().split(), passage) for t in batch.column(1)]
@@ -77,28 +122,34 @@ def repeated_passages(df: DataFrame, key: str, text: str, passage: int = PASSAGE
     several = stage(several.select("anchor"), "repeated-anchors")
     places = found.join(several, "anchor").groupBy("same").agg(F.collect_set("at").alias("at"))
     places = stage(places.join(names, "same"), "anchor-places")
-    places = places.select(F.col("key").alias("__key"), F.col("mark").alias("__mark"), "at")
+    places = places.select(F.col("key").alias("__key"), F.col("mark").alias("__mark"), "rank", "at")
     around = plain.join(places.hint("merge"), plain["key"].eqNullSafe(F.col("__key")) & (plain["mark"] == F.col("__mark")))
-    around = around.select("key", "mark", "text", "at")
+    around = around.select("key", "rank", "text", "at")
 
     def digest(batch: pa.RecordBatch) -> list[pa.Array]:
-        of, ws, digests = [], [], []
-        for i in range(batch.num_rows):
-            words = batch.column(2)[i].as_py().lower().split()
-            at = batch.column(3)[i].values.to_numpy()
-            here = np.unique((at[:, None] - np.arange(passage - passage // 2 + 1)).ravel())
-            for w in here[(here >= 0) & (here <= len(words) - passage)].tolist():
-                of.append(i)
-                ws.append(w)
-                digests.append(hashlib.blake2b(" ".join(words[w : w + passage]).encode(), digest_size=16).digest())
-        of = pa.array(of, pa.int64())
-        return [batch.column(0).take(of), batch.column(1).take(of), pa.array(ws, pa.int32()), pa.array(digests, pa.binary())]
-
-    fields = [T.StructField("key", T.LongType()), T.StructField("mark", T.LongType()), T.StructField("w", T.IntegerType()), T.StructField("digest", T.BinaryType())]
+        ws, digests = [], []
+        for text_, at in zip(batch.column(2), batch.column(3)):
+            data, starts, ends = _joined(text_.as_py().lower().split())
+            here = np.unique((at.values.to_numpy()[:, None] - np.arange(passage - passage // 2 + 1)).ravel())
+            here = here[(here >= 0) & (here <= len(starts) - passage)]
+            spans = zip(starts[here].tolist(), ends[here + passage - 1].tolist())
+            digests.append(b"".join([blake2b(data[a:b], digest_size=16).digest() for a, b in spans]))
+            ws.append(here.astype(np.int32))
+        of = pa.array(np.repeat(np.arange(batch.num_rows), [len(w) for w in ws]))
+        halves = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
+        ws = np.concatenate(ws) if ws else np.empty(0, np.int32)
+        return [batch.column(0).take(of), batch.column(1).take(of), pa.array(ws), *(pa.array(halves[:, k].copy()) for k in (0, 1))]
+
+    longs = ("key", "rank", "w", "digest", "digest_")
+    fields = [T.StructField(n, T.IntegerType() if n == "w" else T.LongType()) for n in longs]
     windows = stage(map_batches(around, T.StructType(fields), digest), "windows")
-    first = windows.groupBy("digest").agg(F.min(doc).alias("first"), F.max(doc).alias("last")).where("first != last")
-    later = windows.join(stage(first.select("digest", "first"), "repeated-windows"), "digest").where(doc != F.col("first"))
-    return later.groupBy("key", "mark").agg(F.collect_set(F.struct("w", F.col("first.key").alias("first"))).alias("passages"))
+    first = windows.groupBy("digest", "digest_").agg(
+        F.min("rank").alias("low"), F.max("rank").alias("high"), F.min_by("key", "rank").alias("first")
+    )
+    first = stage(first.where("low < high").drop("high"), "repeated-windows")
+    later = windows.join(first, ["digest", "digest_"]).where("rank > low")
+    later = later.groupBy("rank").agg(F.collect_set(F.struct("w", "first")).alias("passages"))
+    return later.join(names.hint("merge"), "rank").select("key", "mark", "passages")
 
 
 def repeated_units(df: DataFrame, key: str, text: str, sep: str) -> DataFrame:
